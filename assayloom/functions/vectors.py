@@ -77,17 +77,20 @@ def affine_many(df: DataFrame, vec: str, weights, bias, out: str = "affine") ->
 
     def run(batches):
         import numpy as np
+        import pyarrow as pa
 
         w, b = shared.value
-        for pdf in batches:
-            if len(pdf):
-                x = np.array(pdf[vec].tolist(), dtype="float64")
-                pdf[out] = list(x @ w.T + b)
-            else:
-                pdf[out] = []
-            yield pdf
-
-    return df.mapInPandas(run, schema)
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index(vec))
+            known = column.is_valid().to_numpy(zero_copy_only=False)
+            x = column.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(-1, w.shape[1])
+            y = x @ w.T + b
+            ends = np.concatenate([[0], np.cumsum(known) * w.shape[0]]).astype("int32")
+            missing = None if known.all() else pa.array(~known)
+            made = pa.ListArray.from_arrays(pa.array(ends), pa.array(y.ravel()), mask=missing)
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, out])
+
+    return df.mapInArrow(run, schema)
 
 
 def squared_error_sum(pred: Column | str, truth: Column | str) -> Column:

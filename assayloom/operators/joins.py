@@ -27,11 +27,11 @@ def hot_keys(left: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> Da
     """(keys, n_salts) of the keys above ``share`` of the rows; at most 1/share rows.
 
     ``n_salts`` splits a key into pieces of about ``share`` of the table each.
+    Keys with nulls are counted too.
     """
     keys = [F.col(f"`{k}`") for k in on]
-    counts = left.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = left.count()
-    piece = max(1.0, share * total)
+    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    piece = max(1.0, share * left.count())
     hot = counts.where(F.col("_n") > piece)
     return materialise(
         hot.select(*keys, F.ceil(F.col("_n") / F.lit(piece)).cast("int").alias("_n_salts")), "hot-keys"
@@ -50,7 +50,8 @@ def skew_join(
     """Shuffled left or inner join with the left side's hot keys cut into pieces.
 
     Each left row of a hot key goes to one piece, and the right rows of that key
-    are copied to every piece: the result is exactly that of the plain join.
+    are copied to every piece: the result is exactly that of the plain join,
+    which is what runs when no key is hot.
     The piece is a hash of the ``spread`` columns (all of them by default, so
     carry a row id), which gives the same piece when a lost task is run again.
     Rows with a null key never match and are spread as well.
@@ -59,19 +60,17 @@ def skew_join(
         raise ValueError("skew_join does left and inner joins")
     on = list(on)
     hot = hot_keys(left, on, share) if hot is None else hot
+    if hot.isEmpty():
+        return left.join(right, on, how)
     spread_by = F.xxhash64(*[F.col(f"`{c}`") for c in (spread or left.columns)])
     null_key = F.lit(False)
     for k in on:
         null_key = null_key | F.col(f"`{k}`").isNull()
     # ``hot`` has at most 1/share rows, whatever the size of the data.
-    small = F.broadcast(hot)
+    small = F.broadcast(hot.dropna(subset=on))
     pieces = F.coalesce("_n_salts", F.lit(1))
-    salted_left = (
-        left.join(small, on, "left")
-        .withColumn("_salt", F.when(null_key, F.pmod(spread_by, F.lit(int(1 / share)).cast("long")))
-                    .otherwise(F.pmod(spread_by, pieces.cast("long"))).cast("int"))
-        .drop("_n_salts")
-    )
+    piece = F.when(null_key, F.pmod(spread_by, F.lit(int(1 / share)))).otherwise(F.pmod(spread_by, pieces))
+    salted_left = left.join(small, on, "left").withColumn("_salt", piece.cast("int")).drop("_n_salts")
     salted_right = (
         right.dropna(subset=on).join(small, on, "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), pieces - 1)))
@@ -87,6 +86,7 @@ def dimension_join(
     how: str = "left",
     freeze: bool = False,
     spread: Sequence[str] | None = None,
+    fan_out: bool = False,
 ) -> DataFrame:
     """Join a table to a dimension.
 
@@ -95,11 +95,17 @@ def dimension_join(
     join is shuffled with hot keys salted. ``freeze`` writes a dimension that is
     costly to compute to the shared folder first, so that measuring and joining
     do not compute it twice.
+
+    ``fan_out`` says that a left row meets many dimension rows. The left rows
+    are then dealt out evenly by ``spread`` before they multiply, so that every
+    task writes about as much; this moves each row once, before the growth.
     """
     on = list(on)
     if freeze:
         right = materialise(right, "dimension")
     if fits_broadcast(right):
+        if fan_out:
+            left = left.repartition(*[F.col(f"`{c}`") for c in (spread or left.columns)])
         return left.join(F.broadcast(right), on, how)
     return skew_join(left, right, on, how, spread)
 

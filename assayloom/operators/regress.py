@@ -105,14 +105,14 @@ def ridge_sums(df: DataFrame, features: str, targets: str, block: int = _BLOCK)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = np.array(batch.column(0).to_pylist(), dtype="float64")
-            y_col = batch.column(1)
-            width = len(y_col[0])
-            y = y_col.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(-1, width)
+            x, y = (
+                c.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(batch.num_rows, -1)
+                for c in batch.columns
+            )
             x = np.hstack([np.ones((len(x), 1)), x])
             if gram is None:
                 gram = np.zeros((x.shape[1], x.shape[1]))
-                cross = np.zeros((x.shape[1], width))
+                cross = np.zeros((x.shape[1], y.shape[1]))
             gram += x.T @ x
             cross += x.T @ y
         if gram is None:

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayloom.constants import EXEMPT_NAMES, FEATURE_COLUMNS, NAME_ALIASES
+from assayloom.constants import EXEMPT_NAMES, FEATURE_COLUMNS, GROUP_STATS, NAME_ALIASES
 from assayloom.functions.names import alias_name, clean_name
 from assayloom.operators.joins import assert_unique, concat_columns, dimension_join, suffix_join
 from assayloom.operators.select import select_lenient
@@ -17,15 +17,24 @@ from assayloom.operators.stats import group_summary
 
 @dataclass(frozen=True)
 class Assay:
-    """A long measurement table and the metadata of its observations."""
+    """A long measurement table and the metadata of its observations.
+
+    ``exact`` sums in decimal(precision, scale) and ``decimals`` rounds the group
+    statistics, so that results do not vary with the order of additions.
+    """
 
     measurements: DataFrame
     metadata: DataFrame
     group_keys: Sequence[str]
     obs_key: str = "obs_id"
+    exact: tuple[int, int] | None = None
+    decimals: int | None = None
 
-    def summary(self, exact: tuple[int, int] | None = None) -> DataFrame:
-        return group_summary(self.measurements, self.metadata, self.obs_key, self.group_keys, exact)
+    def summary(self) -> DataFrame:
+        out = group_summary(self.measurements, self.metadata, self.obs_key, self.group_keys, self.exact)
+        if self.decimals is None:
+            return out
+        return out.withColumns({s: F.round(s, self.decimals) for s in GROUP_STATS})
 
 
 @dataclass(frozen=True)
@@ -52,7 +61,6 @@ def enrich_training(
     targets: Sequence[str] = ("targets",),
     align: str = "row_id",
     clean_metadata: bool = False,
-    exact: tuple[int, int] | None = None,
     check_properties: bool = False,
 ) -> DataFrame:
     """Training features, both assay summaries, compound properties and targets.
@@ -70,18 +78,15 @@ def enrich_training(
     if check_properties:
         assert_unique(properties, ["sm_name"])
     if clean_metadata:
-        first = Assay(
-            first.measurements,
-            first.metadata.withColumn("sm_name", clean_name("sm_name", rules.exempt)),
-            first.group_keys, first.obs_key,
-        )
+        cleaned = first.metadata.withColumn("sm_name", clean_name("sm_name", rules.exempt))
+        first = replace(first, metadata=cleaned)
     carried = list(targets) if align == "row_id" else []
     features = select_lenient(rows, [row_id, *FEATURE_COLUMNS, *carried])
     features = features.withColumn("sm_name", clean_name("sm_name", rules.exempt))
 
-    out = dimension_join(features, first.summary(exact), first.group_keys, freeze=True, spread=[row_id])
+    out = dimension_join(features, first.summary(), first.group_keys, freeze=True, spread=[row_id])
     shared = [k for k in second.group_keys if k in features.columns]
-    out = suffix_join(out, second.summary(exact), shared, freeze=True, spread=[row_id])
+    out = suffix_join(out, second.summary(), shared, freeze=True, spread=[row_id], fan_out=True)
     out = out.withColumn("sm_name", alias_name("sm_name", rules.aliases))
     donors = [k for k in second.group_keys if k not in shared]
     out = dimension_join(out, properties, ["sm_name"], spread=[row_id, *donors])

@@ -9,11 +9,10 @@ from assayloom.session import materialise
 from suite.registry import query
 from suite.splits import holdout_sql
 from suite.tables import (
-    ALIASED, CTE_ENRICHED, CTE_PROPERTIES, CTE_ROWS, EXACT, MAJORITY, MINORITY, PROPERTY_LIST, PROPERTY_NAMES,
-    RULES, SEGMENT_CODES, STATS, clean_sql, round_stats,
+    ALIASED, CTE_ENRICHED, CTE_PROPERTIES, CTE_ROWS, MAJORITY, MINORITY, PROPERTY_LIST, PROPERTY_NAMES,
+    RULES, SEGMENT_CODES, STATS, clean_sql,
 )
 
-_ROUNDED = [s + x for s in STATS for x in ("_x", "_y")]
 _IDS = "row_id, cell_type, sm_name, sm_lincs_id, \"SMILES\", control"
 _STATS_X = ", ".join(s + "_x" for s in STATS)
 _STATS_Y = ", ".join(s + "_y" for s in STATS)
@@ -21,10 +20,9 @@ _PROPERTIES = ", ".join(f'"{n}"' for n in PROPERTY_NAMES)
 
 
 def _enriched(t, **options):
-    out = enrich_training(t.rows, t.first_assay, t.second_assay, materialise(t.properties), RULES, exact=EXACT, **options)
-    flat = out.select(*[F.col(f"`{c}`") for c in out.columns if c != "targets"],
+    out = enrich_training(t.rows, t.first_assay, t.second_assay, materialise(t.properties), RULES, **options)
+    return out.select(*[F.col(f"`{c}`") for c in out.columns if c != "targets"],
                       F.col("targets")[0].alias("target_0"), F.col("targets")[1].alias("target_1"))
-    return round_stats(flat, _ROUNDED)
 
 
 @query(f"WITH {CTE_ENRICHED} SELECT {_IDS}, {_STATS_X}, donor_id, {_STATS_Y}, {_PROPERTIES}, target_0, target_1 FROM enriched")

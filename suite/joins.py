@@ -1,22 +1,24 @@
 """Joins."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from assayloom.functions.names import clean_name
 from assayloom.operators import joins as J
-from assayloom.operators.stats import agg_stats, group_summary
+from assayloom.operators.stats import agg_stats
 from assayloom.session import materialise
 from suite.registry import query
 from suite.tables import (
-    CTE_FIRST, CTE_PROPERTIES, CTE_ROWS, CTE_SECOND, EXACT, GROUPED, PROPERTY_LIST, STATS, round_stats, rounded_stats,
+    CTE_FIRST, CTE_PROPERTIES, CTE_ROWS, CTE_SECOND, EXACT, GROUPED, PROPERTY_LIST, STATS, rounded_stats,
 )
 
 
-@query(f"""WITH {CTE_FIRST} SELECT s.obs_id, {rounded_stats('s', '')}, m.cell_type, m.sm_name
+@query(f"""WITH {CTE_FIRST} SELECT s.obs_id, {', '.join('s.' + s for s in STATS)}, m.cell_type, m.sm_name
 FROM stats1 s LEFT JOIN meta1 m ON s.obs_id = m.obs_id""")
 def metadata_join(t):
     stats = agg_stats(t.measurements, ["obs_id"], exact=EXACT)
-    return round_stats(J.left_lookup(stats, t.metadata, ["obs_id"]), STATS)
+    return J.left_lookup(stats, t.metadata, ["obs_id"])
 
 
 def _features(t):
@@ -26,15 +28,14 @@ def _features(t):
 @query(f"""WITH {CTE_FIRST}, {CTE_ROWS} SELECT f.row_id, f.cell_type, f.sm_name, {rounded_stats('a', '')}
 FROM feats f LEFT JOIN summary1 a ON f.cell_type = a.cell_type AND f.sm_name = a.sm_name""")
 def two_key_join(t):
-    out = J.dimension_join(_features(t), t.first_assay.summary(EXACT), ["cell_type", "sm_name"], freeze=True)
-    return round_stats(out, STATS)
+    return J.dimension_join(_features(t), t.first_assay.summary(), ["cell_type", "sm_name"], freeze=True)
 
 
 @query(f"""WITH {CTE_SECOND}, {CTE_ROWS} SELECT f.row_id, f.cell_type, f.sm_name, m.donor_id, {rounded_stats('m', '')}
 FROM feats f LEFT JOIN summary2 m ON f.cell_type = m.cell_type""")
 def donor_fan_out(t):
-    out = J.dimension_join(_features(t), t.second_assay.summary(EXACT), ["cell_type"], freeze=True)
-    return round_stats(out, STATS)
+    return J.dimension_join(_features(t), t.second_assay.summary(), ["cell_type"], freeze=True,
+                           spread=["row_id"], fan_out=True)
 
 
 @query(f"""WITH {CTE_FIRST}, {CTE_SECOND}, types AS (SELECT cell_type, {GROUPED} FROM stats1 LEFT JOIN meta1 USING (obs_id)
@@ -42,9 +43,8 @@ def donor_fan_out(t):
 SELECT a.cell_type, {rounded_stats('a', '_x')}, m.donor_id, {rounded_stats('m', '_y')}
 FROM types a LEFT JOIN summary2 m ON a.cell_type = m.cell_type""")
 def collision_suffixes(t):
-    types = group_summary(t.measurements, t.metadata, "obs_id", ["cell_type"], EXACT)
-    out = J.suffix_join(types, t.second_assay.summary(EXACT), ["cell_type"], freeze=True)
-    return round_stats(out, [s + x for s in STATS for x in ("_x", "_y")])
+    types = replace(t.first_assay, group_keys=["cell_type"]).summary()
+    return J.suffix_join(types, t.second_assay.summary(), ["cell_type"], freeze=True)
 
 
 @query(f"""WITH {CTE_ROWS}, {CTE_PROPERTIES} SELECT f.row_id, f.cell_type, f.sm_name, {PROPERTY_LIST}
@@ -103,5 +103,4 @@ def salted_join(t):
 FROM feats f LEFT JOIN summary2 m ON f.cell_type = m.cell_type""")
 def salted_donor_fan_out(t):
     features = t.rows.select("row_id", "cell_type")
-    out = J.skew_join(features, materialise(t.second_assay.summary(EXACT)), ["cell_type"], spread=["row_id"])
-    return round_stats(out, STATS)
+    return J.skew_join(features, materialise(t.second_assay.summary()), ["cell_type"], spread=["row_id"])

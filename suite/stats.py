@@ -7,27 +7,27 @@ from assayloom.operators import stats as S
 from assayloom.operators.profile import completeness, row_completeness
 from assayloom.operators.split import split_summary
 from suite.registry import query
-from suite.tables import CTE_FIRST, CTE_SECOND, EXACT, STATS, round_stats, rounded_stats
+from suite.tables import CTE_FIRST, CTE_SECOND, EXACT, STATS, rounded_stats
 
 
-@query(f"WITH {CTE_FIRST} SELECT s.obs_id, {rounded_stats('s', '')} FROM stats1 s")
+@query(f"WITH {CTE_FIRST} SELECT obs_id, {', '.join(STATS)} FROM stats1")
 def observation_stats(t):
-    return round_stats(S.agg_stats(t.measurements, ["obs_id"], exact=EXACT), STATS)
+    return S.agg_stats(t.measurements, ["obs_id"], exact=EXACT)
 
 
-@query(f"WITH {CTE_SECOND} SELECT s.obs_id, {rounded_stats('s', '')} FROM stats2 s")
+@query(f"WITH {CTE_SECOND} SELECT obs_id, {', '.join(STATS)} FROM stats2")
 def second_assay_stats(t):
-    return round_stats(S.agg_stats(t.second_measurements, ["obs_id"], exact=EXACT), STATS)
+    return S.agg_stats(t.second_measurements, ["obs_id"], exact=EXACT)
 
 
 @query(f"WITH {CTE_FIRST} SELECT s.cell_type, s.sm_name, {rounded_stats('s', '')} FROM summary1 s")
 def group_stats(t):
-    return round_stats(t.first_assay.summary(EXACT), STATS)
+    return t.first_assay.summary()
 
 
 @query(f"WITH {CTE_SECOND} SELECT s.cell_type, s.donor_id, {rounded_stats('s', '')} FROM summary2 s")
 def donor_stats(t):
-    return round_stats(t.second_assay.summary(EXACT), STATS)
+    return t.second_assay.summary()
 
 
 @query("SELECT o_orderpriority, COUNT(*) AS count FROM orders GROUP BY o_orderpriority")

@@ -71,11 +71,11 @@ class Tables:
 
     @property
     def first_assay(self) -> Assay:
-        return Assay(self.measurements, self.metadata, ["cell_type", "sm_name"])
+        return Assay(self.measurements, self.metadata, ["cell_type", "sm_name"], exact=EXACT, decimals=4)
 
     @property
     def second_assay(self) -> Assay:
-        return Assay(self.second_measurements, self.second_metadata, ["cell_type", "donor_id"])
+        return Assay(self.second_measurements, self.second_metadata, ["cell_type", "donor_id"], exact=EXACT, decimals=4)
 
     @property
     def rows(self) -> DataFrame:
@@ -212,8 +212,3 @@ enriched AS (SELECT f.row_id, f.cell_type, {ALIASED} AS sm_name, f.sm_lincs_id,
   FROM feats f LEFT JOIN summary1 a ON f.cell_type = a.cell_type AND f.sm_name = a.sm_name
   LEFT JOIN summary2 m ON f.cell_type = m.cell_type
   LEFT JOIN props p ON p.sm_name = {ALIASED})"""
-
-
-def round_stats(df: DataFrame, names) -> DataFrame:
-    """Round for comparison only: the two engines add doubles in different orders."""
-    return df.withColumns({n: F.round(n, 4) for n in names})
