@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayloom.operators.joins import hot_keys, left_lookup, skew_join
+from assayloom.operators.joins import hot_keys, skew_join
 from assayloom.session import materialise
 
 
@@ -47,9 +47,12 @@ def array_sizes(mols: DataFrame, atoms: str = "atoms", bonds: str = "bonds", gra
     return mols.select(graph, F.size(atoms).cast("long").alias("n_nodes"), F.size(bonds).cast("long").alias("n_edges"))
 
 
-def _hash60(label: Column) -> Column:
-    """The first 60 bits of a hex md5 as a whole number."""
-    return F.conv(F.substring(label, 1, 15), 16, 10).cast("long")
+def _hash60(text: Column) -> Column:
+    """The first 60 bits of a text's md5 as a whole number."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
+_HALF = 30          # a label is summed as two halves of this many bits, so sums stay within a long
 
 
 def neighbourhood_labels(
@@ -58,33 +61,39 @@ def neighbourhood_labels(
     """(graph_id, node_id, round, label) for rounds 0..radius.
 
     Round 0 hashes a node's symbol. Each further round hashes the node's label
-    with the sum of its neighbours' label hashes. A sum does not depend on order
-    and combines on the map side, so a hub with a third of all edges is never
+    with the sum of its neighbours' labels. A sum does not depend on order and
+    combines on the map side, so a hub with a third of all edges is never
     gathered in one place; the join that brings labels to edges salts such hubs.
+    A round is one such join and one grouping, in which a node's own label and
+    its neighbours' labels arrive together.
     """
-    simple = simple_edges(edges, graph)
-    both = materialise(
-        simple.select(graph, "src", "dst").unionByName(
-            simple.where("src <> dst").select(graph, F.col("dst").alias("src"), F.col("src").alias("dst"))
+    back = F.struct(F.col("dst").alias("node_id"), F.col("src").alias("near"))
+    there = F.struct(F.col("src").alias("node_id"), F.col("dst").alias("near"))
+    ends = materialise(
+        simple_edges(edges, graph).select(
+            graph, F.inline(F.when(F.col("src") == F.col("dst"), F.array(there)).otherwise(F.array(there, back)))
         ),
         "edges",
     )
-    to_end = both.select(graph, F.col("src").alias("node_id"), F.col("dst").alias("near"))
-    hubs = hot_keys(to_end.select(graph, "near"), [graph, "near"])
+    hubs = hot_keys(ends.select(graph, "near"), [graph, "near"])
     labels = materialise(
-        nodes.select(graph, "node_id", F.md5(F.coalesce("symbol", F.lit(""))).alias("label")), "labels"
+        nodes.select(graph, "node_id", _hash60(F.coalesce("symbol", F.lit(""))).alias("label")), "labels"
     )
     rounds = [labels.withColumn("round", F.lit(0))]
     for r in range(1, radius + 1):
-        near = labels.select(graph, F.col("node_id").alias("near"), _hash60(F.col("label")).alias("h"))
-        seen = skew_join(to_end, near, [graph, "near"], "inner", spread=[graph, "node_id"], hot=hubs)
-        sums = seen.groupBy(graph, "node_id").agg(F.sum(F.col("h").cast("decimal(28,0)")).alias("near_sum"))
-        text = F.coalesce(F.col("near_sum").cast("string"), F.lit("0"))
+        near = labels.select(graph, F.col("node_id").alias("near"), F.col("label").alias("h"))
+        seen = skew_join(ends, near, [graph, "near"], "inner", spread=[graph, "node_id"], hot=hubs)
+        own = labels.select(graph, "node_id", "label", F.lit(0).cast("long").alias("h"))
+        both = own.unionByName(seen.select(graph, "node_id", F.lit(None).cast("long").alias("label"), "h"))
+        sums = both.groupBy(graph, "node_id").agg(
+            F.max("label").alias("label"),
+            F.sum(F.shiftright("h", _HALF)).alias("high"),
+            F.sum(F.col("h").bitwiseAND(F.lit((1 << _HALF) - 1))).alias("low"),
+        )
+        text = F.concat_ws(":", F.lit(str(r)), F.col("label").cast("string"),
+                           F.col("high").cast("string"), F.col("low").cast("string"))
         labels = materialise(
-            left_lookup(labels, sums, [graph, "node_id"]).select(
-                graph, "node_id", F.md5(F.concat_ws(":", F.lit(str(r)), F.col("label"), text)).alias("label")
-            ),
-            "labels",
+            sums.where(F.col("label").isNotNull()).select(graph, "node_id", _hash60(text).alias("label")), "labels"
         )
         rounds.append(labels.withColumn("round", F.lit(r)))
     out = rounds[0]
@@ -95,7 +104,7 @@ def neighbourhood_labels(
 
 def fingerprint_bits(labels: DataFrame, n_bits: int = 2048, graph: str = "graph_id") -> DataFrame:
     """(graph_id, bit): the set positions of each graph's fingerprint."""
-    return labels.select(graph, F.pmod(_hash60(F.col("label")), F.lit(n_bits)).cast("int").alias("bit")).distinct()
+    return labels.select(graph, F.pmod(F.col("label"), F.lit(n_bits)).cast("int").alias("bit")).distinct()
 
 
 def fingerprints(labels: DataFrame, n_bits: int = 2048, graph: str = "graph_id") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from assayloom.constants import EXEMPT_NAMES, FEATURE_COLUMNS, GROUP_STATS, NAME_ALIASES
 from assayloom.functions.names import alias_name, clean_name
 from assayloom.operators.joins import assert_unique, concat_columns, dimension_join, suffix_join
-from assayloom.operators.select import select_lenient
+from assayloom.operators.select import select_lenient, select_strict
 from assayloom.operators.stats import group_summary
 
 
@@ -85,14 +85,16 @@ def enrich_training(
     features = features.withColumn("sm_name", clean_name("sm_name", rules.exempt))
 
     out = dimension_join(features, first.summary(), first.group_keys, freeze=True, spread=[row_id])
-    shared = [k for k in second.group_keys if k in features.columns]
-    out = suffix_join(out, second.summary(), shared, freeze=True, spread=[row_id], fan_out=True)
     out = out.withColumn("sm_name", alias_name("sm_name", rules.aliases))
+    out = dimension_join(out, properties, ["sm_name"], spread=[row_id])
+    # The donors come last: everything before them is done once per row, not once per donor.
+    shared = [k for k in second.group_keys if k in features.columns]
     donors = [k for k in second.group_keys if k not in shared]
-    out = dimension_join(out, properties, ["sm_name"], spread=[row_id, *donors])
+    out = suffix_join(out, second.summary(), shared, freeze=True, spread=[row_id], fan_out=True)
 
-    stats = [c for c in out.columns if c not in {row_id, *FEATURE_COLUMNS, *carried}]
-    out = out.select(*[F.col(f"`{c}`") for c in [row_id, *FEATURE_COLUMNS, *stats, *carried]])
+    known = [c for c in properties.columns if c != "sm_name"]
+    stats = [c for c in out.columns if c not in {row_id, *FEATURE_COLUMNS, *known, *carried}]
+    out = select_strict(out, [row_id, *FEATURE_COLUMNS, *stats, *known, *carried])
     if align == "row_id":
         return out
     wide = rows.select(row_id, *targets)

@@ -24,6 +24,8 @@ def build_session(app_name: str = "assayloom", master: str | None = None, **conf
     defaults = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # A sort-merge join becomes a hash join when every partition turns out this small.
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }

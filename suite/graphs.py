@@ -12,20 +12,20 @@ _EDGES = f"""{_NODES}, edges AS (SELECT graph_id, CAST(unnest(range(len(atoms) -
 
 
 def _hash(x: str) -> str:
-    return f"CAST('0x' || substr({x}, 1, 15) AS BIGINT)"
+    return f"CAST('0x' || substr(md5({x}), 1, 15) AS BIGINT)"
 
 
 def _round(r: int) -> str:
-    return f"""s{r} AS (SELECT e.graph_id, e.node_id, SUM({_hash('l.label')}) AS near_sum
+    return f"""s{r} AS (SELECT e.graph_id, e.node_id, SUM(l.label >> 30) AS high, SUM(l.label & 1073741823) AS low
   FROM ends e JOIN l{r - 1} l ON e.graph_id = l.graph_id AND e.near = l.node_id GROUP BY e.graph_id, e.node_id),
 l{r} AS (SELECT l.graph_id, l.node_id,
-  md5('{r}:' || l.label || ':' || COALESCE(CAST(near_sum AS VARCHAR), '0')) AS label
+  {_hash(f"'{r}:' || l.label || ':' || COALESCE(high, 0) || ':' || COALESCE(low, 0)")} AS label
   FROM l{r - 1} l LEFT JOIN s{r} s ON l.graph_id = s.graph_id AND l.node_id = s.node_id)"""
 
 
 _LABELS = f"""{_EDGES},
 ends AS (SELECT graph_id, src AS node_id, src + 1 AS near FROM edges UNION ALL SELECT graph_id, src + 1, src FROM edges),
-l0 AS (SELECT graph_id, node_id, md5(symbol) AS label FROM nodes), {_round(1)}, {_round(2)},
+l0 AS (SELECT graph_id, node_id, {_hash('symbol')} AS label FROM nodes), {_round(1)}, {_round(2)},
 labels3 AS (SELECT * FROM l0 UNION ALL SELECT * FROM l1 UNION ALL SELECT * FROM l2)"""
 
 _PARTS = """e AS (SELECT DISTINCT l_orderkey AS graph_id, LEAST(l_partkey, l_suppkey) AS src,
@@ -72,12 +72,12 @@ def array_graph_sizes(t):
     return G.array_sizes(t.mols)
 
 
-@query(f"WITH {_LABELS} SELECT DISTINCT graph_id, CAST({_hash('label')} % 2048 AS INTEGER) AS bit FROM labels3")
+@query(f"WITH {_LABELS} SELECT DISTINCT graph_id, CAST(label % 2048 AS INTEGER) AS bit FROM labels3")
 def fingerprint_positions(t):
     return G.fingerprint_bits(G.neighbourhood_labels(G.nodes_of(t.mols), G.edges_of(t.mols), 2))
 
 
-@query(f"""WITH {_LABELS}, b AS (SELECT DISTINCT graph_id, {_hash('label')} % 256 AS bit FROM labels3),
+@query(f"""WITH {_LABELS}, b AS (SELECT DISTINCT graph_id, label % 256 AS bit FROM labels3),
 s AS (SELECT graph_id, list(bit) AS bits FROM b GROUP BY graph_id)
 SELECT graph_id, list_aggregate(list_transform(range(256), lambda i: CASE WHEN list_contains(bits, i) THEN '1' ELSE '0' END),
   'string_agg', '') AS bits FROM s""")
