@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assayloom.operators.select import not_null
 from assayloom.session import fits_broadcast, materialise
 
 # A key is hot when it holds more than this share of the left rows; so at most
@@ -63,16 +66,14 @@ def skew_join(
     if hot.isEmpty():
         return left.join(right, on, how)
     spread_by = F.xxhash64(*[F.col(f"`{c}`") for c in (spread or left.columns)])
-    null_key = F.lit(False)
-    for k in on:
-        null_key = null_key | F.col(f"`{k}`").isNull()
+    null_key = reduce(or_, [F.col(f"`{k}`").isNull() for k in on])
     # ``hot`` has at most 1/share rows, whatever the size of the data.
-    small = F.broadcast(hot.dropna(subset=on))
+    small = F.broadcast(hot.where(~null_key))
     pieces = F.coalesce("_n_salts", F.lit(1))
     piece = F.when(null_key, F.pmod(spread_by, F.lit(int(1 / share)))).otherwise(F.pmod(spread_by, pieces))
     salted_left = left.join(small, on, "left").withColumn("_salt", piece.cast("int")).drop("_n_salts")
     salted_right = (
-        right.dropna(subset=on).join(small, on, "left")
+        right.where(~null_key).join(small, on, "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), pieces - 1)))
         .drop("_n_salts")
     )
@@ -154,11 +155,11 @@ def concat_columns(
     """Put two tables side by side.
 
     ``row_id``: each left row meets the right row of its own id, also after a
-    fan-out. ``position``: the n-th left row meets the n-th right row, and the
+    fan-out that repeats ids very unevenly. ``position``: the n-th left row meets the n-th right row, and the
     longer side is padded with nulls; the orders must be stated.
     """
     if align == "row_id":
-        return left.join(right, row_id, "left")
+        return skew_join(left, right, [row_id], "left")
     if align != "position":
         raise ValueError(f"align must be 'row_id' or 'position', not {align!r}")
     from assayloom.operators.rows import with_row_index
@@ -171,8 +172,8 @@ def concat_columns(
 
 def key_hits(left: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """(key, n_rows, found) per distinct non-null key of the left table."""
-    counts = left.dropna(subset=[key]).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
-    known = dimension.select(key).dropna().distinct().withColumn("_found", F.lit(True))
+    counts = not_null(left, [key]).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    known = not_null(dimension.select(key), [key]).distinct().withColumn("_found", F.lit(True))
     return left_lookup(counts, known, [key]).select(
         key, "n_rows", F.col("_found").isNotNull().alias("found")
     )
@@ -188,5 +189,5 @@ def hit_summary(left: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
 
 def missing_keys(left: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Distinct left keys the dimension does not hold."""
-    names = left.select(key).dropna().distinct()
-    return names.join(dimension.select(key), key, "left_anti")
+    names = not_null(left.select(key), [key]).distinct()
+    return names.join(dimension.select(key).distinct(), key, "left_anti")

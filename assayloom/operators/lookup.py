@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayloom.operators.select import last_column_first
+from assayloom.operators.select import last_column_first, not_null
 from assayloom.operators.sets import first_match
 
 
@@ -20,8 +20,8 @@ def lookup_snapshot(
     Both sides are grouped by the name before they meet, so the join needs no
     further shuffle and no name can be hot in it.
     """
-    wanted = names.select(key).dropna().distinct()
-    best = first_match(snapshot.dropna(subset=[key]), key, rank, fields)
+    wanted = not_null(names.select(key), [key]).distinct()
+    best = first_match(not_null(snapshot, [key]), key, rank, fields)
     return best.join(wanted, key)
 
 
@@ -38,7 +38,7 @@ def lookup_provider(
     ``found = false``; an exception is reported in ``error`` and does not stop
     the other names. ``partitions`` sets how many names are asked for at a time.
     """
-    wanted = names.select(key).dropna().distinct()
+    wanted = not_null(names.select(key), [key]).distinct()
     if partitions:
         wanted = wanted.repartition(partitions, key)
     field_names = fields.fieldNames()

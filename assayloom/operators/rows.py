@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assayloom.operators.joins import dimension_join
 from assayloom.session import materialise
 
 # monotonically_increasing_id() holds the partition above bit 33, the row below.
@@ -49,13 +50,16 @@ def ids_where_member(df: DataFrame, col: str, members: Iterable, row_id: str = "
 
 
 def gather(df: DataFrame, ids: DataFrame, row_id: str = "row_id") -> DataFrame:
-    """The rows named by a set of ids."""
-    return df.join(ids.select(row_id), row_id, "left_semi")
+    """The rows named by a set of ids (an id may be named often; it counts once)."""
+    return df.join(ids.select(row_id).distinct(), row_id, "left_semi")
 
 
 def gather_in_order(df: DataFrame, ids: DataFrame, row_id: str = "row_id", position: str = "position") -> DataFrame:
-    """The rows named by an id list, once per mention, with their list position."""
-    return df.join(ids.select(row_id, position), row_id)
+    """The rows named by an id list, once per mention, with their list position.
+
+    One id may be mentioned very often, so the list is the side that is salted.
+    """
+    return dimension_join(ids.select(row_id, position), df, [row_id], "inner", spread=[position])
 
 
 def peek(df: DataFrame, order_by: Sequence, n: int = 5) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from assayloom.constants import GROUP_STATS, OBSERVATION_STATS
 from assayloom.operators.joins import left_lookup
+from assayloom.operators.select import not_null
 
 
 def measure(col: str) -> Column:
@@ -41,10 +42,6 @@ def _mean(col: str, exact: tuple[int, int] | None) -> Column:
 _FUNCTIONS = {"sum": _sum, "mean": _mean}
 
 
-def _non_null(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(keys))
-
-
 def agg_stats(
     df: DataFrame,
     keys: Sequence[str],
@@ -57,7 +54,7 @@ def agg_stats(
     on the order in which partial sums arrive.
     """
     out = [_FUNCTIONS[fn](m, exact).alias(f"{m}_{fn}") for m, fns in measures.items() for fn in fns]
-    return _non_null(df, keys).groupBy(*keys).agg(*out)
+    return not_null(df, keys).groupBy(*keys).agg(*out)
 
 
 def regroup_stats(
@@ -68,7 +65,7 @@ def regroup_stats(
 ) -> DataFrame:
     """One function per measure, names unchanged: means of means, sums of sums."""
     out = [_FUNCTIONS[fn](m, exact).alias(m) for m, fn in measures.items()]
-    return _non_null(df, keys).groupBy(*keys).agg(*out)
+    return not_null(df, keys).groupBy(*keys).agg(*out)
 
 
 def group_summary(

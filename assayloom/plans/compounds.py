@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from assayloom.constants import COMPOUND_PROPERTIES
 from assayloom.functions.names import alias_name, clean_name
 from assayloom.operators.lookup import lookup_provider, lookup_snapshot, property_table
+from assayloom.operators.select import not_null
 from assayloom.plans.enrich import NameRules
 
 
@@ -20,7 +21,7 @@ def compound_names(rows: DataFrame, rules: NameRules = NameRules()) -> DataFrame
     Made distinct again after cleaning: two spellings that clean to one name
     must not give the property table two rows for it.
     """
-    raw = rows.select("sm_name").dropna().distinct()
+    raw = not_null(rows.select("sm_name"), ["sm_name"]).distinct()
     return raw.select(clean_name(alias_name("sm_name", rules.aliases), rules.exempt).alias("sm_name")).distinct()
 
 

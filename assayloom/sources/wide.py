@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from assayloom.constants import FEATURE_COLUMNS
 
+_MAX_TASKS = 20_000     # a task reads several row groups when there are more than this
+
 
 def pack_columns(df: DataFrame, keep: Sequence[str], out: str = "targets", dtype: str = "float") -> DataFrame:
     """All columns but ``keep`` as one array column, for tables of moderate width."""
@@ -87,7 +89,7 @@ def read_wide_parquet(
         return spark.createDataFrame([], schema)
     work = (
         spark.createDataFrame(tasks, "path string, row_group int, start long")
-        .repartitionByRange(len(tasks), "start")
+        .repartitionByRange(min(len(tasks), _MAX_TASKS), "start")
     )
 
     arrow_names = {
