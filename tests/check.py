@@ -53,6 +53,26 @@ def compare(df, con, sql: str) -> str | None:
     return None
 
 
+def compare_stored(df, con, sql: str) -> str | None:
+    """As ``compare``, for large results: Spark stores its result and DuckDB subtracts."""
+    import tempfile
+
+    path = tempfile.mkdtemp(prefix="run-") + "/out"
+    df.write.parquet(path)
+    con.execute(f"CREATE OR REPLACE TEMP TABLE _want AS {sql}")
+    want = sorted(r[0] for r in con.execute("DESCRIBE _want").fetchall())
+    if sorted(df.columns) != want:
+        return f"columns {sorted(df.columns)} != {want}"
+    names = ", ".join(f'"{n}"' for n in want)
+    got = f"SELECT {names} FROM read_parquet('{path}/*.parquet')"
+    con.execute(f"CREATE OR REPLACE TEMP TABLE _got AS {got}")
+    extra = con.execute(f"SELECT {names} FROM _got EXCEPT ALL SELECT {names} FROM _want").fetchall()
+    lacking = con.execute(f"SELECT {names} FROM _want EXCEPT ALL SELECT {names} FROM _got").fetchall()
+    if extra or lacking:
+        return f"{len(extra)} rows too many, {len(lacking)} lacking, {str(extra[:1])[:300]} {str(lacking[:1])[:300]}"
+    return None
+
+
 def main(argv):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     import __spark_entry__ as entry
@@ -71,7 +91,7 @@ def main(argv):
         try:
             df = fn(spark, sf_dir)
             if name in sql:
-                problem = compare(df, con, sql[name])
+                problem = compare_stored(df, con, sql[name])
                 note = "ok" if problem is None else f"FAIL {problem}"
             else:
                 problem, note = None, f"{df.count()} rows"
