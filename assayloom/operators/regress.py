@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
@@ -29,15 +29,28 @@ def fit_linear(
     max_iter: int = 100,
     solver: str = "auto",
 ) -> PipelineModel:
-    """Linear regression on scalar columns. Rows with a missing feature are an error."""
-    vector = f"_{prediction}_in"
+    """Linear regression on scalar columns. Rows with a missing feature are an error.
+
+    Features are centred and scaled first: a feature with a large mean and a
+    small spread, such as an earlier stage's prediction, would otherwise cost
+    the solution several digits.
+    """
+    raw, scaled = f"_{prediction}_in", f"_{prediction}_scaled"
     return Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol=vector, handleInvalid="error"),
-        LinearRegression(featuresCol=vector, labelCol=label, predictionCol=prediction,
+        VectorAssembler(inputCols=list(features), outputCol=raw, handleInvalid="error"),
+        StandardScaler(inputCol=raw, outputCol=scaled, withMean=True, withStd=True),
+        LinearRegression(featuresCol=scaled, labelCol=label, predictionCol=prediction,
                          regParam=reg, maxIter=max_iter, solver=solver),
     ]).fit(df)
 
 
+def linear_coefficients(model: PipelineModel) -> tuple[float, list[float]]:
+    """(intercept, coefficients) of ``fit_linear`` in the features' own units."""
+    scaler, fitted = model.stages[1], model.stages[2]
+    slopes = [float(c / s) if s else 0.0 for c, s in zip(fitted.coefficients, scaler.std)]
+    return float(fitted.intercept - sum(b * m for b, m in zip(slopes, scaler.mean))), slopes
+
+
 def fit_boosted(
     df: DataFrame,
     features: Sequence[str],
@@ -227,7 +240,9 @@ def fit_stacked(
 def score_stacked(models: tuple[PipelineModel, PipelineModel], df: DataFrame) -> DataFrame:
     """Both stages' predictions."""
     base, second = models
-    return second.transform(base.transform(df)).drop("_base_prediction_in", "_prediction_in")
+    return second.transform(base.transform(df)).drop(
+        "_base_prediction_in", "_base_prediction_scaled", "_prediction_in", "_prediction_scaled"
+    )
 
 
 def fit_stacked_ridge(

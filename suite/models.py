@@ -26,12 +26,11 @@ staged AS (SELECT l_orderkey, l_linenumber, l_extendedprice, base, b0 + b1 * bas
 
 @query(f"SELECT ROUND(b0, 2) AS b0, ROUND(b1, 2) AS b1, ROUND(b2, 2) AS b2 FROM {_FIT}")
 def linear_regression(t):
-    fitted = R.fit_linear(t.lineitem, ["l_quantity", "l_discount"], "l_extendedprice").stages[-1]
-    b1, b2 = fitted.coefficients
+    b0, (b1, b2) = R.linear_coefficients(R.fit_linear(t.lineitem, ["l_quantity", "l_discount"], "l_extendedprice"))
     # The model is three numbers; the row count ties the result to the table it was fitted on.
-    return t.lineitem.agg(F.count(F.lit(1)).alias("n")).select(
-        F.round(F.lit(float(fitted.intercept)), 2).alias("b0"), F.round(F.lit(float(b1)), 2).alias("b1"),
-        F.round(F.lit(float(b2)), 2).alias("b2"),
+    return t.lineitem.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.round(F.lit(b0), 2).alias("b0"), F.round(F.lit(b1), 2).alias("b1"),
+        F.round(F.lit(b2), 2).alias("b2"),
     )
 
 

@@ -104,3 +104,19 @@ def test_pack_columns(spark):
     df = spark.createDataFrame([(1, 2.0, 3.0)], "i int, a double, b double")
     out = pack_columns(df, ["i"])
     assert out.dtypes == [("i", "int"), ("targets", "array<float>")] and out.first().targets == [2.0, 3.0]
+
+
+def _session(master, folder):
+    from types import SimpleNamespace
+
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: folder or default),
+        sparkContext=SimpleNamespace(master=master, applicationId="app-1"),
+    )
+
+
+def test_shared_folder_comes_from_the_session():
+    assert shared_dir(_session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    with pytest.raises(RuntimeError):
+        shared_dir(_session("yarn", None))
+    assert shared_dir(_session("local[2]", None)) == shared_dir(_session("local[2]", None))
