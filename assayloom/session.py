@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +73,19 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread_scan(scan: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Deal a stored table out by ``by`` when it lies in fewer pieces than there are cores.
+
+    For heavy work per row on a table of few row groups. A table in enough pieces
+    is returned as it is, without a shuffle. Give a plain scan: its pieces are
+    known from planning, while those of a shuffled result would have to be run.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, *[F.col(f"`{c}`") for c in by])
+
+
 def _value_bytes(col: Column, dtype: T.DataType) -> Column:
     """Bytes of data in one value, by type."""
     if isinstance(dtype, (T.StringType, T.BinaryType)):

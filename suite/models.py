@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from assayloom.functions.names import member_flag
 from assayloom.operators import regress as R
+from assayloom.session import spread_scan
 from suite.registry import query
 
 
@@ -42,8 +43,13 @@ def batch_scoring(t):
     return scored.withColumn("prediction", F.round("prediction", 2))
 
 
+def _lines(t):
+    wanted = ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_extendedprice", "l_returnflag"]
+    return spread_scan(t.lineitem.select(*wanted), ["l_orderkey", "l_linenumber"])
+
+
 def _flagged(t):
-    return t.lineitem.select(
+    return _lines(t).select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_extendedprice",
         member_flag("l_returnflag", ["A", "R"]).cast("double").alias("flag"),
     )
@@ -78,7 +84,7 @@ def optimiser_history(t):
 
 @query()
 def boosted_regression(t):
-    model = R.fit_boosted(t.lineitem, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", rounds=5, depth=3)
+    model = R.fit_boosted(_lines(t), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", rounds=5, depth=3)
     return R.score(model, t.lineitem, ["l_orderkey", "l_linenumber"])
 
 
@@ -86,7 +92,7 @@ _RIDGE = [closed_form("lineitem", "l_quantity", "l_discount", y, "1") for y in (
 
 
 def _arrays(t):
-    return t.lineitem.select(
+    return _lines(t).select(
         "l_orderkey", "l_linenumber",
         F.array("l_quantity", "l_discount").alias("features"), F.array("l_extendedprice", "l_tax").alias("targets"),
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from assayloom.operators.joins import dimension_join
 from assayloom.plans.enrich import Assay, NameRules
+from assayloom.session import spread_scan
 
 RULES = NameRules(aliases={"4-NOT SPECIFIED": "4-NONE"})
 EXACT = (18, 4)
@@ -127,7 +128,8 @@ class Tables:
             lambda i: F.struct(i.alias("src"), (i + 1).alias("dst")),
         )
         none = F.array().cast("array<struct<src:int,dst:int>>")
-        return self.documents.select(F.col("doc_id").alias("graph_id"), atoms.alias("atoms")).withColumn(
+        texts = spread_scan(self.documents.select("doc_id", "text"), ["doc_id"])
+        return texts.select(F.col("doc_id").alias("graph_id"), atoms.alias("atoms")).withColumn(
             "bonds", F.when(F.size("atoms") > 1, chain).otherwise(none)
         )
 

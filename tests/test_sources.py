@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import types as T
 
 from assayloom.constants import NULL_TOKENS
-from assayloom.session import materialise, shared_dir
+from assayloom.session import materialise, shared_dir, spread_scan
 from assayloom.sources import read_csv, read_parquet, read_table, rows_to_table, write_csv, write_parquet
 from assayloom.sources.wide import pack_columns, read_wide_parquet, wide_column_names
 
@@ -120,3 +120,18 @@ def test_shared_folder_comes_from_the_session():
     with pytest.raises(RuntimeError):
         shared_dir(_session("yarn", None))
     assert shared_dir(_session("local[2]", None)) == shared_dir(_session("local[2]", None))
+
+
+def test_only_a_table_in_few_pieces_is_dealt_out(spark, tmp_path, rows):
+    one, many = str(tmp_path / "one"), str(tmp_path / "many")
+    spark.range(1000).coalesce(1).write.parquet(one)
+    spark.range(1000).repartition(40).write.option("maxRecordsPerFile", 10).parquet(many)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
+    try:
+        dealt, kept = (spread_scan(spark.read.parquet(p), ["id"]) for p in (one, many))
+        assert dealt.rdd.getNumPartitions() == 8
+        assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+        assert rows(dealt) == rows(kept) and kept.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
