@@ -6,15 +6,14 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayloom.operators.select import not_null
 from assayloom.session import fits_broadcast, materialise
 
-# A key is hot when it holds more than this share of the left rows; so at most
-# 1/HOT_SHARE keys can be hot, which bounds the table of hot keys.
-HOT_SHARE = 1.0 / 256
+# Fewest pieces a join's left side is thought of as divided into.
+_MIN_PIECES = 256
 
 
 def left_lookup(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -26,19 +25,25 @@ def left_lookup(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFra
     return left.join(right, list(on), "left")
 
 
-def hot_keys(left: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """(keys, n_salts) of the keys above ``share`` of the rows; at most 1/share rows.
+def join_pieces(spark: SparkSession) -> int:
+    """Pieces to divide a join's left side into: one per shuffle partition, 256 at least."""
+    return max(_MIN_PIECES, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
-    ``n_salts`` splits a key into pieces of about ``share`` of the table each.
-    Keys with nulls are counted too.
+
+def hot_keys(left: DataFrame, on: Sequence[str], pieces: int | None = None) -> DataFrame:
+    """(keys, n_salts) of the keys that hold more than one piece's rows.
+
+    With the rows divided into ``pieces`` equal parts, at most ``pieces`` keys can
+    be hot, which bounds this table. ``n_salts`` divides a key into parts of about
+    one piece. Keys with nulls are counted too. Keys are counted once, combined
+    on the map side; the total is taken from the same counts.
     """
+    pieces = pieces or join_pieces(left.sparkSession)
     keys = [F.col(f"`{k}`") for k in on]
     counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    piece = max(1.0, share * left.count())
+    piece = F.greatest(F.lit(1.0), counts.agg(F.sum("_n")).scalar() / F.lit(float(pieces)))
     hot = counts.where(F.col("_n") > piece)
-    return materialise(
-        hot.select(*keys, F.ceil(F.col("_n") / F.lit(piece)).cast("int").alias("_n_salts")), "hot-keys"
-    )
+    return materialise(hot.select(*keys, F.ceil(F.col("_n") / piece).cast("int").alias("_n_salts")), "hot-keys")
 
 
 def skew_join(
@@ -48,7 +53,6 @@ def skew_join(
     how: str = "left",
     spread: Sequence[str] | None = None,
     hot: DataFrame | None = None,
-    share: float = HOT_SHARE,
 ) -> DataFrame:
     """Shuffled left or inner join with the left side's hot keys cut into pieces.
 
@@ -62,19 +66,19 @@ def skew_join(
     if how not in ("left", "inner"):
         raise ValueError("skew_join does left and inner joins")
     on = list(on)
-    hot = hot_keys(left, on, share) if hot is None else hot
+    hot = hot_keys(left, on) if hot is None else hot
     if hot.isEmpty():
         return left.join(right, on, how)
     spread_by = F.xxhash64(*[F.col(f"`{c}`") for c in (spread or left.columns)])
     null_key = reduce(or_, [F.col(f"`{k}`").isNull() for k in on])
-    # ``hot`` has at most 1/share rows, whatever the size of the data.
+    # At most one row per piece, whatever the size of the data.
     small = F.broadcast(hot.where(~null_key))
-    pieces = F.coalesce("_n_salts", F.lit(1))
-    piece = F.when(null_key, F.pmod(spread_by, F.lit(int(1 / share)))).otherwise(F.pmod(spread_by, pieces))
-    salted_left = left.join(small, on, "left").withColumn("_salt", piece.cast("int")).drop("_n_salts")
+    salts = F.coalesce("_n_salts", F.lit(1))
+    salt = F.when(null_key, F.pmod(spread_by, F.lit(join_pieces(left.sparkSession)))).otherwise(F.pmod(spread_by, salts))
+    salted_left = left.join(small, on, "left").withColumn("_salt", salt.cast("int")).drop("_n_salts")
     salted_right = (
         right.where(~null_key).join(small, on, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), pieces - 1)))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
         .drop("_n_salts")
     )
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
@@ -88,6 +92,7 @@ def dimension_join(
     freeze: bool = False,
     spread: Sequence[str] | None = None,
     fan_out: bool = False,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Join a table to a dimension.
 
@@ -100,6 +105,9 @@ def dimension_join(
     ``fan_out`` says that a left row meets many dimension rows. The left rows
     are then dealt out evenly by ``spread`` before they multiply, so that every
     task writes about as much; this moves each row once, before the growth.
+
+    ``count_on`` is an earlier table with the same rows' keys, to count hot keys
+    on when ``left`` is costly to compute.
     """
     on = list(on)
     if freeze:
@@ -108,7 +116,8 @@ def dimension_join(
         if fan_out:
             left = left.repartition(*[F.col(f"`{c}`") for c in (spread or left.columns)])
         return left.join(F.broadcast(right), on, how)
-    return skew_join(left, right, on, how, spread)
+    hot = hot_keys(left if count_on is None else count_on, on)
+    return skew_join(left, right, on, how, spread, hot)
 
 
 def suffix_overlaps(

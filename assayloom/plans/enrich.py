@@ -85,12 +85,14 @@ def enrich_training(
     features = features.withColumn("sm_name", clean_name("sm_name", rules.exempt))
 
     out = dimension_join(features, first.summary(), first.group_keys, freeze=True, spread=[row_id])
-    out = out.withColumn("sm_name", alias_name("sm_name", rules.aliases))
-    out = dimension_join(out, properties, ["sm_name"], spread=[row_id])
+    aliased = alias_name("sm_name", rules.aliases)
+    out = dimension_join(out.withColumn("sm_name", aliased), properties, ["sm_name"], spread=[row_id],
+                         count_on=features.select(aliased.alias("sm_name")))
     # The donors come last: everything before them is done once per row, not once per donor.
     shared = [k for k in second.group_keys if k in features.columns]
     donors = [k for k in second.group_keys if k not in shared]
-    out = suffix_join(out, second.summary(), shared, freeze=True, spread=[row_id], fan_out=True)
+    out = suffix_join(out, second.summary(), shared, freeze=True, spread=[row_id], fan_out=True,
+                      count_on=features.select(*shared))
 
     known = [c for c in properties.columns if c != "sm_name"]
     stats = [c for c in out.columns if c not in {row_id, *FEATURE_COLUMNS, *known, *carried}]
