@@ -10,12 +10,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_DIGITS = 3          # hex digits per counting round: at most 4096 counts reach the driver
-_FINAL = 10_000      # a prefix with at most this many keys is finished by a top-n
+_DIGITS = 3          # hex digits per counting round: at most 4096 counts per draw reach the driver
+_FINAL = 10_000      # a prefix with at most this many keys is finished by reading them
+_KEY_WIDTH = 32      # hex digits of an md5
 
 
 def draw_key(ids: Sequence[str], seed: int | str) -> Column:
@@ -24,34 +27,82 @@ def draw_key(ids: Sequence[str], seed: int | str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
 
 
-def kth_key(rows: DataFrame, key: Column, size: Callable[[int], int]) -> str:
-    """The largest key of the ``size(n)`` smallest among the n rows; '' for none.
+@dataclass
+class Draw:
+    """Rows to draw from, their key, how many of n rows to draw, and the search so far."""
+
+    rows: Column
+    key: Column
+    size: Callable[[int], int]
+    prefix: str = ""
+    left: int | None = None
+    cut: str | None = None
+
+    def narrow(self, bars: list[tuple[str, int]]) -> bool:
+        """Take counts by prefix, smallest first; True when the prefix is short enough to read."""
+        if self.left is None:
+            n = sum(count for _, count in bars)
+            self.left = self.size(n)
+            if self.left > n:
+                raise ValueError(f"cannot draw {self.left} of {n} rows")
+            if self.left <= 0:
+                self.cut = ""
+                return False
+        for prefix, count in bars:
+            if self.left <= count:
+                break
+            self.left -= count
+        self.prefix = prefix
+        if len(prefix) == _KEY_WIDTH:
+            self.cut = prefix
+        return count <= _FINAL
+
 
-    Keys are hex and evenly spread, so every round divides the rows still in
-    question by 4096. Ids must be unique.
+def kth_keys(rows: DataFrame, draws: Sequence[Draw]) -> list[str]:
+    """Per draw, the largest of the ``size(n)`` smallest keys among its n rows; '' for none.
+
+    Draws must not share rows. Keys are hex and evenly spread, so every pass over
+    the table divides the rows still in question by 4096, for all draws at once.
+    Ids must be unique.
     """
-    keys = rows.select(key.alias("_key"))
-    prefix, left = "", None
-    while True:
-        width = len(prefix) + _DIGITS
-        within = keys.where(F.col("_key").startswith(prefix)) if prefix else keys
-        bars = within.groupBy(F.substring("_key", 1, width).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
-        bars.sort(key=lambda r: r["p"])
-        if left is None:
-            n = sum(r["n"] for r in bars)
-            left = size(n)
-            if left > n:
-                raise ValueError(f"cannot draw {left} of {n} rows")
-            if left <= 0:
-                return ""
-        for bar in bars:
-            if left <= bar["n"]:
-                break
-            left -= bar["n"]
-        prefix = bar["p"]
-        if bar["n"] <= _FINAL or width >= 32:
-            tail = keys.where(F.col("_key").startswith(prefix)).orderBy("_key").limit(left)
-            return tail.agg(F.max("_key")).first()[0]
+    def of(pairs):
+        return reduce(lambda expr, p: expr.when(p[0], p[1]), pairs[1:], F.when(*pairs[0]))
+
+    tagged = rows.select(
+        of([(d.rows, F.lit(i)) for i, d in enumerate(draws)]).alias("_draw"),
+        of([(d.rows, d.key) for d in draws]).alias("_key"),
+    ).where("_draw is not null")
+
+    def within(ids):
+        return tagged.where(reduce(
+            lambda a, b: a | b,
+            [(F.col("_draw") == i) & F.col("_key").startswith(draws[i].prefix) for i in ids],
+        ))
+
+    searching, short = list(range(len(draws))), []
+    width = 0
+    while searching:
+        width += _DIGITS
+        counts = (
+            within(searching).groupBy("_draw", F.substring("_key", 1, width).alias("p"))
+            .agg(F.count(F.lit(1)).alias("n")).collect()
+        )
+        for i in searching:
+            if draws[i].narrow(sorted((r["p"], r["n"]) for r in counts if r["_draw"] == i)):
+                short.append(i)
+        searching = [i for i in searching if i not in short and draws[i].cut is None]
+    short = [i for i in short if draws[i].cut is None]
+    if short:
+        # At most _FINAL keys per draw, as counted.
+        keys = within(short).collect()
+        for i in short:
+            draws[i].cut = sorted(r["_key"] for r in keys if r["_draw"] == i)[draws[i].left - 1]
+    return [d.cut for d in draws]
+
+
+def kth_key(rows: DataFrame, key: Column, size: Callable[[int], int]) -> str:
+    """``kth_keys`` of a single draw."""
+    return kth_keys(rows, [Draw(F.lit(True), key, size)])[0]
 
 
 def floor_of(fraction: float) -> Callable[[int], int]:
@@ -108,17 +159,21 @@ def group_holdout(
     majority rows are first divided as in ``nested_split``; without, all of them
     are training rows. Rows of neither group are left out.
     """
-    is_major = F.col(f"`{group}`").isin(list(majority))
-    is_minor = F.col(f"`{group}`").isin(list(minority))
-    minor_key = draw_key(ids, f"{seed}-minority")
-    minor_cut = kth_key(df.where(is_minor), minor_key, floor_of(minority_train))
-    split = F.when(is_minor & (minor_key <= F.lit(minor_cut)), "train").when(is_minor, "test")
+    majority, minority = list(majority), list(minority)
+    if set(majority) & set(minority):
+        raise ValueError("a group cannot be both majority and minority")
+    is_major = F.col(f"`{group}`").isin(majority)
+    is_minor = F.col(f"`{group}`").isin(minority)
+    minor_key, test_key, val_key = (draw_key(ids, f"{seed}-{part}") for part in ("minority", "test", "val"))
+    draws = [Draw(is_minor, minor_key, floor_of(minority_train))]
+    if test_fraction:
+        draws.append(Draw(is_major, test_key, ceil_of(test_fraction)))
+    cuts = kth_keys(df, draws)
+    split = F.when(is_minor & (minor_key <= F.lit(cuts[0])), "train").when(is_minor, "test")
     if test_fraction:
-        test_key = draw_key(ids, f"{seed}-test")
-        is_test = test_key <= F.lit(kth_key(df.where(is_major), test_key, ceil_of(test_fraction)))
+        is_test = test_key <= F.lit(cuts[1])
         split = split.when(is_major & is_test, "test")
         if val_fraction:
-            val_key = draw_key(ids, f"{seed}-val")
             cut = kth_key(df.where(is_major & ~is_test), val_key, ceil_of(val_fraction))
             split = split.when(is_major & (val_key <= F.lit(cut)), "val")
     split = split.when(is_major, "train")

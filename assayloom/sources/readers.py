@@ -17,6 +17,38 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return reader.parquet(path)
 
 
+_INTEGER = r"^\s*[+-]?[0-9]+\s*$"
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+_BOOLEAN = ("True", "TRUE", "true", "False", "FALSE", "false")
+
+
+def infer_types(text: DataFrame) -> T.StructType:
+    """Types of text columns from their present values, in one pass over the table.
+
+    Whole numbers give bigint (nullable, where others would turn to float because
+    of a missing value), other numbers double, truth values boolean, a column with
+    no value at all double, and everything else string.
+    """
+    checks = []
+    for i, name in enumerate(text.columns):
+        c = F.col(f"`{name}`")
+        whole = c.rlike(_INTEGER) & F.trim(c).try_cast("bigint").isNotNull()
+        checks += [
+            F.count(c).alias(f"n{i}"), F.count_if(whole).alias(f"whole{i}"),
+            F.count_if(c.rlike(_NUMBER)).alias(f"number{i}"), F.count_if(c.isin(*_BOOLEAN)).alias(f"truth{i}"),
+        ]
+    seen = text.agg(*checks).first()
+    fields = []
+    for i, name in enumerate(text.columns):
+        n = seen[f"n{i}"]
+        if n == 0 or n == seen[f"number{i}"]:
+            kind = T.LongType() if n and n == seen[f"whole{i}"] else T.DoubleType()
+        else:
+            kind = T.BooleanType() if n == seen[f"truth{i}"] else T.StringType()
+        fields.append(T.StructField(name, kind))
+    return T.StructType(fields)
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -28,28 +60,27 @@ def read_csv(
 
     Fields are read as text, every null token becomes null, and the rest is cast
     to ``schema`` (a value that does not parse becomes null). Without a schema
-    Spark infers the types, at the cost of an extra pass over the file.
+    the types are found from the values, at the cost of a pass over the file.
     ``multiline`` allows line breaks inside quoted fields; such files cannot be
     split, so prefer many part files to one large one.
     """
-    options = {
-        "header": True, "quote": '"', "escape": '"', "multiLine": multiline,
-        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
-    }
+    reader = spark.read.options(
+        header=True, quote='"', escape='"', multiLine=multiline,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
+    if schema is not None:
+        reader = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]))
+    raw = reader.csv(path)
     tokens = list(null_tokens)
-    if schema is None:
-        inferred = spark.read.options(**options, inferSchema=True).csv(path)
-        schema = inferred.schema
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = spark.read.options(**options).schema(text).csv(path)
-    out = []
-    for f in schema.fields:
-        c = F.col(f"`{f.name}`")
-        c = F.when(c.isin(tokens), F.lit(None)).otherwise(c)
-        if not isinstance(f.dataType, T.StringType):
-            c = F.trim(c).try_cast(f.dataType)
-        out.append(c.alias(f.name))
-    return raw.select(*out)
+    text = raw.select(*[
+        F.when(~F.col(f"`{n}`").isin(tokens), F.col(f"`{n}`")).alias(n) for n in raw.columns
+    ])
+    schema = schema if schema is not None else infer_types(text)
+    return text.select(*[
+        (F.col(f"`{f.name}`") if isinstance(f.dataType, T.StringType)
+         else F.trim(F.col(f"`{f.name}`")).try_cast(f.dataType)).alias(f.name)
+        for f in schema.fields
+    ])
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, **csv_options) -> DataFrame:

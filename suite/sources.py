@@ -29,6 +29,13 @@ def csv_round_trip(t):
     return read_csv(t.spark, path, table.schema)
 
 
+@query("""SELECT p_partkey, p_name, p_brand, CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part""")
+def csv_inferred_types(t):
+    path = new_table_path(t.spark, "part.csv")
+    write_csv(t.part.select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice"), path)
+    return read_csv(t.spark, path)
+
+
 @query(f"""SELECT doc_id, CASE WHEN text IN ({_TOKENS}) THEN NULL ELSE text END AS text, lang, source, n_chars
 FROM documents""")
 def csv_round_trip_texts(t):

@@ -32,10 +32,13 @@ def test_csv_null_tokens_and_bad_numbers(spark, tmp_path):
 
 def test_csv_with_inferred_types(spark, tmp_path):
     path = tmp_path / "t.csv"
-    path.write_text('a,b,c\n1,x,0.5\n2,"y, z",NA\n')
+    path.write_text(
+        'i,s,d,b,e,m\n1,x,0.5,True,NA,1\n2,"y, z",NA,False,,\nNaN,1,1e-3,,None,x\n12,,-.5,True,null,2.5\n')
     df = read_csv(spark, str(path))
-    assert df.columns == ["a", "b", "c"] and dict(df.dtypes)["a"] == "int"
-    assert df.orderBy("a").collect()[1].b == "y, z" and df.orderBy("a").collect()[1].c is None
+    assert df.dtypes == [("i", "bigint"), ("s", "string"), ("d", "double"), ("b", "boolean"), ("e", "double"), ("m", "string")]
+    assert [tuple(r) for r in df.collect()] == [
+        (1, "x", 0.5, True, None, "1"), (2, "y, z", None, False, None, None),
+        (None, "1", 0.001, None, None, "x"), (12, None, -0.5, True, None, "2.5")]
 
 
 def test_nested_columns_become_json_in_csv(spark, tmp_path):

@@ -66,6 +66,13 @@ def test_only_needed_columns_are_read(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(obs_id)]" in plan
 
 
+def test_grouped_observations_are_not_shuffled_again_for_the_join(spark, no_broadcast):
+    long, meta = _assay(spark)
+    plan = group_summary(long, meta, "obs_id", ["cell_type", "sm_name"])._jdf.queryExecution().executedPlan().toString()
+    # measurements by observation, metadata by observation, groups
+    assert plan.count("Exchange hashpartitioning") == 3 and "Join Inner" in plan or "], Inner" in plan
+
+
 def test_value_counts_and_shares(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), (None,), ("c",)], "s string")
     assert [tuple(r) for r in value_counts(df, "s").collect()] == [("b", 2), ("a", 1), ("c", 1)]
