@@ -2,14 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from assayloom.constants import FEATURE_COLUMNS
 from assayloom.plans import build_compound_dimension, build_model_frame, enrich_prediction, enrich_training
 from assayloom.plans.overview import profile, profile_long
 from assayloom.session import materialise
 from suite.registry import query
 from suite.splits import holdout_sql
 from suite.tables import (
-    ALIASED, CTE_ENRICHED, CTE_PROPERTIES, CTE_ROWS, MAJORITY, MINORITY, PROPERTY_LIST, PROPERTY_NAMES,
+    CTE_ENRICHED, CTE_PROPERTIES, CTE_ROWS, MAJORITY, MINORITY, PROPERTY_LIST, PROPERTY_NAMES,
     RULES, SEGMENT_CODES, STATS, clean_sql,
 )
 
@@ -58,9 +57,6 @@ def compound_dimension(t):
     return build_compound_dimension(t.rows, t.snapshot, RULES)
 
 
-_SPLIT_IDS = "row_id || ':' || COALESCE(CAST(donor_id AS VARCHAR), '')"
-
-
 @query(f"""WITH {CTE_ENRICHED},
 codes AS (SELECT * REPLACE (
   CASE cell_type WHEN 'AUTOMOBILE' THEN 0 WHEN 'BUILDING' THEN 1 WHEN 'FURNITURE' THEN 2 WHEN 'HOUSEHOLD' THEN 3

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from assayloom.operators import sets as S
 from assayloom.operators.rows import row_at, with_row_index
-from assayloom.operators.stats import distinct_values, first_seen, value_counts
+from assayloom.operators.stats import first_seen, value_counts
 from suite.registry import query
 
 

@@ -1,10 +1,8 @@
 import hashlib
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayloom.operators import graph as G
-from assayloom.operators import joins as J
 from assayloom.operators import lookup as L
 
 

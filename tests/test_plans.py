@@ -6,7 +6,7 @@ from assayloom.constants import EXEMPT_NAMES, PROPERTY_TABLE
 from assayloom.plans import (
     build_compound_dimension, build_model_frame, enrich_prediction, enrich_training, profile,
 )
-from assayloom.plans.enrich import Assay, NameRules
+from assayloom.plans.enrich import Assay
 
 LONG = "obs_id string, count double, normalized_count double"
 

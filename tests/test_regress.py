@@ -1,8 +1,6 @@
 import numpy as np
 import pytest
 
-from pyspark.sql import functions as F
-
 from assayloom.operators import regress as R
 
 
