@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -36,29 +35,30 @@ def build_session(app_name: str = "assayloom", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
-_local_dirs: dict[str, str] = {}
+_own_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: ``spark.checkpoint.dir``.
+    """A folder of this application's own, that all executors share.
 
-    Only a local-mode session may go without it; a cluster must name a folder
-    that every executor can read.
+    It lies below ``spark.checkpoint.dir``, else below the warehouse folder, on
+    whatever file system that names, and goes when the application ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if context.applicationId not in _local_dirs:
-        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="assayloom-")
-    return _local_dirs[context.applicationId]
+    if context.applicationId not in _own_dirs:
+        root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+        jvm = context._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/assayloom-{context.applicationId}")
+        fs = path.getFileSystem(context._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _own_dirs[context.applicationId] = fs.makeQualified(path).toString()
+    return _own_dirs[context.applicationId]
 
 
 def new_table_path(spark: SparkSession, label: str = "table") -> str:
     """An unused path below the shared folder."""
-    return f"{shared_dir(spark)}/assayloom/{label}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
