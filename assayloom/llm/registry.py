@@ -64,3 +64,30 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         return index.admit(table(spark, sf_dir, "documents")).drop("is_new")
     finally:
         index.drop()
+
+
+@query()
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from assayloom.llm.langid import fit, identify
+    from assayloom.llm.text import fold
+
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 5) == 0)
+    model = fit(docs.where(~F.col("held_out")))
+    return identify(docs, model, keep=("held_out",)).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query()
+def op3_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from assayloom.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@query()
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from assayloom.llm.pii import find_spans, train
+
+    docs = table(spark, sf_dir, "documents")
+    return find_spans(docs, train(docs))
