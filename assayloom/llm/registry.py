@@ -91,3 +91,16 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return find_spans(docs, train(docs))
+
+
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from assayloom.llm.text import fold
+    from assayloom.llm.toxicity import fit, score
+
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    labelled = docs.join(labels, "doc_id").where(fold("doc_id", 5) != 0)
+    return score(docs, fit(labelled)).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
