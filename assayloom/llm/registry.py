@@ -98,9 +98,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
     from assayloom.llm.text import fold
-    from assayloom.llm.toxicity import fit, score
+    from assayloom.llm.toxicity import calibrate, measure, score, token_scores
+    from assayloom.session import materialise
 
     docs = table(spark, sf_dir, "documents")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    labelled = docs.join(labels, "doc_id").where(fold("doc_id", 5) != 0)
-    return score(docs, fit(labelled)).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold("doc_id", 5) != 0)
+    tokens = token_scores(docs.select("doc_id", "text").where(fold("doc_id", 5) != 0).join(labels, "doc_id"))
+    measured = materialise(measure(docs, tokens), "measured")
+    model = calibrate(measured, labels, tokens)
+    return score(measured, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")

@@ -7,41 +7,67 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from assayloom.llm.text import clear_of, coded_words, hashes, slices, sums, texts_of
 
 
+#: Lengths of the word beginnings that stand in for a word of too few occurrences, longest first.
+_STEMS = (8, 7, 6, 5, 4)
+
+
+@dataclass(frozen=True)
+class TokenScores:
+    """Log-odds of hashed words and word beginnings, 0 where they tell nothing; every token loses ``drift``."""
+
+    values: np.ndarray
+    drift: float
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Scores of hashed tokens, the background's extreme-value law, and its calibration.
+    """Token scores, the background's extreme-value law, and its calibration.
 
     ``lam`` and ``k``: the best segment of n background tokens exceeds x with
     probability 1 - exp(-k n exp(-lam x)). ``slope`` and ``shift`` turn the
-    evidence (minus the log of that expectation) into a probability.
+    evidence (minus the log of that probability) into a score.
     """
 
-    scores: np.ndarray
+    tokens: TokenScores
     lam: float
     k: float
     slope: float
     shift: float
-    empty: float
 
 
-def _stripped(texts: pa.Array) -> pa.Array:
-    import pyarrow.compute as pc
+def _tokens(part, text):
+    """(offsets, codes, distinct): letter and digit runs of a slice's texts, in lower case."""
+    return coded_words(pc.replace_substring_regex(pc.utf8_lower(texts_of(part, text)), r"[^\p{L}\p{N}]+", " "))
 
-    return pc.replace_substring_regex(pc.utf8_lower(texts), r"[^\p{L}\p{N}]+", " ")
+
+def _features(distinct: pa.Array, slots: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(slot, whether it applies) of each word, then of its proper beginnings, longest first."""
+    mask = np.uint64(slots - 1)
+    out = [((hashes(distinct) & mask).astype(np.int64), np.ones(len(distinct), bool))]
+    size = pc.utf8_length(distinct).to_numpy(zero_copy_only=False)
+    for n in _STEMS:
+        long = size > n
+        slot = np.zeros(len(distinct), np.int64)
+        stems = pc.utf8_slice_codeunits(distinct.filter(pa.array(long)), 0, n)
+        slot[long] = (hashes(stems, n) & mask).astype(np.int64)
+        out.append((slot, long))
+    return out
 
 
-def _slot_scores(part, text, scores):
-    """(offsets, score of each token) of a slice; the tokens are words without their punctuation."""
-    offsets, codes, distinct = coded_words(_stripped(texts_of(part, text)))
-    slot = (hashes(distinct) & np.uint64(len(scores) - 1)).astype(np.int64)
-    return offsets, scores[slot][codes]
+def _values(part, text, scores: TokenScores):
+    """(offsets, score of each token): a word's own, else that of its longest telling beginning."""
+    offsets, codes, distinct = _tokens(part, text)
+    value = np.zeros(len(distinct))
+    for slot, applies in _features(distinct, len(scores.values)):
+        value = np.where((value == 0) & applies, scores.values[slot], value)
+    return offsets, (value - scores.drift)[codes]
 
 
 def best_segments(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -114,100 +140,122 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float
     return max(float(slope), 0.0), float(shift)
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", slots: int = 1 << 18,
-        prior: float = 2000.0, drift: float = 0.5) -> ToxicityModel:
+def token_scores(labelled: DataFrame, text: str = "text", label: str = "toxic", slots: int = 1 << 20,
+                 prior: float = 2000.0, drift: float = 0.5) -> TokenScores:
     """Learn from rows with a 0/1 ``label``; rows without one say nothing.
 
-    Counts cover all labelled rows. Tokens are hashed to ``slots`` places, which
-    bounds the model. A token's score is the log-odds of the classes under a
-    Dirichlet prior of ``prior`` tokens spread as the whole text is, over its
-    standard deviation where that exceeds 1, less ``drift``, so that text at large
-    sinks. The law of its best segments follows from the background's scores.
+    Counts cover all labelled rows, a word once per document, so that no long
+    document decides; words and beginnings are hashed to ``slots`` places, which
+    bounds the model. A score is the log-odds of the classes under a Dirichlet
+    prior of ``prior`` words spread as all text is, kept where the likelihood
+    ratio exceeds the noise of so many comparisons.
     """
-    rows = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{label}`").cast("int").alias("label")).where("label IN (0, 1)")
+    rows = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{label}`").cast("int").alias("label"))
 
     def count(batches):
-        held = np.zeros((2, slots), np.int64)
+        held = np.zeros((3, slots), np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
-                offsets, codes, distinct = coded_words(_stripped(texts_of(part, "text")))
-                slot = (hashes(distinct) & np.uint64(slots - 1)).astype(np.int64)
-                of_doc = np.asarray(part["label"].to_pylist(), np.int64)
-                side = np.repeat(of_doc, np.diff(offsets))
-                held += np.bincount(side * slots + slot[codes], minlength=2 * slots).reshape(2, slots)
-        at = np.nonzero(held.sum(axis=0))[0]
+                offsets, codes, distinct = _tokens(part, "text")
+                of_doc = np.repeat(np.arange(part.num_rows), np.diff(offsets))
+                once = np.unique(of_doc * len(distinct) + codes)
+                side = np.asarray(part["label"].to_pylist(), np.int64)[once // max(1, len(distinct))]
+                n = np.bincount(side * len(distinct) + once % max(1, len(distinct)),
+                                minlength=2 * len(distinct)).reshape(2, -1)
+                for slot, applies in _features(distinct, slots):
+                    for c in (0, 1):
+                        held[c] += np.bincount(slot[applies], n[c][applies], slots).astype(np.int64)
+                held[2, :2] += n.sum(axis=1)
+        at = np.nonzero(held[:2].sum(axis=0))[0]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(at.astype(np.int32)), pa.array(held[0, at]), pa.array(held[1, at])], ["slot", "clean", "toxic"])
+            [pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(held[0, at], held[2, 0])),
+             pa.array(np.append(held[1, at], held[2, 1]))], ["slot", "clean", "toxic"])
 
-    found = (rows.mapInArrow(count, "slot int, clean long, toxic long").groupBy("slot")
+    found = (rows.where("label IN (0, 1)").mapInArrow(count, "slot int, clean long, toxic long").groupBy("slot")
              .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas())
-    counts = np.zeros((2, slots))
-    counts[0, found["slot"]] = found["clean"]
-    counts[1, found["slot"]] = found["toxic"]
-    seen = counts.sum(axis=0)
-    size = counts.sum(axis=1)
+    counts, size = np.zeros((2, slots)), np.zeros(2)
+    for i, c in enumerate(("clean", "toxic")):
+        own = found["slot"] >= 0
+        counts[i, found.loc[own, "slot"]] = found.loc[own, c]
+        size[i] = found.loc[~own, c].sum()
     if not size.all():
-        share = float(size[1] > 0)
-        return ToxicityModel(np.zeros(slots), 1.0, 1.0, 0.0, 20.0 * (share - 0.5), share)
-    alpha = prior * (seen + 0.01) / (seen + 0.01).sum()
-    a = counts + alpha
-    odds = [np.log(a[i]) - np.log(size[i] + prior - a[i]) for i in (0, 1)]
-    sd = np.sqrt(1 / a[0] + 1 / a[1])
-    z = (odds[1] - odds[0]) / sd
-    # Only differences beyond the noise of many comparisons count as evidence.
-    noise = math.sqrt(2 * math.log(max(2, (seen > 0).sum())))
-    shown = np.abs(z) > noise
-    scores = np.where(shown, odds[1] - odds[0], 0.0) - drift
-    scores = np.where(seen > 0, scores, -drift)
-    background = counts[0] + 0.01 / slots
-    values, back = np.unique(np.round(scores, 3), return_inverse=True)
-    weights = np.bincount(back, weights=background)
-    if values.max() <= 0:
-        lam, k = 1.0, 1.0
-    else:
-        lam = _lambda(values, weights)
-        p = weights / weights.sum()
-        # Height of the tail: chance that a token starts a rise, times the mean overshoot.
-        k = float(np.clip((p * (values > 0)).sum(), 1e-6, 1.0))
-    rough = ToxicityModel(scores, lam, k, 1.0, 0.0, 0.0)
-    bins = evidence(rows, rough, "label", "text").groupBy(F.round("evidence", 1).alias("x"), "label").count().toPandas()
-    pos = bins[bins["label"] == 1].set_index("x")["count"]
-    every = bins.groupby("x")["count"].sum()
-    x, n = every.index.to_numpy(float), every.to_numpy(float)
-    y = pos.reindex(every.index).fillna(0).to_numpy(float) / n
-    slope, shift = _logistic(x, y, n)
-    return ToxicityModel(scores, lam, k, slope, shift, 0.0)
-
-
-def _evidence(best: np.ndarray, tokens: np.ndarray, m: ToxicityModel) -> np.ndarray:
-    """Minus the log of the chance that background text of this length does as well, from 0 to 60."""
-    expected = m.k * np.maximum(tokens, 1) * np.exp(-np.minimum(m.lam * best, 500))
-    chance = -np.expm1(-np.minimum(expected, 700))
-    return np.where(best > 0, np.clip(-np.log(np.maximum(chance, 1e-26)), 0, 60), 0.0)
+        return TokenScores(np.zeros(slots), drift)
+    seen = counts.sum(axis=0)
+    a = counts + prior * seen / size.sum() + 0.5
+    odds = [np.log(a[i]) - np.log(np.maximum(size[i] + prior - a[i], 1)) for i in (0, 1)]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = [np.where(counts[i] > 0, counts[i] * np.log(counts[i] * size.sum() / (seen * size[i])), 0.0) for i in (0, 1)]
+    # Likelihood ratio against equal rates, beyond what the best of so many places reaches by chance.
+    shown = 2 * (gain[0] + gain[1]) > 2 * 2 * math.log(max(2, (seen > 0).sum()))
+    return TokenScores(np.where(shown, odds[1] - odds[0], 0.0), drift)
+
 
+def measure(docs: DataFrame, scores: TokenScores, doc_id: str = "doc_id", text: str = "text",
+            bins: float = 0.05) -> DataFrame:
+    """doc_id, best, tokens of every row, and after them the histogram of token scores of each task.
 
-def evidence(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and evidence (double) of every row."""
+    ``best`` is the highest segment, ``tokens`` the number of tokens; histogram
+    rows have ``is_bin`` true, the score (to ``bins``) in ``best``, the count in ``tokens``.
+    """
     source = clear_of(docs, doc_id, text)
-    shared = source.sparkSession.sparkContext.broadcast(model)  # slots numbers
+    shared = source.sparkSession.sparkContext.broadcast(scores)  # slots numbers
+    kind = source.schema[doc_id].dataType.simpleString()
 
     def apply(batches):
-        m = shared.value
+        held: dict[int, int] = {}
+        of_id = None
         for batch in batches:
+            of_id = batch.schema.field(doc_id).type
             for part in slices(batch, text):
-                offsets, values = _slot_scores(part, text, m.scores)
+                offsets, values = _values(part, text, shared.value)
+                place, n = np.unique(np.round(values / bins).astype(np.int64), return_counts=True)
+                for p, k in zip(place.tolist(), n.tolist()):
+                    held[p] = held.get(p, 0) + k
                 yield pa.RecordBatch.from_arrays(
-                    [part[doc_id], pa.array(_evidence(best_segments(values, offsets), np.diff(offsets), m))],
-                    [doc_id, "evidence"])
+                    [part[doc_id], pa.array(best_segments(values, offsets)), pa.array(np.diff(offsets)),
+                     pa.array(np.zeros(part.num_rows, bool))], ["doc_id", "best", "tokens", "is_bin"])
+        if held:
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(held), of_id), pa.array([p * bins for p in held]), pa.array(list(held.values()), pa.int64()),
+                 pa.array(np.ones(len(held), bool))], ["doc_id", "best", "tokens", "is_bin"])
 
-    return source.mapInArrow(apply, T.StructType([source.schema[doc_id], T.StructField("evidence", T.DoubleType())]))
+    return source.mapInArrow(apply, f"doc_id {kind}, best double, tokens long, is_bin boolean")
 
 
-def score(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, score, predicted of every row; a null or empty text scores as one without any evidence."""
-    value = 1 / (1 + F.exp(-(F.lit(model.slope) * F.col("evidence") + F.lit(model.shift))))
-    return (evidence(docs, model, doc_id, text).withColumn("score", value)
-            .select(F.col(f"`{doc_id}`").alias("doc_id"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+def _evidence(best, tokens, lam: float, k: float):
+    """Minus the log of the chance that background text of this length does as well, from 0 to 60."""
+    expected = k * F.greatest(tokens, F.lit(1)) * F.exp(-F.least(lam * best, F.lit(500.0)))
+    chance = -F.expm1(-F.least(expected, F.lit(700.0)))
+    return F.when(best > 0, F.greatest(F.lit(0.0), F.least(F.lit(60.0), -F.log(F.greatest(chance, F.lit(1e-26)))))).otherwise(0.0)
+
+
+def calibrate(measured: DataFrame, labels: DataFrame, scores: TokenScores, doc_id: str = "doc_id",
+              label: str = "toxic") -> ToxicityModel:
+    """The background's law from all token scores, and the curve from evidence to score on labelled documents."""
+    bins = measured.where("is_bin").groupBy("best").agg(F.sum("tokens").alias("n")).orderBy("best").toPandas()
+    value, weight = bins["best"].to_numpy(float), bins["n"].to_numpy(float)
+    lam, k = 1.0, 1.0
+    if len(value) and value.max() > 0 and (value * weight).sum() < 0:
+        lam = _lambda(value, weight)
+        # Segments start at a rising token: their share of all tokens scales the law.
+        k = float(weight[value > 0].sum() / weight.sum())
+    known = labels.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("label"))
+    found = (measured.where("NOT is_bin").join(known.where("label IN (0, 1)"), "doc_id")
+             .groupBy(F.round(_evidence(F.col("best"), F.col("tokens"), lam, k), 1).alias("x"), "label").count().toPandas())
+    if not len(found):
+        return ToxicityModel(scores, lam, k, 0.0, -20.0)
+    every = found.groupby("x")["count"].sum()
+    toxic = found[found["label"] == 1].set_index("x")["count"].reindex(every.index).fillna(0)
+    slope, shift = _logistic(every.index.to_numpy(float), toxic.to_numpy(float) / every.to_numpy(float), every.to_numpy(float))
+    return ToxicityModel(scores, lam, k, slope, shift)
+
+
+def score(measured: DataFrame, model: ToxicityModel) -> DataFrame:
+    """doc_id, score, predicted of every measured row; a null or empty text is one without any evidence."""
+    x = _evidence(F.col("best"), F.col("tokens"), model.lam, model.k)
+    value = 1 / (1 + F.exp(-(F.lit(model.slope) * x + F.lit(model.shift))))
+    return (measured.where("NOT is_bin").select("doc_id", value.alias("score"))
+            .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
 def passages(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text",
@@ -225,7 +273,7 @@ def passages(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text
         m = shared.value
         for batch in batches:
             for part in slices(batch, text):
-                offsets, values = _slot_scores(part, text, m.scores)
+                offsets, values = _values(part, text, m.tokens)
                 n = np.maximum(np.diff(offsets), 1)
                 least = np.log(m.k * n / -math.log1p(-significance)) / m.lam
                 hit = np.nonzero(best_segments(values, offsets) >= np.maximum(least, 1e-9))[0]
