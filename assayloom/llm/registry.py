@@ -107,3 +107,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = materialise(measure(docs, tokens), "measured")
     model = calibrate(measured, labels, tokens)
     return score(measured, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query()
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from assayloom.llm.ngram_join import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
