@@ -88,8 +88,8 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", max_words: int
         orders: tuple[int, ...] = (4, 3, 2, 1), slots: int = 1 << 15, prior: float = 0.5) -> LanguageModel:
     """Count words and n-grams over every row of ``train`` whose language is not null.
 
-    The model's size is a parameter: the ``max_words`` most frequent words (ties
-    by word) that occur ``min_count`` times or more are known; ``slots`` hashed
+    The model's size is a parameter: the most frequent words, ``max_words`` at
+    most, that occur ``min_count`` times or more are known; ``slots`` hashed
     n-grams per order carry the rest. N-grams are counted over all words.
     """
     from assayloom.session import materialise
@@ -100,9 +100,17 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", max_words: int
     if not langs:
         return LanguageModel([], {}, np.zeros((0, 0)), {}, {}, slots)
     place = {v: k for k, v in enumerate(langs)}
-    top = (counts.groupBy("word").agg(F.sum("n").alias("n"), F.map_from_entries(
-        F.collect_list(F.struct("lang", "n"))).alias("by_lang"))
-        .where(F.col("n") >= min_count).orderBy(F.desc("n"), "word").limit(max_words).collect())
+    by_word = (counts.groupBy("word").agg(F.sum("n").alias("n"), F.map_from_entries(
+        F.collect_list(F.struct("lang", "n"))).alias("by_lang")).where(F.col("n") >= min_count))
+    # The least frequency that max_words words or fewer reach, in steps of a 32nd of a doubling.
+    step = F.floor(F.log2("n") * 32)
+    sizes = by_word.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect()
+    reached, least = 0, None
+    for r in sizes:
+        if reached + r["count"] > max_words:
+            break
+        reached, least = reached + r["count"], r["step"]
+    top = by_word.where(step >= least).collect() if least is not None else []
     table = np.zeros((len(top), len(langs)))
     for i, row in enumerate(top):
         for name, n in row["by_lang"].items():

@@ -114,3 +114,12 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from assayloom.llm.ngram_join import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from assayloom.llm.lm import score
+    from assayloom.llm.text import fold
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs.withColumn("held_out", fold("doc_id", 10) == 0), "held_out")
