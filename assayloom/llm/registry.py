@@ -123,3 +123,16 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return score(docs.withColumn("held_out", fold("doc_id", 10) == 0), "held_out")
+
+
+@query()
+def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from assayloom.llm.ann import build, search
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    index, entries = build(vectors)
+    if index is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return search(vectors.where(F.col("vec_id") % 100 == 0), index, entries)
