@@ -15,7 +15,7 @@ from assayloom.llm.text import binaries, coded_words, hashes, mix, slices, texts
 from assayloom.session import materialise
 
 #: N-grams of one block, and text bytes of one chunk.
-_BLOCK_GRAMS, _CHUNK_BYTES = 2 << 20, 16 << 20
+_BLOCK_GRAMS, _CHUNK_BYTES = 2 << 20, 8 << 20
 #: Keys of the end of a text and of its start as a context; words never hold a space.
 _END, _START = hashes(pa.array([" end", " start"]))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
