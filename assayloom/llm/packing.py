@@ -10,12 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayloom.llm.text import binaries, clear_of, coded_words, hashes, mix, slices, sums, texts_of, width
+from assayloom.llm.text import binaries, clear_of, mix, slices, texts_of, width
 from assayloom.llm.token_counts import encode_texts, encoder
 from assayloom.session import materialise
 
 #: Width of a hashed document vector, and of its projection.
 _HASHED, _DIMS, _BITS = 256, 4, 10
+#: Text bytes worked on at once.
+_SLICE = 4 << 20
 
 
 def hilbert_key(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -47,17 +49,17 @@ def hilbert_key(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
-def _project(offsets, codes, vocabulary) -> np.ndarray:
-    """Hashed word vectors of texts (log counts), projected to few dimensions by random signs."""
-    slot = (hashes(vocabulary) % np.uint64(_HASHED)).astype(np.int64)
-    docs = len(offsets) - 1
-    of_word = np.repeat(np.arange(docs), np.diff(offsets))
-    vectors = np.log1p(np.bincount(of_word * _HASHED + slot[codes], minlength=docs * _HASHED)
-                       .reshape(docs, _HASHED).astype(float))
+_SIGNS = np.where(mix(np.arange(1, _HASHED * _DIMS + 1, dtype=np.uint64)).reshape(_HASHED, _DIMS) & np.uint64(1), 1.0, -1.0)
+
+
+def _project(stream: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashed token vectors of documents (log counts), projected to few dimensions by random signs."""
+    slot = (mix(np.arange(int(stream.max(initial=0)) + 1, dtype=np.uint64)) % np.uint64(_HASHED)).astype(np.int64)
+    docs = len(ends) - 1
+    of = np.repeat(np.arange(docs, dtype=np.int64) * _HASHED, np.diff(ends))
+    vectors = np.log1p(np.bincount(of + slot[stream], minlength=docs * _HASHED).reshape(docs, _HASHED))
     norm = np.sqrt((vectors ** 2).sum(axis=1, keepdims=True))
-    signs = np.array([[1.0 if mix(np.array([i * _DIMS + j + 1], np.uint64))[0] & np.uint64(1) else -1.0
-                       for j in range(_DIMS)] for i in range(_HASHED)])
-    return (vectors @ signs) / np.where(norm == 0, 1, norm)
+    return (vectors @ _SIGNS) / np.where(norm == 0, 1, norm)
 
 
 def _stored_as(path: str, end_id: int) -> str:
@@ -78,18 +80,18 @@ def _tokenised(docs: DataFrame, path: str, end_id: int, doc_id: str, text: str,
     def encode_all(batches):
         encode, alone = encoder(path)
         for batch in batches:
-            for part in slices(batch, text):
-                texts = texts_of(part, text)
-                offsets, codes, lengths, ids = encode_texts(texts, encode, alone)
-                flat = np.fromiter((i for v in ids for i in v), stored, int(lengths.sum()))
-                starts = np.cumsum(lengths) - lengths
+            for part in slices(batch, text, _SLICE):
+                offsets, codes, ids = encode_texts(texts_of(part, text), path, encode, alone)
+                lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+                flat = np.frombuffer(b"".join(ids), "<u4").astype(stored)
                 n = lengths[codes]
-                take = np.arange(int(n.sum())) + np.repeat(starts[codes] - (np.cumsum(n) - n), n)
-                stream = flat[take]
-                ends = np.cumsum(np.concatenate(([0], n)))[offsets]
+                ends = np.concatenate(([0], np.cumsum(n)))
+                take = np.repeat((np.cumsum(lengths) - lengths)[codes] - ends[:-1], n)
+                take += np.arange(len(take))
+                stream, ends = flat[take], ends[offsets]
                 tail = np.array([end_id], stored)
                 rows = [np.concatenate((stream[a:b], tail)) for a, b in zip(ends[:-1], ends[1:])]
-                at = _project(*coded_words(texts))
+                at = _project(stream, ends)
                 yield pa.RecordBatch.from_arrays(
                     [part[doc_id], pa.array([len(r) for r in rows], pa.int64()),
                      binaries([r.tobytes() for r in rows])]
@@ -110,7 +112,7 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
     (and ``ids`` with ``carry_ids``). A document is its ids plus ``end_id``; a null
     or empty text is ``end_id`` alone. Every sequence but the last is full.
 
-    Order: hashed word vectors, projected to a few dimensions, standardised over
+    Order: hashed token vectors, projected to a few dimensions, standardised over
     the corpus, as a Hilbert key; below it a hash of id and content, so that very
     many equal texts still spread over tasks. Quantiles of that key cut the corpus
     into ranges; the token totals of the ranges give each its first position, and

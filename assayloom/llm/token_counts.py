@@ -67,24 +67,40 @@ def encoder(path: str) -> tuple[Callable[[list[str]], list[list[int]]], bool]:
     library.no_padding()
     with open(path, encoding="utf-8") as file:
         alone = splits_at_space(json.load(file))
-    return lambda values: [e.ids for e in library.encode_batch(values, add_special_tokens=False)], alone
+    return lambda values: [e.ids for e in library.encode_batch_fast(values, add_special_tokens=False)], alone
 
 
-def encode_texts(texts: pa.Array, encode: Callable, alone: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray | None, list]:
-    """(offsets, codes, lengths, ids): text i is the units codes[offsets[i]:offsets[i + 1]].
+#: Words a worker remembers by tokenizer file, and the longest of them: memory stays bounded.
+_KEPT, _KEPT_LENGTH = 300_000, 40
+_remembered: dict[str, dict[str, bytes]] = {}
+
+
+def encode_texts(texts: pa.Array, path: str, encode: Callable, alone: bool) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """(offsets, codes, ids): text i is the units codes[offsets[i]:offsets[i + 1]], ids those of a unit.
 
     Units are the distinct words where words can be encoded alone (the safe
-    borders of long texts are their white space), else whole texts.
+    borders of long texts are their white space), else whole texts. Ids are
+    little-endian 32-bit numbers. A worker remembers the words it met first,
+    which are the frequent ones, whatever tasks it runs.
     """
     if alone:
         offsets, codes, distinct = coded_words(texts)
     else:
         distinct = texts
         codes, offsets = np.arange(len(texts)), np.arange(len(texts) + 1)
-    ids: list = []
-    for part in byte_batches(distinct.to_pylist()):
-        ids.extend(encode(part))
-    return offsets, codes, np.fromiter(map(len, ids), np.int64, len(ids)), ids
+    units = distinct.to_pylist()
+    known = _remembered.setdefault(path, {}) if alone else {}
+    ids = list(map(known.get, units))
+    missing = [i for i, v in enumerate(ids) if v is None]
+    at = 0
+    for part in byte_batches([units[i] for i in missing]):
+        for found in encode(part):
+            i = missing[at]
+            ids[i] = np.array(found, "<u4").tobytes()
+            if alone and len(known) < _KEPT and len(units[i]) <= _KEPT_LENGTH:
+                known[units[i]] = ids[i]
+            at += 1
+    return offsets, codes, ids
 
 
 def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
@@ -101,8 +117,8 @@ def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
         for batch in batches:
             for part in slices(batch, text, SLICE_BYTES):
                 texts = texts_of(part, text)
-                offsets, codes, lengths, _ = encode_texts(texts, encode, alone)
-                n = sums(lengths[codes], offsets)
+                offsets, codes, ids = encode_texts(texts, path, encode, alone)
+                n = sums((np.fromiter(map(len, ids), np.int64, len(ids)) // 4)[codes], offsets)
                 yield pa.RecordBatch.from_arrays(
                     [part[doc_id], pc.cast(pc.binary_length(texts), pa.int64()), pa.array(n), pa.array(n > limit)],
                     ["doc_id", "n_bytes", "n_tokens", "over_limit"],

@@ -1,8 +1,80 @@
-"""Corpus preparation: stages over documents, each stored before the next reads it."""
+"""Corpus preparation: stages over documents, each stored before the next reads it.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; all but
+the last return the columns of ``docs``. No stage has an exact SQL form from end
+to end (language scores, shingle components and curve order), so ORACLE_SQL is
+None and tests compare each stage with a brute-force version.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from assayloom.llm import exact_dedup, langid, ngram_join, packing, pii
+from assayloom.llm.registry import table, tokenizer
+from assayloom.llm.text import fold
+from assayloom.session import materialise
+
+
+def _unused(docs: DataFrame, name: str) -> str:
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name = f"_{name}"
+    return name
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; those without a letter or text go.
+
+    The model learns from the rows of ``docs`` with a language, but for every fifth id.
+    """
+    model = langid.fit(docs.where(fold("doc_id", 5) != 0))
+    found, share = _unused(docs, "found"), _unused(docs, "share")
+    told = langid.identify(docs, model, keep=tuple(docs.columns), results=(found, share))
+    return told.where(F.col(found) != "und").select(docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the longest original, then the smallest id; rows that repeat it as a whole become one."""
+    mark = _unused(docs, "mark")
+    kept = exact_dedup.keepers(docs).where("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha")).distinct()
+    marked = docs.withColumn(mark, exact_dedup.digest(F.col("text")))
+    return (marked.join(kept, (F.col(mark) == F.col("sha")) & marked["doc_id"].eqNullSafe(F.col("id")), "left_semi")
+            .dropDuplicates(["doc_id", mark]).select(docs.columns))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles with a similarity of 0.8 or more, the one of the smallest id."""
+    found = ngram_join.near_duplicates(docs, k=5, percent=80)
+    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced and n_chars counted anew."""
+    clean = pii.redact(docs, pii.train(docs))
+    return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences, neighbours on the curve together."""
+    return packing.pack(docs, tokenizer("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("PII", remove_personal_data),
+    ("packing", pack_sequences),
+]
 
-STAGES = []
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``."""
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = materialise(stage(spark, docs, sf_dir), f"stage-{k}")
+    return docs
