@@ -136,3 +136,11 @@ def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     return search(vectors.where(F.col("vec_id") % 100 == 0), index, entries)
+
+
+@query()
+def op4_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of each document's sampled ids, and whether decoding them restores the text."""
+    from assayloom.llm.pieces import encode
+
+    return encode(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model")).drop("ids")
