@@ -208,9 +208,10 @@ def signatures(n: int, tokens: np.ndarray, freq: np.ndarray, percent: int) -> li
 def _signature_rows(sets: DataFrame, percent: int) -> DataFrame:
     """sig, doc_id, n, central: every signature of every set; ``central`` is the mean frequency of its tokens."""
     kind = sets.schema["doc_id"].dataType.simpleString()
-    tokens = sets.select("doc_id", "n", F.explode("tokens").alias("token"))
-    freq = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("freq")).where("freq > 1")
-    shared = tokens.join(freq, "token").groupBy("doc_id", "n").agg(F.collect_list(F.struct("freq", "token")).alias("shared"))
+    tokens = sets.select("doc_id", F.explode("tokens").alias("token"))
+    freq = tokens.groupBy("token").agg(F.count(F.lit(1)).cast("int").alias("freq")).where("freq > 1")
+    shared = (tokens.join(freq, "token").groupBy("doc_id").agg(F.collect_list(F.struct("freq", "token")).alias("shared"))
+              .join(sets.select("doc_id", "n"), "doc_id"))
 
     def make(batches):
         for batch in batches:
@@ -288,6 +289,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     repeated = _repeated(source.where("doc_id IS NOT NULL"), k, total)
     open_ = (firsts.join(repeated.withColumnRenamed("doc_id", "first"), "first")
              .where(F.col("repeated") * 100 >= percent * F.col("n")).select(F.col("first").alias("doc_id")))
+    # Stored, so that Spark knows its size: a short list of ids spares the texts a shuffle.
+    open_ = materialise(open_, "open")
     sets = materialise(_tokens(source.join(open_, "doc_id", "left_semi"), k).dropDuplicates(["doc_id"]), "sets")
     rows = materialise(_signature_rows(sets, percent), "signatures")
     sketches = materialise(sets.drop("tokens"), "sketches")
