@@ -26,6 +26,7 @@ class MultiIndex:
     least: int
     sample: np.ndarray
     sample_ids: np.ndarray
+    sample_cells: np.ndarray
 
 
 def usable(vector: Column, size: int | None = None) -> Column:
@@ -132,7 +133,7 @@ def build(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding",
         behind[order] = np.cumsum(entries.ravel()[order])
         needed += behind[own[near]].tolist()
     share = float(np.quantile(needed, recall)) / total if needed else 1.0
-    return MultiIndex(first, second, entries, min(1.0, share), least, points, picked["vec_id"].to_numpy()), placed
+    return MultiIndex(first, second, entries, min(1.0, share), least, points, picked["vec_id"].to_numpy(), own), placed
 
 
 def search(queries: DataFrame, index: MultiIndex, entries: DataFrame, vec_id: str = "vec_id", vector: str = "embedding",
@@ -143,8 +144,8 @@ def search(queries: DataFrame, index: MultiIndex, entries: DataFrame, vec_id: st
     Queries go to the cells they visit; a cell of many entries is dealt to parts
     of about ``block``, and so are a cell's queries, so no task meets an unbounded
     cell. A part passes on at most ``neighbours`` entries a query, and none beyond the
-    query's bound: the distance of its last neighbour among the sample, which is
-    part of the index.
+    query's bound: the distance of its last neighbour among the sample's entries in
+    the cells it visits, which will be found.
     """
     size = index.first.shape[1] + index.second.shape[1]
     half, columns = index.first.shape[1], len(index.second)
@@ -165,9 +166,11 @@ def search(queries: DataFrame, index: MultiIndex, entries: DataFrame, vec_id: st
             d1, d2 = _squared(m[:, :half], index.first), _squared(m[:, half:], index.second)
             take, cells, part, bounds = [], [], [], []
             for i, q in enumerate(m):
-                near = np.sort(((index.sample[index.sample_ids != ids[i]] - q) ** 2).sum(axis=1))
+                visited = cells_by_distance(d1[i], d2[i], index.entries, wanted)
+                sure = np.isin(index.sample_cells, visited) & (index.sample_ids != ids[i])
+                near = np.sort(((index.sample[sure] - q) ** 2).sum(axis=1))
                 bound = float(np.sqrt(near[neighbours - 1])) * (1 + 1e-9) if len(near) >= neighbours else float("inf")
-                for c in cells_by_distance(d1[i], d2[i], index.entries, wanted):
+                for c in visited:
                     for s in range(int(many[c])):
                         take.append(i)
                         cells.append(c)

@@ -85,7 +85,7 @@ def _count_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
 
 
 def fit(train: DataFrame, text: str = "text", lang: str = "lang", max_words: int = 50_000, min_count: int = 5,
-        orders: tuple[int, ...] = (4, 3, 2, 1), slots: int = 1 << 15, prior: float = 0.5) -> LanguageModel:
+        orders: tuple[int, ...] = (4, 3, 2, 1), slots: int = 1 << 15, prior: float = 1.0) -> LanguageModel:
     """Count words and n-grams over every row of ``train`` whose language is not null.
 
     The model's size is a parameter: the most frequent words, ``max_words`` at
@@ -138,9 +138,14 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", max_words: int
         found = np.zeros((slots, len(langs)))
         found[own["slot"].to_numpy(), own["code"].to_numpy()] = own["n"].to_numpy()
         seen[n] = found.sum(axis=1) > 0
-        grams[n] = np.log((found + prior) / (found.sum(axis=0) + prior * slots)).astype(np.float32)
-    return LanguageModel(langs, {r["word"]: i for i, r in enumerate(top)},
-                         np.log((table + prior) / (size + prior * max(1, len(top)))), grams, seen, slots)
+        grams[n] = _log_rates(found, found.sum(axis=0), prior).astype(np.float32)
+    return LanguageModel(langs, {r["word"]: i for i, r in enumerate(top)}, _log_rates(table, size, prior), grams, seen, slots)
+
+
+def _log_rates(counts: np.ndarray, size: np.ndarray, prior: float) -> np.ndarray:
+    """Log frequency per language, with ``prior`` occurrences spread as over all languages together."""
+    share = counts.sum(axis=1, keepdims=True) / max(1.0, size.sum())
+    return np.log((counts + prior * share + 1e-12) / (size + prior))
 
 
 def _backed_off(word: str, model: LanguageModel) -> np.ndarray:

@@ -169,8 +169,8 @@ class _Lattice:
         run = np.cumsum(chance)
         before = np.concatenate(([0.0], run))[heads]
         self.chances = rank[end] + np.minimum(run - before[rank[end]], 1.0)
-        tail = np.append(heads[1:], len(end)) - 1
-        self.chances[tail[tail >= 0]] = np.arange(len(heads))[tail >= 0] + 1.0
+        if len(heads):
+            self.chances[np.append(heads[1:], len(end)) - 1] = np.arange(len(heads)) + 1.0
         self.rank, self.start, self.piece = rank, start, piece
 
     def sample(self, unit: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
