@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 from assayloom.llm.text import clear_of, coded_words, slices, sums, texts_of
 
 #: Distinct words that a task adds up before it passes counts on.
-_HELD = 1 << 18
+_HELD = 1 << 16
+#: Text bytes worked on at once: each word takes a number per language.
+_SLICE = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -63,7 +65,7 @@ def _count_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
                  pa.array([n for _, n in rows], pa.int64())], ["word", "lang", "n"])
 
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, _SLICE):
                 offsets, codes, distinct = coded_words(_bare(texts_of(part, text)))
                 vocabulary = distinct.to_pylist()
                 tags = part[lang].dictionary_encode()
@@ -184,7 +186,7 @@ def identify(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text
         names = np.array([*m.langs, "und"], dtype=object)
         remembered: dict[str, np.ndarray] = {}
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, _SLICE):
                 texts = texts_of(part, text)
                 offsets, codes, distinct = coded_words(_bare(texts))
                 lettered = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
