@@ -29,13 +29,11 @@ def clean_name(
     exempt: Iterable[str] = EXEMPT_NAMES,
     cuts: Iterable[str] = NAME_CUTS,
 ) -> Column:
-    """Cut at each mark in turn unless the name is exempt; null stays null."""
-    raw = _c(col)
-    out = raw
+    """Cut at each mark in turn, unless the name is exempt by then; null stays null."""
+    out, exempt = _c(col), list(exempt)
     for mark in cuts:
-        out = cut_at(out, mark)
-    exempt = list(exempt)
-    return F.when(raw.isin(exempt), raw).otherwise(out) if exempt else out
+        out = F.when(out.isin(exempt), out).otherwise(cut_at(out, mark)) if exempt else cut_at(out, mark)
+    return out
 
 
 def alias_name(col: Column | str, aliases: Mapping[str, str] = NAME_ALIASES) -> Column:

@@ -48,8 +48,8 @@ def concat_vectors(*vecs: Column | str) -> Column:
 
 
 def relu(vec: Column | str) -> Column:
-    """Negative entries become zero."""
-    return F.transform(_c(vec), lambda x: F.greatest(x, F.lit(0.0).cast("double")))
+    """Negative entries become zero; a null entry stays null."""
+    return F.transform(_c(vec), lambda x: F.when(x.isNotNull(), F.greatest(x, F.lit(0.0).cast("double"))))
 
 
 def dot(a: Column | str, b: Column | str) -> Column:
@@ -63,10 +63,16 @@ def affine(vec: Column | str, weights: Sequence[float], bias: float = 0.0) -> Co
     return dot(vec, F.array(*[F.lit(float(w)) for w in weights])) + F.lit(float(bias))
 
 
+#: Bytes of outputs that ``affine_many`` makes at once.
+_OUTPUT_BYTES = 32 << 20
+
+
 def affine_many(df: DataFrame, vec: str, weights, bias, out: str = "affine") -> DataFrame:
-    """Many outputs of a linear layer, ``W x + b``, one matrix product per Arrow batch.
+    """Many outputs of a linear layer, ``W x + b``, one matrix product per slice of rows.
 
     ``weights`` is (outputs, inputs); its size is that of the layer, not of the data.
+    A null vector gives a null; one of another length than ``inputs`` is an error.
+    Slices hold about ``_OUTPUT_BYTES`` of outputs, however many there are per row.
     """
     import numpy as np
 
@@ -80,9 +86,13 @@ def affine_many(df: DataFrame, vec: str, weights, bias, out: str = "affine") ->
         import pyarrow as pa
 
         w, b = shared.value
-        for batch in batches:
+        step = max(1, _OUTPUT_BYTES // (8 * max(1, w.shape[0])))
+        for batch in (whole.slice(s, step) for whole in batches for s in range(0, whole.num_rows, step)):
             column = batch.column(batch.schema.get_field_index(vec))
             known = column.is_valid().to_numpy(zero_copy_only=False)
+            lengths = column.value_lengths().to_numpy(zero_copy_only=False)[known]
+            if (lengths != w.shape[1]).any():
+                raise ValueError(f"{vec} has {int(lengths[lengths != w.shape[1]][0])} entries, not {w.shape[1]}")
             x = column.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(-1, w.shape[1])
             y = x @ w.T + b
             ends = np.concatenate([[0], np.cumsum(known) * w.shape[0]]).astype("int32")

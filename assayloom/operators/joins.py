@@ -91,7 +91,6 @@ def dimension_join(
     how: str = "left",
     freeze: bool = False,
     spread: Sequence[str] | None = None,
-    fan_out: bool = False,
     count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Join a table to a dimension.
@@ -102,10 +101,6 @@ def dimension_join(
     costly to compute to the shared folder first, so that measuring and joining
     do not compute it twice.
 
-    ``fan_out`` says that a left row meets many dimension rows. The left rows
-    are then dealt out evenly by ``spread`` before they multiply, so that every
-    task writes about as much; this moves each row once, before the growth.
-
     ``count_on`` is an earlier table with the same rows' keys, to count hot keys
     on when ``left`` is costly to compute.
     """
@@ -113,8 +108,6 @@ def dimension_join(
     if freeze:
         right = materialise(right, "dimension")
     if fits_broadcast(right):
-        if fan_out:
-            left = left.repartition(*[F.col(f"`{c}`") for c in (spread or left.columns)])
         return left.join(F.broadcast(right), on, how)
     hot = hot_keys(left if count_on is None else count_on, on)
     return skew_join(left, right, on, how, spread, hot)
@@ -160,22 +153,31 @@ def concat_columns(
     row_id: str = "row_id",
     left_order: Sequence[Column | str] | None = None,
     right_order: Sequence[Column | str] | None = None,
+    how: str = "full",
+    suffixes: tuple[str, str] = ("_x", "_y"),
 ) -> DataFrame:
-    """Put two tables side by side.
+    """Put two tables side by side, shared names told apart by ``suffixes``.
 
     ``row_id``: each left row meets the right row of its own id, also after a
-    fan-out that repeats ids very unevenly. ``position``: the n-th left row meets the n-th right row, and the
-    longer side is padded with nulls; the orders must be stated.
+    fan-out that repeats ids very unevenly; rows of either side alone stay with
+    nulls (``how="left"``: those of the left side only). ``position``: the n-th left row
+    meets the n-th right row, and the longer side is padded with nulls; the orders must be stated.
     """
     if align == "row_id":
-        return skew_join(left, right, [row_id], "left")
+        left, right = suffix_overlaps(left, right, [row_id], suffixes)
+        if how == "full":
+            return left.join(right, row_id, "full")
+        return skew_join(left, right, [row_id], how)
     if align != "position":
         raise ValueError(f"align must be 'row_id' or 'position', not {align!r}")
     from assayloom.operators.rows import with_row_index
 
     a = with_row_index(left, left_order or [row_id], "_position")
     b = with_row_index(right, right_order or [row_id], "_position")
-    b = b.drop(*[c for c in right.columns if c in set(left.columns)])
+    a, b = suffix_overlaps(a, b, ["_position", row_id], suffixes)
+    if row_id in a.columns and row_id in b.columns:
+        both = a.join(b.withColumnRenamed(row_id, "_other_id"), "_position", "full")
+        return both.withColumn(row_id, F.coalesce(row_id, "_other_id")).drop("_other_id")
     return a.join(b, "_position", "full")
 
 

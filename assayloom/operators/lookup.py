@@ -36,11 +36,11 @@ def lookup_provider(
 
     Returns (key, fields..., found, error). A name the provider does not know is
     ``found = false``; an exception is reported in ``error`` and does not stop
-    the other names. ``partitions`` sets how many names are asked for at a time.
+    the other names. ``partitions`` sets how many names are asked for at a time,
+    by default as many as the session has cores.
     """
     wanted = not_null(names.select(key), [key]).distinct()
-    if partitions:
-        wanted = wanted.repartition(partitions, key)
+    wanted = wanted.repartition(partitions or wanted.sparkSession.sparkContext.defaultParallelism, key)
     field_names = fields.fieldNames()
     schema = T.StructType([
         T.StructField(key, names.schema[key].dataType), *fields.fields,

@@ -15,7 +15,6 @@ from assayloom.session import broadcast_limit, materialise
 
 _GRAM = -1           # block number of the feature-by-feature sums
 _BLOCK = 1024        # targets per block of the feature-by-target sums
-_MAX_FEATURES = 4096
 
 
 # ---- one output -----------------------------------------------------------
@@ -102,14 +101,29 @@ def stage_losses(df: DataFrame, truth: str, predictions: Sequence[str]) -> DataF
 
 # ---- many outputs ---------------------------------------------------------
 
-def ridge_sums(df: DataFrame, features: str, targets: str, block: int = _BLOCK) -> DataFrame:
+def ridge_sums(
+    df: DataFrame, features: str, targets: str, block: int = _BLOCK, missing: str = "error"
+) -> DataFrame:
     """(i, block, sums): feature-by-feature and feature-by-target sums of products.
 
     Each task adds up its own rows batch by batch and emits one set of sums; a
     second stage adds the sets, each (i, block) in one place. What is shuffled
     and held has the size of the model, never of the data. Row i = 0 belongs to
-    the constant term.
+    the constant term. A row with a null or NaN in either array, or a null array,
+    is an error, or left out with ``missing="drop"``.
     """
+    if missing not in ("error", "drop"):
+        raise ValueError(f"missing must be 'error' or 'drop', not {missing!r}")
+
+    def whole(name):
+        return F.coalesce(F.forall(F.col(name), lambda v: v.isNotNull() & ~F.isnan(v.cast("double"))), F.lit(False))
+
+    usable = whole(features) & whole(targets)
+    if missing == "drop":
+        df = df.where(usable)
+    else:
+        df = df.where(F.when(usable, True).otherwise(F.raise_error(F.lit("a feature or target is missing")).cast("boolean")))
+
     def partial(batches):
         import numpy as np
         import pyarrow as pa
@@ -161,30 +175,41 @@ def ridge_sums(df: DataFrame, features: str, targets: str, block: int = _BLOCK)
     return parts.repartition("i", "block").mapInPandas(combine, schema)
 
 
-def fit_ridge(df: DataFrame, features: str, targets: str, reg: float = 1.0, block: int = _BLOCK) -> DataFrame:
+def _gram(sums: DataFrame):
+    """The feature-by-feature sums, constant term first."""
+    import numpy as np
+
+    rows = sums.where(F.col("block") == _GRAM).orderBy("i").collect()
+    return np.array([r["sums"] for r in rows], dtype="float64")
+
+
+def fit_ridge(
+    df: DataFrame, features: str, targets: str, reg: float = 1.0, block: int = _BLOCK, missing: str = "error"
+) -> DataFrame:
     """(target, coef, intercept) of least squares with an L2 penalty on the coefficients.
 
     Only the feature-by-feature matrix comes to the driver; each block of
-    targets is solved by its own task.
+    targets is solved by its own task. ``missing`` as in ``ridge_sums``.
     """
-    sums = materialise(ridge_sums(df, features, targets, block), "ridge-sums")
-    gram_rows = sums.where(F.col("block") == _GRAM).orderBy("i").limit(_MAX_FEATURES + 2).collect()
-    if len(gram_rows) > _MAX_FEATURES + 1:
-        raise ValueError(f"more than {_MAX_FEATURES} features")
+    sums = materialise(ridge_sums(df, features, targets, block, missing), "ridge-sums")
+    return _solve_ridge(sums, _gram(sums), reg, block)
 
+
+def _solve_ridge(sums: DataFrame, gram, reg: float, block: int) -> DataFrame:
+    """Coefficients on the first len(gram) - 1 features of the sums."""
     import numpy as np
 
-    gram = np.array([r["sums"] for r in gram_rows], dtype="float64")
+    size = len(gram)
     penalty = np.full(len(gram), float(reg))
     if len(penalty):
         penalty[0] = 0.0
-    shared = df.sparkSession.sparkContext.broadcast(gram + np.diag(penalty))
+    shared = sums.sparkSession.sparkContext.broadcast(gram + np.diag(penalty))
 
     def solve(pdf):
         import numpy as np
         import pandas as pd
 
-        cross = np.array(pdf.sort_values("i")["sums"].tolist(), dtype="float64")
+        cross = np.array(pdf.sort_values("i")["sums"].tolist(), dtype="float64")[:size]
         beta = np.linalg.solve(shared.value, cross)
         start = int(pdf["block"].iloc[0]) * block
         return pd.DataFrame({
@@ -246,25 +271,79 @@ def score_stacked(models: tuple[PipelineModel, PipelineModel], df: DataFrame) ->
 
 
 def fit_stacked_ridge(
-    df: DataFrame, features: str, flag: str, targets: str, reg: float = 1.0
+    df: DataFrame, features: str, flag: str, targets: str, reg: float = 1.0, block: int = _BLOCK, missing: str = "error"
 ) -> tuple[DataFrame, DataFrame]:
-    """Two stages for many outputs: stage two sees all stage-one predictions and the flag."""
-    base = materialise(fit_ridge(df, features, targets, reg), "coefficients")
-    staged = _with_stage_two_input(df, base, features, flag)
-    return base, materialise(fit_ridge(staged, "_stage_two_in", targets, reg), "coefficients")
-
+    """Two stages for many outputs: stage two sees all stage-one predictions and the flag.
+
+    Both stages come from one pass. With u the centred features and flag, and A
+    the linear map from u to the centred inputs of stage two, its penalised
+    coefficients lie in A's range: they are A v with
+    (M G M + reg M) v = M C, where M = A'A, G the sums of u u' and C those of u y'.
+    So stage two is itself a linear map of the features and the flag, and nothing
+    is ever as wide as targets x targets. The second model's ``coef`` is on the
+    features, then the flag.
+    """
+    import numpy as np
 
-def _with_stage_two_input(df: DataFrame, base: DataFrame, features: str, flag: str) -> DataFrame:
     from assayloom.functions.vectors import append_value
 
-    scored = score_ridge(df, base, features, "base_prediction")
-    return scored.withColumn("_stage_two_in", append_value("base_prediction", F.col(flag).cast("double")))
+    joint = df.select(append_value(features, F.col(flag).cast("double")).alias("_u"), F.col(targets).alias("_y"))
+    sums = materialise(ridge_sums(joint, "_u", "_y", block, missing), "ridge-sums")
+    gram = _gram(sums)
+    base = materialise(_solve_ridge(sums, gram[:-1, :-1], reg, block), "coefficients")
+    size = len(gram)
+    inner = np.eye(max(0, size - 1))
+    if size > 2:
+        inner[:-1, :-1] = _coefficient_products(base, size - 2)
+    n = gram[0, 0] if size else 1.0
+    centred = gram[1:, 1:] - np.outer(gram[1:, 0], gram[0, 1:]) / n
+    solve_for = inner @ centred @ inner + reg * inner
+    shared = df.sparkSession.sparkContext.broadcast((inner @ np.linalg.pinv(solve_for, hermitian=True) @ inner, gram))
+
+    def second_stage(pdf):
+        import pandas as pd
+
+        linear, g = shared.value
+        cross = np.array(pdf.sort_values("i")["sums"].tolist(), dtype="float64")
+        coef = linear @ (cross[1:] - np.outer(g[1:, 0], cross[0]) / g[0, 0])
+        start = int(pdf["block"].iloc[0]) * block
+        return pd.DataFrame({
+            "target": np.arange(start, start + coef.shape[1], dtype="int32"),
+            "coef": list(coef.T),
+            "intercept": cross[0] / g[0, 0] - (g[0, 1:] / g[0, 0]) @ coef,
+        })
+
+    second = sums.where(F.col("block") > _GRAM).groupBy("block").applyInPandas(
+        second_stage, "target int, coef array<double>, intercept double")
+    return base, materialise(second, "coefficients")
+
+
+def _coefficient_products(model: DataFrame, width: int):
+    """Sum over the targets of coef x coef: a matrix of the features' size."""
+    import numpy as np
+
+    def partial(batches):
+        import pandas as pd
+
+        total = np.zeros((width, width))
+        for pdf in batches:
+            if len(pdf):
+                w = np.stack(pdf["coef"].to_numpy())
+                total += w.T @ w
+        yield pd.DataFrame({"place": np.arange(width * width), "value": total.ravel()})
+
+    cells = (model.select("coef").mapInPandas(partial, "place long, value double")
+             .groupBy("place").agg(F.sum("value").alias("value")).orderBy("place").collect())
+    return np.array([r["value"] for r in cells]).reshape(width, width)
 
 
 def score_stacked_ridge(
     models: tuple[DataFrame, DataFrame], df: DataFrame, features: str, flag: str
 ) -> DataFrame:
     """Adds ``base_prediction`` and ``prediction`` arrays."""
+    from assayloom.functions.vectors import append_value
+
     base, second = models
-    staged = _with_stage_two_input(df, base, features, flag)
-    return score_ridge(staged, second, "_stage_two_in", "prediction").drop("_stage_two_in")
+    scored = score_ridge(df, base, features, "base_prediction")
+    staged = scored.withColumn("_with_flag", append_value(features, F.col(flag).cast("double")))
+    return score_ridge(staged, second, "_with_flag", "prediction").drop("_with_flag")

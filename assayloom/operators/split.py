@@ -116,10 +116,18 @@ def ceil_of(fraction: float) -> Callable[[int], int]:
 
 
 def exact_sample(df: DataFrame, ids: Sequence[str], size: int | Callable[[int], int], seed: int | str) -> DataFrame:
-    """Exactly ``size`` rows without replacement, the same rows on every run."""
+    """Exactly ``size`` rows without replacement, the same rows on every run.
+
+    ``ids`` must tell rows apart: rows that share theirs are drawn together, and
+    a draw that would so exceed its size is an error.
+    """
     key = draw_key(ids, seed)
     wanted = size if callable(size) else (lambda n: size)
-    return df.where(key <= F.lit(kth_key(df, key, wanted)))
+    drawn = df.where(key <= F.lit(kth_key(df, key, wanted)))
+    twice = drawn.groupBy(*[F.col(f"`{c}`") for c in ids]).count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"{list(ids)} are not unique, for example {tuple(twice[0])[:-1]}")
+    return drawn
 
 
 def two_way_split(df: DataFrame, ids: Sequence[str], test_fraction: float, seed: int | str) -> DataFrame:
@@ -170,28 +178,29 @@ def group_holdout(
         draws.append(Draw(is_major, test_key, ceil_of(test_fraction)))
     cuts = kth_keys(df, draws)
     split = F.when(is_minor & (minor_key <= F.lit(cuts[0])), "train").when(is_minor, "test")
-    if test_fraction:
-        is_test = test_key <= F.lit(cuts[1])
-        split = split.when(is_major & is_test, "test")
-        if val_fraction:
-            cut = kth_key(df.where(is_major & ~is_test), val_key, ceil_of(val_fraction))
-            split = split.when(is_major & (val_key <= F.lit(cut)), "val")
+    is_test = test_key <= F.lit(cuts[1]) if test_fraction else F.lit(False)
+    split = split.when(is_major & is_test, "test")
+    if val_fraction:
+        cut = kth_key(df.where(is_major & ~is_test), val_key, ceil_of(val_fraction))
+        split = split.when(is_major & (val_key <= F.lit(cut)), "val")
     split = split.when(is_major, "train")
     return df.where(is_major | is_minor).withColumn("split", split)
 
 
-def split_summary(df: DataFrame, n_features: int, n_targets: int) -> DataFrame:
-    """(label, value): rows per split, features and targets, from one pass."""
+def split_summary(df: DataFrame, features: str, targets: str) -> DataFrame:
+    """(label, value): rows per split, and the lengths of the feature and target arrays, from one pass."""
     def rows(name):
         return F.count(F.when(F.col("split") == name, 1))
 
     def line(label, value):
         return F.struct(F.lit(label).alias("label"), value.alias("value"))
 
-    one = df.agg(rows("train").alias("train"), rows("test").alias("test"))
+    one = df.agg(rows("train").alias("train"), rows("val").alias("val"), rows("test").alias("test"),
+                 F.max(F.size(features)).alias("features"), F.max(F.size(targets)).alias("targets"))
     return one.select(F.inline(F.array(
         line("n_train", F.col("train")),
+        line("n_val", F.col("val")),
         line("n_test", F.col("test")),
-        line("n_features", F.lit(n_features).cast("long")),
-        line("n_targets", F.lit(n_targets).cast("long")),
+        line("n_features", F.col("features").cast("long")),
+        line("n_targets", F.col("targets").cast("long")),
     )))

@@ -63,8 +63,11 @@ def regroup_stats(
     measures: Mapping[str, str] = GROUP_STATS,
     exact: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """One function per measure, names unchanged: means of means, sums of sums."""
-    out = [_FUNCTIONS[fn](m, exact).alias(m) for m, fn in measures.items()]
+    """One function per measure, names unchanged: means of means, sums of sums.
+
+    ``exact`` applies to the sums; a mean of means has no fixed scale.
+    """
+    out = [_FUNCTIONS[fn](m, exact if fn == "sum" else None).alias(m) for m, fn in measures.items()]
     return not_null(df, keys).groupBy(*keys).agg(*out)
 
 
@@ -82,7 +85,7 @@ def group_summary(
     """
     per_obs = agg_stats(measurements, [obs_key], OBSERVATION_STATS, exact)
     meta = metadata.select(obs_key, *group_keys)
-    return regroup_stats(left_lookup(per_obs, meta, [obs_key]), group_keys, GROUP_STATS)
+    return regroup_stats(left_lookup(per_obs, meta, [obs_key]), group_keys, GROUP_STATS, exact)
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -96,7 +99,7 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def value_shares(df: DataFrame, col: str) -> DataFrame:
     """Value counts with each value's percentage of the total."""
     counts = df.where(F.col(f"`{col}`").isNotNull()).groupBy(F.col(f"`{col}`")).agg(F.count(F.lit(1)).alias("count"))
-    total = df.agg(F.count(F.col(f"`{col}`"))).scalar()
+    total = counts.agg(F.sum("count")).scalar()
     return counts.withColumn("percent", F.col("count") * F.lit(100.0) / total)
 
 
@@ -116,11 +119,16 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def mean_squared_error(df: DataFrame, pred: str, truth: str) -> DataFrame:
-    """One row (mse); arrays are averaged over all rows and all outputs."""
+    """One row (mse); arrays are averaged over all outputs of the rows that have both sides whole.
+
+    Arrays of different lengths are an error.
+    """
     if isinstance(df.schema[pred].dataType, T.ArrayType):
         from assayloom.functions.vectors import squared_error_sum
 
-        total = F.sum(squared_error_sum(pred, truth))
-        return df.agg((total / F.sum(F.size(pred))).alias("mse"))
+        row = F.when(F.size(pred) != F.size(truth), F.raise_error(F.lit("arrays of different lengths"))).otherwise(
+            squared_error_sum(pred, truth))
+        row = F.when(F.col(pred).isNotNull() & F.col(truth).isNotNull(), row)
+        return df.agg((F.sum(row) / F.sum(F.when(row.isNotNull(), F.size(pred)))).alias("mse"))
     diff = F.col(pred).cast("double") - F.col(truth).cast("double")
     return df.agg(F.avg(diff * diff).alias("mse"))

@@ -91,7 +91,7 @@ def enrich_training(
     # The donors come last: everything before them is done once per row, not once per donor.
     shared = [k for k in second.group_keys if k in features.columns]
     donors = [k for k in second.group_keys if k not in shared]
-    out = suffix_join(out, second.summary(), shared, freeze=True, spread=[row_id], fan_out=True,
+    out = suffix_join(out, second.summary(), shared, freeze=True, spread=[row_id],
                       count_on=features.select(*shared))
 
     known = [c for c in properties.columns if c != "sm_name"]
@@ -101,7 +101,8 @@ def enrich_training(
         return out
     wide = rows.select(row_id, *targets)
     donors = [F.col(f"`{d}`") for d in donors]
-    return concat_columns(out, wide, "position", row_id, [F.col(row_id), *donors], [F.col(row_id)])
+    side = wide.withColumnRenamed(row_id, "_target_row")
+    return concat_columns(out, side, "position", row_id, [F.col(row_id), *donors], [F.col("_target_row")]).drop("_target_row")
 
 
 def enrich_prediction(

@@ -18,7 +18,7 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 _INTEGER = r"^\s*[+-]?[0-9]+\s*$"
-_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+_NUMBER = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
 _BOOLEAN = ("True", "TRUE", "true", "False", "FALSE", "false")
 
 
@@ -59,7 +59,9 @@ def read_csv(
     """CSV with a header; quotes are doubled inside quoted fields.
 
     Fields are read as text, every null token becomes null, and the rest is cast
-    to ``schema`` (a value that does not parse becomes null). Without a schema
+    to ``schema`` (a value that does not parse becomes null; nested types are read
+    from JSON text, as ``write_csv`` writes them). A schema's columns are found by
+    the header's names; one that the file lacks is an error. Without a schema
     the types are found from the values, at the cost of a pass over the file.
     ``multiline`` allows line breaks inside quoted fields; such files cannot be
     split, so prefer many part files to one large one.
@@ -68,19 +70,28 @@ def read_csv(
         header=True, quote='"', escape='"', multiLine=multiline,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
-    if schema is not None:
-        reader = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]))
     raw = reader.csv(path)
+    if schema is not None:
+        lacking = [n for n in schema.fieldNames() if n not in raw.columns]
+        if lacking:
+            raise ValueError(f"{path} has no column {lacking}")
+        raw = raw.select(*[F.col(f"`{n}`") for n in schema.fieldNames()])
     tokens = list(null_tokens)
     text = raw.select(*[
         F.when(~F.col(f"`{n}`").isin(tokens), F.col(f"`{n}`")).alias(n) for n in raw.columns
     ])
     schema = schema if schema is not None else infer_types(text)
-    return text.select(*[
-        (F.col(f"`{f.name}`") if isinstance(f.dataType, T.StringType)
-         else F.trim(F.col(f"`{f.name}`")).try_cast(f.dataType)).alias(f.name)
-        for f in schema.fields
-    ])
+    return text.select(*[_parsed(f).alias(f.name) for f in schema.fields])
+
+
+def _parsed(field: T.StructField):
+    """A text field as its type."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        return c
+    if isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
+        return F.from_json(c, field.dataType)
+    return F.trim(c).try_cast(field.dataType)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, **csv_options) -> DataFrame:

@@ -34,8 +34,7 @@ def two_key_join(t):
 @query(f"""WITH {CTE_SECOND}, {CTE_ROWS} SELECT f.row_id, f.cell_type, f.sm_name, m.donor_id, {rounded_stats('m', '')}
 FROM feats f LEFT JOIN summary2 m ON f.cell_type = m.cell_type""")
 def donor_fan_out(t):
-    return J.dimension_join(_features(t), t.second_assay.summary(), ["cell_type"], freeze=True,
-                           spread=["row_id"], fan_out=True)
+    return J.dimension_join(_features(t), t.second_assay.summary(), ["cell_type"], freeze=True)
 
 
 @query(f"""WITH {CTE_FIRST}, {CTE_SECOND}, types AS (SELECT cell_type, {GROUPED} FROM stats1 LEFT JOIN meta1 USING (obs_id)
@@ -53,8 +52,8 @@ def property_join(t):
     return J.dimension_join(_features(t), t.properties, ["sm_name"], freeze=True)
 
 
-@query("""SELECT l.l_orderkey AS row_id, l.l_linenumber, o.o_totalprice FROM lineitem l
-LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey""")
+@query("""SELECT COALESCE(l.l_orderkey, o.o_orderkey) AS row_id, l.l_linenumber, o.o_totalprice FROM lineitem l
+FULL JOIN orders o ON l.l_orderkey = o.o_orderkey""")
 def concat_by_row_id(t):
     left = t.lineitem.select(F.col("l_orderkey").alias("row_id"), "l_linenumber")
     right = t.orders.select(F.col("o_orderkey").alias("row_id"), "o_totalprice")
@@ -104,3 +103,15 @@ FROM feats f LEFT JOIN summary2 m ON f.cell_type = m.cell_type""")
 def salted_donor_fan_out(t):
     features = t.rows.select("row_id", "cell_type")
     return J.skew_join(features, materialise(t.second_assay.summary()), ["cell_type"], spread=["row_id"])
+
+
+@query("""WITH a AS (SELECT c_custkey, c_name AS name, ROW_NUMBER() OVER (ORDER BY c_custkey) - 1 AS p FROM customer),
+b AS (SELECT s_suppkey, s_name AS name, ROW_NUMBER() OVER (ORDER BY s_suppkey) - 1 AS p FROM supplier)
+SELECT COALESCE(a.p, b.p) AS _position, c_custkey, a.name AS name_x, s_suppkey, b.name AS name_y
+FROM a FULL JOIN b ON a.p = b.p""")
+def concat_shared_names(t):
+    return J.concat_columns(
+        t.customer.select("c_custkey", F.col("c_name").alias("name")),
+        t.supplier.select("s_suppkey", F.col("s_name").alias("name")), "position",
+        left_order=["c_custkey"], right_order=["s_suppkey"],
+    )

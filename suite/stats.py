@@ -93,9 +93,22 @@ def squared_error_vectors(t):
     return S.mean_squared_error(scored, "pred", "truth").select(F.round("mse", 8).alias("mse"))
 
 
-@query("""SELECT 'n_train' AS label, COUNT(*) AS value FROM orders WHERE o_orderstatus <> 'P'
+@query("""SELECT 'n_train' AS label, COUNT(*) AS value FROM orders WHERE o_orderstatus <> 'P' AND o_orderpriority <> '1-URGENT'
+UNION ALL SELECT 'n_val', COUNT(*) FROM orders WHERE o_orderstatus <> 'P' AND o_orderpriority = '1-URGENT'
 UNION ALL SELECT 'n_test', COUNT(*) FROM orders WHERE o_orderstatus = 'P'
-UNION ALL SELECT 'n_features', 4 UNION ALL SELECT 'n_targets', 1""")
+UNION ALL SELECT 'n_features', MAX(LEN([o_custkey, o_totalprice])) FROM orders
+UNION ALL SELECT 'n_targets', MAX(LEN([o_orderkey])) FROM orders""")
 def split_sizes(t):
-    split = F.when(F.col("o_orderstatus") == "P", "test").otherwise("train")
-    return split_summary(t.orders.withColumn("split", split), 4, 1)
+    val = F.col("o_orderpriority") == "1-URGENT"
+    split = F.when(F.col("o_orderstatus") == "P", "test").when(val, "val").otherwise("train")
+    frame = t.orders.select(
+        split.alias("split"), F.array("o_custkey", "o_totalprice").alias("features"), F.array("o_orderkey").alias("targets"))
+    return split_summary(frame, "features", "targets")
+
+
+@query("""WITH e AS (SELECT embedding AS p, CASE WHEN vec_id % 3 = 0 THEN NULL ELSE list_reverse(embedding) END AS t FROM embeddings)
+SELECT ROUND(SUM(list_sum(list_transform(range(1, 65), i -> (p[i] - t[i]) * (p[i] - t[i])))) / (COUNT(t) * 64), 6) AS mse FROM e""")
+def squared_error_null_truth(t):
+    truth = F.when(F.col("vec_id") % 3 != 0, F.reverse("embedding"))
+    scored = t.embeddings.select(F.col("embedding").alias("pred"), truth.alias("truth"))
+    return S.mean_squared_error(scored, "pred", "truth").select(F.round("mse", 6).alias("mse"))

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -17,8 +18,7 @@ def test_ordinal_keeps_the_values_own_order(spark):
     assert [(r.i, r.b, r.d) for r in out] == [(0, 0, 1), (1, 1, 1), (2, 1, 0)]
 
 
-def test_ordinal_codes_of_many_values(spark, monkeypatch):
-    monkeypatch.setattr(E, "ONE_TASK_VALUES", 10)
+def test_ordinal_codes_of_many_values(spark):
     df = spark.range(300).select((F.col("id") % 150).cast("string").alias("s"))
     got = {r.value: r.code for r in E.ordinal_codes(df, "s").collect()}
     assert got == {v: i for i, v in enumerate(sorted({str(i) for i in range(150)}))}
@@ -61,3 +61,17 @@ def test_affine_many(spark):
     got = {r.i: r.affine for r in V.affine_many(df, "x", w, b).collect()}
     assert got.pop(50) is None
     np.testing.assert_allclose([got[i] for i in range(50)], x @ w.T + b)
+
+
+def test_relu_keeps_nulls(spark):
+    df = spark.createDataFrame([([1.0, None, -2.0],)], "x array<double>")
+    assert df.select(V.relu("x").alias("x")).first().x == [1.0, None, 0.0]
+
+
+def test_affine_refuses_ragged_rows_and_slices_its_output(spark):
+    bad = spark.createDataFrame([([1.0],), ([1.0, 2.0, 3.0],)], "x array<double>").coalesce(1)
+    with pytest.raises(Exception, match="entries, not 2"):
+        V.affine_many(bad, "x", [[1.0, 1.0]], [0.0]).collect()
+    good = spark.createDataFrame([(i, [float(i), 1.0] if i % 3 else None) for i in range(20)], "i int, x array<double>").coalesce(1)
+    got = {r.i: r.affine for r in V.affine_many(good, "x", [[1.0] * 2] * 3, [0.5] * 3).collect()}
+    assert got == {i: [i + 1.5] * 3 if i % 3 else None for i in range(20)}

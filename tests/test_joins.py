@@ -61,8 +61,6 @@ def test_dimension_join_broadcasts_only_what_is_measured_small(spark, rows):
         small = J.dimension_join(left, right, ["k"], freeze=freeze)
         assert "BroadcastHashJoin" in _plan(small)
         assert rows(small, "row_id", "k", "d") == want
-    spread = J.dimension_join(left, right, ["k"], spread=["row_id"], fan_out=True)
-    assert rows(spread, "row_id", "k", "d") == want
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
     try:
@@ -108,6 +106,15 @@ def test_alignment_after_a_fan_out(spark, rows):
         J.concat_columns(enriched, targets, "elsewhere")
 
 
+def test_concat_keeps_both_sides_and_shared_names(spark, rows):
+    a = spark.createDataFrame([(0, "p"), (1, "q")], "row_id int, v string")
+    b = spark.createDataFrame([(1, "r"), (2, "s")], "row_id int, v string")
+    assert rows(J.concat_columns(a, b), "row_id", "v_x", "v_y") == [(0, "p", None), (1, "q", "r"), (2, None, "s")]
+    assert rows(J.concat_columns(a, b, how="left"), "row_id", "v_x", "v_y") == [(0, "p", None), (1, "q", "r")]
+    side = J.concat_columns(a, b, "position")
+    assert rows(side, "v_x", "v_y") == [("p", "r"), ("q", "s")]
+
+
 def test_key_hits(spark, rows):
     left = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
     dim = spark.createDataFrame([("a",), ("a",), ("c",)], "k string")

@@ -74,3 +74,9 @@ def test_map_label_and_flag(spark):
     df = spark.createDataFrame([("NK cells",), ("unseen",), (None,)], "s string")
     assert [r[0] for r in df.select(map_label("s", CELL_TYPE_CODES)).collect()] == [2, None, None]
     assert [r[0] for r in df.select(member_flag("s", ["NK cells"])).collect()] == [1, 0, 0]
+
+
+def test_exempt_after_the_first_cut(spark):
+    df = spark.createDataFrame([("Foo; bar (x)",), ("Foo; baz (x)",), ("Foo; bar",)], "n string")
+    got = [r.c for r in df.select(clean_name("n", exempt=["Foo; bar"]).alias("c")).collect()]
+    assert got == ["Foo; bar", "Foo", "Foo; bar"]

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from suite import QUERIES, SQL
 from tests.check import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -16,18 +17,17 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, con, name):
     df = entry.queries()[name](spark, SF)
     assert compare(df, con, entry.oracle_sql()[name]) is None
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
-    # The one ordered window runs over a counted handful of values.
-    assert "Window [" not in plan or name == "ordinal_code_table"
+    assert "Window [" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_query_without_sql_gives_rows(spark, name):
     assert entry.queries()[name](spark, SF).count() > 0
 

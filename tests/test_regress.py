@@ -1,6 +1,8 @@
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from assayloom.operators import regress as R
 
 
@@ -76,3 +78,39 @@ def test_objective_history_falls(spark):
     model = R.fit_linear(df, ["x0", "x1", "x2"], "y0", solver="l-bfgs", max_iter=10)
     losses = [r.loss for r in R.objective_history(spark, "base", model).orderBy("epoch").collect()]
     assert len(losses) > 1 and losses[-1] <= losses[0]
+
+
+def test_second_stage_equals_its_direct_solution(spark):
+    """Closed form against a penalised fit on all stage-one predictions and the flag."""
+    df, *_ = _data(spark)
+    rows = df.orderBy("i").select("x", "flag", "y").collect()
+    x, f, y = np.array([r.x for r in rows]), np.array([float(r.flag) for r in rows]), np.array([r.y for r in rows])
+
+    def ridge(z, t, reg):
+        zc, tc = z - z.mean(0), t - t.mean(0)
+        return t.mean(0) + zc @ np.linalg.solve(zc.T @ zc + reg * np.eye(z.shape[1]), zc.T @ tc)
+
+    base = ridge(x, y, 0.1)
+    want = ridge(np.column_stack([base, f]), y, 0.1)
+    models = R.fit_stacked_ridge(df, "x", "flag", "y", 0.1)
+    got = R.score_stacked_ridge(models, df, "x", "flag").orderBy("i").collect()
+    assert np.allclose([r.base_prediction for r in got], base)
+    assert np.allclose([r.prediction for r in got], want)
+
+
+def test_two_stages_at_full_width(spark):
+    rng = np.random.default_rng(0)
+    rows = [(i, rng.random(3).tolist(), i % 2, rng.random(18211).tolist()) for i in range(20)]
+    df = spark.createDataFrame(rows, "i int, x array<double>, flag int, y array<double>").repartition(4)
+    scored = R.score_stacked_ridge(R.fit_stacked_ridge(df, "x", "flag", "y", 0.1), df, "x", "flag")
+    assert scored.select(F.size("prediction").alias("n")).distinct().first().n == 18211
+
+
+def test_missing_entries_in_a_fit(spark):
+    df, *_ = _data(spark)
+    hole = df.withColumn("x", F.when(F.col("i") == 0, F.array(F.lit(None).cast("double"), F.lit(1.0), F.lit(1.0))).otherwise(F.col("x")))
+    with pytest.raises(Exception, match="missing"):
+        R.fit_ridge(hole, "x", "y").collect()
+    left = R.fit_ridge(hole, "x", "y", missing="drop").orderBy("target").collect()
+    want = R.fit_ridge(df.where("i <> 0"), "x", "y").orderBy("target").collect()
+    assert np.allclose([r.coef for r in left], [r.coef for r in want])

@@ -77,7 +77,7 @@ def test_no_records_give_an_empty_typed_table(spark):
 
 def test_materialise_uses_the_shared_folder(spark):
     out = materialise(spark.range(5))
-    assert all(shared_dir(spark) in f for f in out.inputFiles()) and out.count() == 5
+    assert all(shared_dir(spark).split(":", 1)[-1].lstrip("/") in f for f in out.inputFiles()) and out.count() == 5
 
 
 def test_wide_files(spark, tmp_path):
@@ -109,20 +109,42 @@ def test_pack_columns(spark):
     assert out.dtypes == [("i", "int"), ("targets", "array<float>")] and out.first().targets == [2.0, 3.0]
 
 
-def _session(master, folder):
-    from types import SimpleNamespace
+def test_stored_tables_lie_below_the_shared_or_warehouse_folder(spark):
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    assert shared_dir(spark).split(":", 1)[-1].lstrip("/").startswith(root.split(":", 1)[-1].lstrip("/").rstrip("/"))
 
-    return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default=None: folder or default),
-        sparkContext=SimpleNamespace(master=master, applicationId="app-1"),
+
+def test_stored_tables_go_when_the_session_ends(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    code = (
+        "from assayloom import build_session, materialise\n"
+        f"s = build_session('gone', 'local[1]', spark__ui__enabled='false', spark__checkpoint__dir='{tmp_path}')\n"
+        "print(materialise(s.range(3)).count())\ns.stop()"
     )
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert out.stdout.strip().endswith("3") and not [f for f in os.listdir(tmp_path) if f.startswith("assayloom")]
+
 
+def test_csv_is_bound_by_name(spark, tmp_path):
+    path = str(tmp_path / "swapped.csv")
+    (tmp_path / "swapped.csv").write_text("b,a\n1,x\n2,y\n")
+    got = read_csv(spark, path, T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.IntegerType())]))
+    assert sorted(map(tuple, got.collect())) == [("x", 1), ("y", 2)]
+    with pytest.raises(ValueError, match="no column"):
+        read_csv(spark, path, T.StructType([T.StructField("c", T.StringType())]))
 
-def test_shared_folder_comes_from_the_session():
-    assert shared_dir(_session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
-    with pytest.raises(RuntimeError):
-        shared_dir(_session("yarn", None))
-    assert shared_dir(_session("local[2]", None)) == shared_dir(_session("local[2]", None))
+
+def test_csv_nested_and_infinite_values(spark, tmp_path):
+    path = str(tmp_path / "nested.csv")
+    df = spark.createDataFrame([(1, [1.5, 2.0]), (2, None)], "i int, x array<double>")
+    write_csv(df, path)
+    assert sorted(map(tuple, read_csv(spark, path, df.schema).collect())) == [(1, [1.5, 2.0]), (2, None)]
+    (tmp_path / "inf.csv").write_text("v\n1.5\ninf\n-Infinity\n")
+    got = read_csv(spark, str(tmp_path / "inf.csv"))
+    assert got.dtypes == [("v", "double")] and sorted(r.v for r in got.collect()) == [float("-inf"), 1.5, float("inf")]
 
 
 def test_only_a_table_in_few_pieces_is_dealt_out(spark, tmp_path, rows):

@@ -71,6 +71,19 @@ def test_sizes_follow_float_arithmetic():
 
 
 def test_split_summary(spark, rows):
-    df = spark.createDataFrame([("train",), ("train",), ("test",), ("val",)], "split string")
-    assert rows(S.split_summary(df, 26, 18211)) == [
-        ("n_features", 26), ("n_targets", 18211), ("n_test", 1), ("n_train", 2)]
+    df = spark.createDataFrame([(s, [1.0, 2.0], [3.0]) for s in ("train", "train", "test", "val")],
+                               "split string, x array<double>, y array<double>")
+    assert rows(S.split_summary(df, "x", "y")) == [
+        ("n_features", 2), ("n_targets", 1), ("n_test", 1), ("n_train", 2), ("n_val", 1)]
+
+
+def test_validation_without_test(spark):
+    df = spark.range(40).select("id", F.when(F.col("id") < 30, "a").otherwise("b").alias("g"))
+    got = {r.split: r["count"] for r in S.group_holdout(df, ["id"], "g", ["a"], ["b"], 1, 0.1, 0.0, 0.2).groupBy("split").count().collect()}
+    assert got == {"val": 6, "train": 25, "test": 9}
+
+
+def test_a_draw_among_repeated_ids_is_an_error(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,), (2,)], "id long")
+    with pytest.raises(ValueError):
+        S.exact_sample(df, ["id"], 1, 0)
