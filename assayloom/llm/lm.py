@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -218,11 +219,22 @@ def score(docs: DataFrame, held_out: str, doc_id: str = "doc_id", text: str = "t
     Nothing is broadcast but the weights: counts live in blocks of the key range,
     and each chunk of documents gets back those of its own n-grams. Words have
     64-bit keys, bigrams 32 bits within their block, of which there are as many as
-    the corpus needs to keep their size.
+    the corpus needs to keep their size. The coded corpus is stored once, bucketed by
+    chunk, so that only counts move when chunks are looked up; it goes when the
+    answer is stored.
     """
+    spark, name = docs.sparkSession, f"lm_chunks_{uuid.uuid4().hex}"
+    try:
+        return _scored(docs, name, held_out, doc_id, text)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _scored(docs: DataFrame, name: str, held_out: str, doc_id: str, text: str) -> DataFrame:
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{held_out}`"), F.lit(False)).alias("held_out"),
                          F.col(f"`{text}`").alias("text"))
-    chunks = materialise(_chunks(source), "chunks")
+    _chunks(source).write.format("parquet").bucketBy(width(docs), "chunk").saveAsTable(name)
+    chunks = docs.sparkSession.table(name)
     grams = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     bits = min(31, max(6, math.ceil(math.log2(max(1, grams / _BLOCK_GRAMS))), math.ceil(math.log2(width(docs)))))
     counted = materialise(_counted(chunks, bits), "counted")
@@ -245,5 +257,6 @@ def score(docs: DataFrame, held_out: str, doc_id: str = "doc_id", text: str = "t
              pa.array(np.full(len(starts), model.tokens)), pa.array(np.add.reduceat(np.log10(base), starts)),
              pa.array(np.add.reduceat(np.log10(mixed), starts))], names)
 
-    return chunks.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(
+    scores = chunks.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(
         rate, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return materialise(scores, "scores")
