@@ -107,7 +107,7 @@ def split_sizes(t):
 
 
 @query("""WITH e AS (SELECT embedding AS p, CASE WHEN vec_id % 3 = 0 THEN NULL ELSE list_reverse(embedding) END AS t FROM embeddings)
-SELECT ROUND(SUM(list_sum(list_transform(range(1, 65), i -> (p[i] - t[i]) * (p[i] - t[i])))) / (COUNT(t) * 64), 6) AS mse FROM e""")
+SELECT ROUND(SUM(list_sum([(CAST(p[i] AS DOUBLE) - t[i]) * (CAST(p[i] AS DOUBLE) - t[i]) FOR i IN range(1, 65)])) / (COUNT(t) * 64), 6) AS mse FROM e""")
 def squared_error_null_truth(t):
     truth = F.when(F.col("vec_id") % 3 != 0, F.reverse("embedding"))
     scored = t.embeddings.select(F.col("embedding").alias("pred"), truth.alias("truth"))
