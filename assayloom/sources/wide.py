@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,6 @@ from pyspark.sql import types as T
 
 from assayloom.constants import FEATURE_COLUMNS
 
-_MAX_TASKS = 20_000     # a task reads several row groups when there are more than this
-
 
 def pack_columns(df: DataFrame, keep: Sequence[str], out: str = "targets", dtype: str = "float") -> DataFrame:
     """All columns but ``keep`` as one array column, for tables of moderate width."""
@@ -56,7 +55,8 @@ def read_wide_parquet(
     group, so a large file spreads over many tasks, and each task holds
     ``batch_rows`` rows at a time. ``row_id`` numbers the rows of all files in
     path order; the numbers come from footers alone, so they are the same on
-    every run.
+    every run. Columns are found by name, in the order of the first file; files
+    with other names are an error.
     """
     keep_names = keep.fieldNames()
     files = spark.read.format("binaryFile").load(path).select("path")
@@ -70,13 +70,19 @@ def read_wide_parquet(
             for p in pdf["path"]:
                 filesystem, inner = pafs.FileSystem.from_uri(p)
                 with filesystem.open_input_file(inner) as handle:
-                    meta = pq.ParquetFile(handle).metadata
+                    file = pq.ParquetFile(handle)
+                    meta, names = file.metadata, file.schema_arrow.names
                 rows = [meta.row_group(g).num_rows for g in range(meta.num_row_groups)]
-                yield pd.DataFrame({"path": p, "row_group": range(len(rows)), "n_rows": rows})
+                rest = sorted(n for n in names if n not in keep_names)
+                mark = hashlib.sha256("\0".join(rest).encode()).hexdigest()
+                yield pd.DataFrame({"path": p, "row_group": range(len(rows)), "n_rows": rows, "mark": mark})
 
-    groups = files.mapInPandas(footers, "path string, row_group int, n_rows long")
+    groups = files.mapInPandas(footers, "path string, row_group int, n_rows long, mark string")
     # One line per row group: bounded by the number of files, like a file listing.
     listing = sorted(groups.collect(), key=lambda r: (r["path"], r["row_group"]))
+    if len({r["mark"] for r in listing}) > 1:
+        raise ValueError(f"the files of {path} have different columns")
+    rest = [r["name"] for r in wide_column_names(spark, path, keep_names).orderBy("pos").collect()] if listing else []
     start, tasks = 0, []
     for r in listing:
         tasks.append((r["path"], r["row_group"], start))
@@ -89,7 +95,7 @@ def read_wide_parquet(
         return spark.createDataFrame([], schema)
     work = (
         spark.createDataFrame(tasks, "path string, row_group int, start long")
-        .repartitionByRange(min(len(tasks), _MAX_TASKS), "start")
+        .repartitionByRange(len(tasks), "start")
     )
 
     arrow_names = {
@@ -109,7 +115,6 @@ def read_wide_parquet(
                 filesystem, inner = pafs.FileSystem.from_uri(task["path"])
                 with filesystem.open_input_file(inner) as handle:
                     source = pq.ParquetFile(handle)
-                    rest = [n for n in source.schema_arrow.names if n not in keep_types]
                     at = task["start"]
                     for batch in source.iter_batches(batch_rows, row_groups=[task["row_group"]]):
                         n, width = batch.num_rows, len(rest)

@@ -128,3 +128,48 @@ def two_stage_ridge(t):
     models = R.fit_stacked_ridge(table, "features", "flag", "targets", 0.1)
     scored = R.score_stacked_ridge(models, table, "features", "flag")
     return scored.select("vec_id", F.posexplode("prediction").alias("target", "prediction"))
+
+
+@query(f"""WITH {_STAGED} SELECT CAST(0 AS BIGINT) AS n_rising,
+  ROUND(AVG((base - l_extendedprice) * (base - l_extendedprice)) / 1000000, 2) AS last_error FROM staged""")
+def optimiser_history_summary(t):
+    """Steps at which the loss rose, and the last loss in the label's units: half the error over the label's variance."""
+    model = R.fit_linear(_lines(t), ["l_quantity", "l_discount"], "l_extendedprice", solver="l-bfgs", max_iter=100)
+    history = R.objective_history(t.spark, "base", model)
+    later = history.select((F.col("epoch") - 1).alias("epoch"), F.col("loss").alias("later"))
+    rising = history.join(later, "epoch").agg(F.count_if(F.col("later") > F.col("loss") * (1 + 1e-12)).alias("n_rising"))
+    last = history.agg(F.max_by("loss", "epoch").alias("last"))
+    spread = t.lineitem.agg(F.var_samp("l_extendedprice").alias("variance"))
+    one = [d.withColumn("_one", F.lit(1)) for d in (rising, last, spread)]
+    return one[0].join(one[1], "_one").join(one[2], "_one").select(
+        "n_rising", F.round(2 * F.col("last") * F.col("variance") / 1000000, 2).alias("last_error"))
+
+
+@query("SELECT COUNT(*) AS n_scored, CAST(0 AS BIGINT) AS n_not_finite, TRUE AS beats_the_mean FROM lineitem")
+def boosted_regression_summary(t):
+    features = ["l_quantity", "l_discount", "l_tax"]
+    model = R.fit_boosted(_lines(t), features, "l_extendedprice", rounds=5, depth=3)
+    scored = R.score(model, t.lineitem, ["l_extendedprice"])
+    p, y = F.col("prediction"), F.col("l_extendedprice")
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_scored"), F.count_if(p.isNull() | F.isnan(p) | (F.abs(p) == float("inf"))).alias("n_not_finite"),
+        (F.avg((p - y) * (p - y)) < F.var_pop(y)).alias("beats_the_mean"))
+
+
+@query("""WITH s AS (SELECT l_quantity AS x, CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS f, l_extendedprice AS y FROM lineitem),
+c AS (SELECT COUNT(*) AS n, AVG(x) AS mx, AVG(f) AS mf, AVG(y) AS my FROM s),
+g AS (SELECT SUM((x - mx) * (x - mx)) AS xx, SUM((x - mx) * (f - mf)) AS xf, SUM((f - mf) * (f - mf)) AS ff,
+  SUM((x - mx) * (y - my)) AS xy, SUM((f - mf) * (y - my)) AS fy FROM s, c),
+b AS (SELECT xy / (xx + 1) AS w FROM g),
+k AS (SELECT w, w * w * xx + 1 AS a, w * xf AS b, ff + 1 AS d, w * xy AS p, fy AS q FROM g, b),
+v AS (SELECT w, (p * d - b * q) / (a * d - b * b) AS v1, (a * q - b * p) / (a * d - b * b) AS v2 FROM k)
+SELECT ROUND(w, 2) AS w_stage_one, ROUND(w * v1, 2) AS w_quantity, ROUND(v2, 2) AS w_flag FROM v""")
+def two_stage_ridge_closed_form(t):
+    """One feature and one target: stage two is a fit on the stage-one prediction and the flag."""
+    table = _lines(t).select(
+        F.array("l_quantity").alias("features"), member_flag("l_returnflag", ["R"]).alias("flag"),
+        F.array("l_extendedprice").alias("targets"))
+    base, second = R.fit_stacked_ridge(table, "features", "flag", "targets", 1.0)
+    return base.select("target", F.col("coef")[0].alias("w")).join(second.select("target", "coef"), "target").select(
+        F.round("w", 2).alias("w_stage_one"), F.round(F.col("coef")[0], 2).alias("w_quantity"),
+        F.round(F.col("coef")[1], 2).alias("w_flag"))

@@ -160,3 +160,18 @@ def test_only_a_table_in_few_pieces_is_dealt_out(spark, tmp_path, rows):
         assert rows(dealt) == rows(kept) and kept.count() == 1000
     finally:
         spark.conf.set("spark.sql.files.openCostInBytes", before)
+
+
+def test_wide_files_are_bound_by_name(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    folder = tmp_path / "w"
+    folder.mkdir()
+    pq.write_table(pa.table({"i": ["a"], "g1": [1.0], "g2": [2.0]}), folder / "a.parquet")
+    pq.write_table(pa.table({"i": ["b"], "g2": [2.0], "g1": [1.0]}), folder / "b.parquet")
+    keep = T.StructType([T.StructField("i", T.StringType())])
+    assert [list(r.targets) for r in read_wide_parquet(spark, str(folder), keep).collect()] == [[1.0, 2.0], [1.0, 2.0]]
+    pq.write_table(pa.table({"i": ["c"], "g1": [1.0], "g3": [2.0]}), folder / "c.parquet")
+    with pytest.raises(ValueError):
+        read_wide_parquet(spark, str(folder), keep).collect()
