@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayloom.llm.text import clear_of, coded_words, slices, sums, texts_of
+from assayloom.llm.text import bounded_batches, clear_of, coded_words, slices, sums, texts_of
 
 #: Distinct words that a task adds up before it passes counts on.
 _HELD = 1 << 16
@@ -96,6 +96,7 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", max_words: int
     """
     from assayloom.session import materialise
 
+    bounded_batches(train.sparkSession)
     counts = materialise(_count_words(train, text, lang), "words")
     totals = {r["lang"]: int(r["n"]) for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals)

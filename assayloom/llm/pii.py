@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayloom.llm.text import clear_of, slices, texts_of
+from assayloom.llm.text import bounded_batches, clear_of, slices, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -334,4 +334,5 @@ def redact(docs: DataFrame, weights: dict[str, float], text: str = "text") -> Da
                 where = part.schema.get_field_index(text)
                 yield part.set_column(where, part.schema.field(where), pa.array(new, part.schema.field(where).type))
 
+    bounded_batches(docs.sparkSession)
     return docs.mapInArrow(change, docs.schema)

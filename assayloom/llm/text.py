@@ -8,11 +8,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one step inside a task works on at once.
 SLICE_BYTES = 8 << 20
+#: Rows that a Python worker gets at once.
+BATCH_ROWS = 2000
 
 
 def fold(doc_id: str, modulus: int) -> Column:
@@ -85,6 +87,19 @@ def width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Have Spark pass texts to Python in batches of ``BATCH_ROWS`` rows at most.
+
+    By default 10,000 texts go at once, in buffers outside the heap, one set per
+    task. A session that asks for less keeps its own limit.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def clear_of(df: DataFrame, *columns: str) -> DataFrame:
-    """Only the named columns: an operator's own names cannot clash with others'."""
+    """Only the named columns, in bounded batches: an operator's own names cannot clash with others'."""
+    bounded_batches(df.sparkSession)
     return df.select(*[F.col(f"`{c}`") for c in columns])

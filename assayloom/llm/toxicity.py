@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayloom.llm.text import clear_of, coded_words, hashes, slices, sums, texts_of
+from assayloom.llm.text import bounded_batches, clear_of, coded_words, hashes, slices, sums, texts_of
 
 
 #: Lengths of the word beginnings that stand in for a word of too few occurrences, longest first.
@@ -150,6 +150,7 @@ def token_scores(labelled: DataFrame, text: str = "text", label: str = "toxic",
     prior of ``prior`` words spread as all text is, kept where the likelihood
     ratio exceeds the noise of so many comparisons.
     """
+    bounded_batches(labelled.sparkSession)
     rows = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{label}`").cast("int").alias("label"))
 
     def count(batches):
