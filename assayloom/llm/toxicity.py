@@ -11,7 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayloom.llm.text import bounded_batches, clear_of, coded_words, hashes, slices, sums, texts_of
+from assayloom.llm.text import bounded_batches, clear_of, coded_words, hashes, slices, texts_of
+from assayloom.session import materialise
 
 
 #: Lengths of the word beginnings that stand in for a word of too few occurrences, longest first.
@@ -172,23 +173,30 @@ def token_scores(labelled: DataFrame, text: str = "text", label: str = "toxic",
             [pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(held[0, at], held[2, 0])),
              pa.array(np.append(held[1, at], held[2, 1]))], ["slot", "clean", "toxic"])
 
-    found = (rows.where("label IN (0, 1)").mapInArrow(count, "slot int, clean long, toxic long").groupBy("slot")
-             .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas())
-    counts, size = np.zeros((2, slots)), np.zeros(2)
-    for i, c in enumerate(("clean", "toxic")):
-        own = found["slot"] >= 0
-        counts[i, found.loc[own, "slot"]] = found.loc[own, c]
-        size[i] = found.loc[~own, c].sum()
-    if not size.all():
-        return TokenScores(np.zeros(slots), drift)
-    seen = counts.sum(axis=0)
-    a = counts + prior * seen / size.sum() + 0.5
-    odds = [np.log(a[i]) - np.log(np.maximum(size[i] + prior - a[i], 1)) for i in (0, 1)]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = [np.where(counts[i] > 0, counts[i] * np.log(counts[i] * size.sum() / (seen * size[i])), 0.0) for i in (0, 1)]
-    # Likelihood ratio against equal rates, beyond what the best of so many places reaches by chance.
-    shown = 2 * (gain[0] + gain[1]) > 2 * 2 * math.log(max(2, (seen > 0).sum()))
-    return TokenScores(np.where(shown, odds[1] - odds[0], 0.0), drift)
+    counts = materialise(
+        rows.where("label IN (0, 1)").mapInArrow(count, "slot int, clean long, toxic long").groupBy("slot")
+        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "token-counts")
+    total = counts.agg(
+        F.sum(F.when(F.col("slot") < 0, F.col("clean"))).alias("clean"), F.sum(F.when(F.col("slot") < 0, F.col("toxic"))).alias("toxic"),
+        F.count_if(F.col("slot") >= 0).alias("seen")).first()
+    values = np.zeros(slots, np.float32)
+    if total["clean"] and total["toxic"]:
+        both = total["clean"] + total["toxic"]
+        seen = F.col("clean") + F.col("toxic")
+
+        def gain(c):
+            return F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) * F.lit(float(both)) / (seen * total[c]))).otherwise(0.0)
+
+        def odds(c):
+            smoothed = F.col(c) + seen * (prior / both) + 0.5
+            return F.log(smoothed) - F.log(F.greatest(total[c] + prior - smoothed, F.lit(1.0)))
+
+        # Likelihood ratio against equal rates, beyond what the best of so many places reaches by chance.
+        noise = 4 * math.log(max(2, total["seen"]))
+        shown = counts.where(F.col("slot") >= 0).where(2 * (gain("clean") + gain("toxic")) > noise)
+        for r in shown.select("slot", (odds("toxic") - odds("clean")).alias("score")).collect():
+            values[r["slot"]] = r["score"]
+    return TokenScores(values, drift)
 
 
 def measure(docs: DataFrame, scores: TokenScores, doc_id: str = "doc_id", text: str = "text",
