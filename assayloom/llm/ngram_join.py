@@ -289,9 +289,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     repeated = _repeated(source.where("doc_id IS NOT NULL"), k, total)
     open_ = (firsts.join(repeated.withColumnRenamed("doc_id", "first"), "first")
              .where(F.col("repeated") * 100 >= percent * F.col("n")).select(F.col("first").alias("doc_id")))
-    # Stored, so that Spark knows its size: a short list of ids spares the texts a shuffle.
-    open_ = materialise(open_, "open")
-    sets = materialise(_tokens(source.join(open_, "doc_id", "left_semi"), k).dropDuplicates(["doc_id"]), "sets")
+    sets = materialise(_tokens(source.join(open_.hint("merge"), "doc_id", "left_semi"), k).dropDuplicates(["doc_id"]), "sets")
     rows = materialise(_signature_rows(sets, percent), "signatures")
     sketches = materialise(sets.drop("tokens"), "sketches")
 
