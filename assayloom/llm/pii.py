@@ -75,15 +75,17 @@ def base_spans(text: str) -> list[Span]:
 #: Longest entity in atoms and characters.
 _MAX_ATOMS, _MAX_CHARS = 24, 80
 _ATOM = re.compile(r"[0-9]+|[^\W\d_]+|\s|[^\w\s]|_")
-_ANCHOR = re.compile(r"[0-9](?:[^0-9\n]{0,3}[0-9]){6,80}|@|[(\[] ?at ?[)\]]", re.I)
 #: What a segment of each kind may look like at its loosest.
 _AT, _DOT = r"(?: ?@ ?| ?[(\[] ?at ?[)\]] ?| at )", r"(?:\.| ?[(\[] ?dot ?[)\]] ?| dot )"
 _LOOSE = (
     re.compile(rf"[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*{_AT}[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+", re.I),
-    re.compile(rf"[0-9]{{1,3}}(?:(?: ?\. ?| ?[(\[] ?(?:\.|dot) ?[)\]] ?)[0-9]{{1,3}}){{3}}", re.I),
+    re.compile(r"[0-9]{1,3}(?:(?: ?\. ?| ?[(\[] ?(?:\.|dot) ?[)\]] ?)[0-9]{1,3}){3}", re.I),
     re.compile(r"[0-9](?:[ .\-/]{0,2}[0-9]){13,18}"),
     re.compile(r"(?:\+|00)?[ ]?\(?[0-9](?:[ ()./-]{0,3}[0-9]){9,14}"),
 )
+#: Part of whatever a loose pattern matches: many digits (card, phone), an address of four groups, any form of "at".
+_ANCHOR = re.compile(rf"[0-9](?:[^0-9\n]{{0,3}}[0-9]){{6,80}}|{_LOOSE[1].pattern}|@|[(\[] ?at ?[)\]]"
+                     rf"| at [A-Za-z0-9-]+{_DOT}[A-Za-z0-9-]", re.I)
 _CUES = (("mail", "email", "contact"), ("ip", "host", "server", "address"), ("card", "visa", "credit", "account"),
          ("tel", "phone", "call", "fax", "mobile"))
 
@@ -119,8 +121,8 @@ class Zone:
     segments: list[tuple[int, int, int, list[str]]]
 
 
-def zones(text: str, reach: int = 48) -> list[Zone]:
-    """Stretches of the text around digits and at-signs, with every loose candidate in them."""
+def zones(text: str, reach: int = _MAX_CHARS) -> list[Zone]:
+    """Stretches of the text around digits and forms of "at", with every loose candidate in them."""
     areas: list[list[int]] = []
     for m in _ANCHOR.finditer(text):
         a, b = max(0, m.start() - reach), min(len(text), m.end() + reach)

@@ -255,6 +255,25 @@ def test_field_finds_rewritten_entities(documents):
         assert pii.all_spans(text, weights)[1] == []
 
 
+@pytest.mark.parametrize("kind, span", [
+    (0, "john.smith at example dot com"), (0, "a at b.org"), (0, "x at y [dot] z"), (0, "l" * 60 + "@example.com"),
+    (1, "10[.]0[.]0[.]1"), (1, "192[dot]168[dot]1[dot]20"), (1, "8 . 8 . 8 . 8"), (1, "1(.)1(.)1(.)1"), (1, "127 . 0 . 0 . 1"),
+])
+def test_windows_open_on_every_loose_form(documents, kind, span):
+    text = f"so we say {span} and no more"
+    found = {(z.borders[i], k, z.borders[j]) for z in pii.zones(text) for i, j, k, _ in z.segments}
+    assert (10, kind, 10 + len(span)) in found
+
+
+def test_field_finds_short_and_spelled_entities(documents):
+    weights = pii.train(documents)
+    for span, kind in (("john.smith at example dot com", 0), ("10[.]0[.]0[.]1", 1), ("192[dot]168[dot]1[dot]20", 1),
+                       ("8 . 8 . 8 . 8", 1)):
+        assert pii.all_spans(f"so we say {span} and no more", weights)[1] == [(10, kind, 10 + len(span))]
+    for text in ("we met at noon. Then we left", "look at figure 1.2 of 3", "at example one dot two"):
+        assert pii.all_spans(text, weights)[1] == []
+
+
 def test_personal_data_edges(edges, edge_rows, nothing):
     got = pii.find_spans(edges, {}).collect()
     assert len(got) == len(edge_rows)
