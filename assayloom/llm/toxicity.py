@@ -21,8 +21,9 @@ _STEMS = (8, 7, 6, 5, 4)
 
 @dataclass(frozen=True)
 class TokenScores:
-    """Log-odds of hashed words and word beginnings, 0 where they tell nothing; every token loses ``drift``."""
+    """Log-odds of the telling words and word beginnings by their 64-bit hash, ascending; every token loses ``drift``."""
 
+    keys: np.ndarray
     values: np.ndarray
     drift: float
 
@@ -48,17 +49,15 @@ def _tokens(part, text):
     return coded_words(pc.replace_substring_regex(pc.utf8_lower(texts_of(part, text)), r"[^\p{L}\p{N}]+", " "))
 
 
-def _features(distinct: pa.Array, slots: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(slot, whether it applies) of each word, then of its proper beginnings, longest first."""
-    mask = np.uint64(slots - 1)
-    out = [((hashes(distinct) & mask).astype(np.int64), np.ones(len(distinct), bool))]
+def _features(distinct: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(key, whether it applies) of each word, then of its proper beginnings, longest first."""
+    out = [(hashes(distinct), np.ones(len(distinct), bool))]
     size = pc.utf8_length(distinct).to_numpy(zero_copy_only=False)
     for n in _STEMS:
         long = size > n
-        slot = np.zeros(len(distinct), np.int64)
-        stems = pc.utf8_slice_codeunits(distinct.filter(pa.array(long)), 0, n)
-        slot[long] = (hashes(stems, n) & mask).astype(np.int64)
-        out.append((slot, long))
+        key = np.zeros(len(distinct), np.uint64)
+        key[long] = hashes(pc.utf8_slice_codeunits(distinct.filter(pa.array(long)), 0, n), n)
+        out.append((key, long))
     return out
 
 
@@ -66,8 +65,10 @@ def _values(part, text, scores: TokenScores):
     """(offsets, score of each token): a word's own, else that of its longest telling beginning."""
     offsets, codes, distinct = _tokens(part, text)
     value = np.zeros(len(distinct))
-    for slot, applies in _features(distinct, len(scores.values)):
-        value = np.where((value == 0) & applies, scores.values[slot], value)
+    if len(scores.keys):
+        for key, applies in _features(distinct):
+            at = np.minimum(np.searchsorted(scores.keys, key), len(scores.keys) - 1)
+            value = np.where((value == 0) & applies & (scores.keys[at] == key), scores.values[at], value)
     return offsets, (value - scores.drift)[codes]
 
 
@@ -141,21 +142,20 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float
     return max(float(slope), 0.0), float(shift)
 
 
-def token_scores(labelled: DataFrame, text: str = "text", label: str = "toxic", slots: int = 1 << 20,
-                 prior: float = 2000.0, drift: float = 0.5) -> TokenScores:
+def token_scores(labelled: DataFrame, text: str = "text", label: str = "toxic", prior: float = 2000.0,
+                 drift: float = 0.5) -> TokenScores:
     """Learn from rows with a 0/1 ``label``; rows without one say nothing.
 
     Counts cover all labelled rows, a word once per document, so that no long
-    document decides; words and beginnings are hashed to ``slots`` places, which
-    bounds the model. A score is the log-odds of the classes under a Dirichlet
-    prior of ``prior`` words spread as all text is, kept where the likelihood
-    ratio exceeds the noise of so many comparisons.
+    document decides; words and beginnings go by their 64-bit hash, so that a score
+    is one word's own and a word never seen has none. A score is the log-odds of the
+    classes under a Dirichlet prior of ``prior`` words spread as all text is, kept
+    where the likelihood ratio exceeds the noise of so many comparisons.
     """
     bounded_batches(labelled.sparkSession)
     rows = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{label}`").cast("int").alias("label"))
 
     def count(batches):
-        held = np.zeros((3, slots), np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
                 offsets, codes, distinct = _tokens(part, "text")
@@ -164,22 +164,22 @@ def token_scores(labelled: DataFrame, text: str = "text", label: str = "toxic",
                 side = np.asarray(part["label"].to_pylist(), np.int64)[once // max(1, len(distinct))]
                 n = np.bincount(side * len(distinct) + once % max(1, len(distinct)),
                                 minlength=2 * len(distinct)).reshape(2, -1)
-                for slot, applies in _features(distinct, slots):
-                    for c in (0, 1):
-                        held[c] += np.bincount(slot[applies], n[c][applies], slots).astype(np.int64)
-                held[2, :2] += n.sum(axis=1)
-        at = np.nonzero(held[:2].sum(axis=0))[0]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(held[0, at], held[2, 0])),
-             pa.array(np.append(held[1, at], held[2, 1]))], ["slot", "clean", "toxic"])
+                found = _features(distinct)
+                keys, place = np.unique(np.concatenate([key[applies] for key, applies in found]), return_inverse=True)
+                both = [np.bincount(place, np.concatenate([n[c][applies] for _, applies in found]), len(keys)).astype(np.int64)
+                        for c in (0, 1)]
+                # The row without a key holds the numbers of words.
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.append(keys.view(np.int64), 0), mask=np.arange(len(keys) + 1) == len(keys)),
+                     *[pa.array(np.append(both[c], n[c].sum())) for c in (0, 1)]], ["key", "clean", "toxic"])
 
     counts = materialise(
-        rows.where("label IN (0, 1)").mapInArrow(count, "slot int, clean long, toxic long").groupBy("slot")
+        rows.where("label IN (0, 1)").mapInArrow(count, "key long, clean long, toxic long").groupBy("key")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "token-counts")
     total = counts.agg(
-        F.sum(F.when(F.col("slot") < 0, F.col("clean"))).alias("clean"), F.sum(F.when(F.col("slot") < 0, F.col("toxic"))).alias("toxic"),
-        F.count_if(F.col("slot") >= 0).alias("seen")).first()
-    values = np.zeros(slots, np.float32)
+        F.sum(F.when(F.col("key").isNull(), F.col("clean"))).alias("clean"), F.sum(F.when(F.col("key").isNull(), F.col("toxic"))).alias("toxic"),
+        F.count("key").alias("seen")).first()
+    shown = []
     if total["clean"] and total["toxic"]:
         both = total["clean"] + total["toxic"]
         seen = F.col("clean") + F.col("toxic")
@@ -191,12 +191,13 @@ def token_scores(labelled: DataFrame, text: str = "text", label: str = "toxic",
             smoothed = F.col(c) + seen * (prior / both) + 0.5
             return F.log(smoothed) - F.log(F.greatest(total[c] + prior - smoothed, F.lit(1.0)))
 
-        # Likelihood ratio against equal rates, beyond what the best of so many places reaches by chance.
+        # Likelihood ratio against equal rates, beyond what the best of so many keys reaches by chance.
         noise = 4 * math.log(max(2, total["seen"]))
-        shown = counts.where(F.col("slot") >= 0).where(2 * (gain("clean") + gain("toxic")) > noise)
-        for r in shown.select("slot", (odds("toxic") - odds("clean")).alias("score")).collect():
-            values[r["slot"]] = r["score"]
-    return TokenScores(values, drift)
+        shown = (counts.where("key IS NOT NULL").where(2 * (gain("clean") + gain("toxic")) > noise)
+                 .select("key", (odds("toxic") - odds("clean")).alias("score")).collect())
+    keys = np.array([r["key"] for r in shown], np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return TokenScores(keys[order], np.array([r["score"] for r in shown], np.float32)[order], drift)
 
 
 def measure(docs: DataFrame, scores: TokenScores, doc_id: str = "doc_id", text: str = "text",
@@ -207,7 +208,7 @@ def measure(docs: DataFrame, scores: TokenScores, doc_id: str = "doc_id", text:
     rows have ``is_bin`` true, the score (to ``bins``) in ``best``, the count in ``tokens``.
     """
     source = clear_of(docs, doc_id, text)
-    shared = source.sparkSession.sparkContext.broadcast(scores)  # slots numbers
+    shared = source.sparkSession.sparkContext.broadcast(scores)  # the telling keys
     kind = source.schema[doc_id].dataType.simpleString()
 
     def apply(batches):

@@ -454,6 +454,19 @@ def test_toxicity_of_held_out_documents(spark):
     assert {r.doc_id for r in toxicity.passages(df, model).collect()} == {d for d in range(400) if d % 5 == 0}
 
 
+def test_token_scores_are_a_words_own(spark):
+    """A word's counts are its own among many, and a word never seen has no score."""
+    rng = np.random.default_rng(8)
+    rows = [(" ".join([f"{v:x}q" for v in rng.integers(1 << 40, 1 << 44, 3000)] + (["vile"] if d % 2 else ["mild"])), d % 2)
+            for d in range(400)]
+    scores = toxicity.token_scores(spark.createDataFrame(rows, "text string, toxic int").repartition(4))
+    want = toxicity.hashes(pa.array(["vile", "mild"]))
+    assert set(scores.keys.tolist()) == set(want.tolist())
+    unseen = pa.RecordBatch.from_pydict({"text": [" ".join(f"u{v:x}" for v in range(300_000)) + " vile"]})
+    values = toxicity._values(unseen, "text", scores)[1]
+    assert (values[:-1] == -scores.drift).all() and values[-1] > 0
+
+
 def test_toxicity_edges(edges, edge_rows, nothing):
     tokens = toxicity.token_scores(nothing.selectExpr("text", "cast(null AS int) AS toxic"))
     measured = toxicity.measure(edges, tokens)
