@@ -33,13 +33,17 @@ class ToxicityModel:
     """Token scores, the background's extreme-value law, and its calibration.
 
     ``lam`` and ``k``: the best segment of n background tokens exceeds x with
-    probability 1 - exp(-k n exp(-lam x)). ``slope`` and ``shift`` turn the
-    evidence (minus the log of that probability) into a score.
+    probability 1 - exp(-k n exp(-lam x)). The segments of ``bound`` or more are
+    counted too: ``many`` n exp(-lam x) of them are expected to exceed x.
+    ``slope`` and ``shift`` turn the evidence (minus the log of the probability
+    of a text's segments) into a score.
     """
 
     tokens: TokenScores
     lam: float
     k: float
+    many: float
+    bound: float
     slope: float
     shift: float
 
@@ -89,26 +93,24 @@ def best_segments(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def all_segments(values, least: float) -> list[tuple[int, int, float]]:
     """Every maximal scoring segment of at least ``least``: (first token, token after, score).
 
-    Linear time: segments wait in a list with the totals before and after them;
-    a new one absorbs earlier ones for as long as that makes it larger.
+    Linear time: segments wait in a list with the totals before and after them; a
+    new one absorbs earlier ones for as long as that makes it larger. Each knows
+    the last earlier one of a lower total before it, so no search looks at one twice.
     """
-    waiting: list[tuple[int, int, float, float]] = []  # start, end, total before, total after
-    total = 0.0
-    for at, v in enumerate(values):
-        before, total = total, total + v
-        if v <= 0:
-            continue
-        start, low, high = at, before, total
-        while waiting:
-            k = len(waiting) - 1
-            while k >= 0 and waiting[k][2] >= low:
-                k -= 1
-            if k < 0 or waiting[k][3] >= high:
-                break
-            start, low = waiting[k][0], waiting[k][2]
+    values = np.asarray(values, float)
+    total = np.concatenate(([0.0], np.cumsum(values)))
+    rising = np.nonzero(values > 0)[0]
+    waiting: list[tuple[int, int, float, float, int]] = []  # start, end, total before, total after, earlier one
+    for start, low, high in zip(rising.tolist(), total[rising].tolist(), total[rising + 1].tolist()):
+        end, k = start + 1, len(waiting) - 1
+        while k >= 0 and waiting[k][2] >= low:
+            k = waiting[k][4]
+        while k >= 0 and waiting[k][3] < high:
+            start, _, low, _, earlier = waiting[k]
             del waiting[k:]
-        waiting.append((start, at + 1, low, high))
-    return [(a, b, high - low) for a, b, low, high in waiting if high - low >= least]
+            k = earlier
+        waiting.append((start, end, low, high, k))
+    return [(a, b, high - low) for a, b, low, high, _ in waiting if high - low >= least]
 
 
 def _lambda(values: np.ndarray, weights: np.ndarray) -> float:
@@ -200,16 +202,28 @@ def token_scores(labelled: DataFrame, text: str = "text", label: str = "toxic",
     return TokenScores(keys[order], np.array([r["score"] for r in shown], np.float32)[order], drift)
 
 
+_SEGMENT = "struct<first_token:long,end_token:long,score:double>"
+
+
 def measure(docs: DataFrame, scores: TokenScores, doc_id: str = "doc_id", text: str = "text",
             bins: float = 0.05) -> DataFrame:
-    """doc_id, best, tokens of every row, and after them the histogram of token scores of each task.
+    """doc_id, segments, tokens of every row, and after them the histogram of token scores of each task.
 
-    ``best`` is the highest segment, ``tokens`` the number of tokens; histogram
-    rows have ``is_bin`` true, the score (to ``bins``) in ``best``, the count in ``tokens``.
+    ``segments`` are all maximal segments, ``tokens`` the number of tokens; histogram
+    rows have the token score (to ``bins``) in ``bin``, null elsewhere, and the count in ``tokens``.
     """
     source = clear_of(docs, doc_id, text)
     shared = source.sparkSession.sparkContext.broadcast(scores)  # the telling keys
     kind = source.schema[doc_id].dataType.simpleString()
+    names = ["doc_id", "segments", "tokens", "bin"]
+
+    def lists(found):
+        """A list of segments for each text; none at all for the rows of the histogram."""
+        flat = [s for own in found for s in own]
+        ends = np.concatenate(([0], np.cumsum([len(own) for own in found]))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
+            [pa.array([s[0] for s in flat], pa.int64()), pa.array([s[1] for s in flat], pa.int64()),
+             pa.array([s[2] for s in flat], pa.float64())], ["first_token", "end_token", "score"]))
 
     def apply(batches):
         held: dict[int, int] = {}
@@ -221,81 +235,91 @@ def measure(docs: DataFrame, scores: TokenScores, doc_id: str = "doc_id", text:
                 place, n = np.unique(np.round(values / bins).astype(np.int64), return_counts=True)
                 for p, k in zip(place.tolist(), n.tolist()):
                     held[p] = held.get(p, 0) + k
+                found = [all_segments(values[a:b], 1e-9) for a, b in zip(offsets[:-1], offsets[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [part[doc_id], pa.array(best_segments(values, offsets)), pa.array(np.diff(offsets)),
-                     pa.array(np.zeros(part.num_rows, bool))], ["doc_id", "best", "tokens", "is_bin"])
+                    [part[doc_id], lists(found), pa.array(np.diff(offsets)), pa.nulls(part.num_rows, pa.float64())], names)
         if held:
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(held), of_id), pa.array([p * bins for p in held]), pa.array(list(held.values()), pa.int64()),
-                 pa.array(np.ones(len(held), bool))], ["doc_id", "best", "tokens", "is_bin"])
+                [pa.nulls(len(held), of_id), lists([()] * len(held)), pa.array(list(held.values()), pa.int64()),
+                 pa.array([p * bins for p in held])], names)
+
+    return source.mapInArrow(apply, f"doc_id {kind}, segments array<{_SEGMENT}>, tokens long, bin double")
+
+
+#: Segments that background text may hold per token above the bound from which they are counted.
+_RATE = 0.01
+
+
+def _evidence(lam: float, k: float, many: float, bound: float):
+    """Minus the log of the chance that background text of a row's length does as well, from 0 to 60.
+
+    Over r, the chance of r segments as high as its r-th highest: that of the highest by
+    the extreme-value law; for more, of the segments from ``bound`` on, Chernoff's
+    bound of a Poisson count. Looking at every r costs a factor of r(r + 1) / 2.
+    """
+    n = F.greatest(F.col("tokens"), F.lit(1))
 
-    return source.mapInArrow(apply, f"doc_id {kind}, best double, tokens long, is_bin boolean")
+    def expected(scale, s):
+        return scale * n * F.exp(-F.least(lam * s, F.lit(500.0)))
 
+    def several(s, i):
+        r, e = i + F.lit(1.0), expected(many, s)
+        return F.when((i > 0) & (r > e), r * F.log(r / e) - r + e - F.log(r * (r + 1) / 2)).otherwise(0.0)
 
-def _evidence(best, tokens, lam: float, k: float):
-    """Minus the log of the chance that background text of this length does as well, from 0 to 60."""
-    expected = k * F.greatest(tokens, F.lit(1)) * F.exp(-F.least(lam * best, F.lit(500.0)))
-    chance = -F.expm1(-F.least(expected, F.lit(700.0)))
-    return F.when(best > 0, F.greatest(F.lit(0.0), F.least(F.lit(60.0), -F.log(F.greatest(chance, F.lit(1e-26)))))).otherwise(0.0)
+    ranked = F.sort_array(F.transform("segments", lambda s: s["score"]), asc=False)
+    best = F.get(ranked, F.lit(0))
+    chance = -F.expm1(-F.least(expected(k, best), F.lit(700.0)))
+    found = F.greatest(-F.log(F.greatest(chance, F.lit(1e-26))),
+                       F.array_max(F.transform(F.filter(ranked, lambda s: s >= bound), several)))
+    return F.when(best > 0, F.greatest(F.lit(0.0), F.least(F.lit(60.0), found))).otherwise(0.0)
 
 
 def calibrate(measured: DataFrame, labels: DataFrame, scores: TokenScores, doc_id: str = "doc_id",
               label: str = "toxic") -> ToxicityModel:
     """The background's law from all token scores, and the curve from evidence to score on labelled documents."""
-    bins = measured.where("is_bin").groupBy("best").agg(F.sum("tokens").alias("n")).orderBy("best").toPandas()
-    value, weight = bins["best"].to_numpy(float), bins["n"].to_numpy(float)
-    lam, k = 1.0, 1.0
+    bins = measured.where("bin IS NOT NULL").groupBy("bin").agg(F.sum("tokens").alias("n")).orderBy("bin").toPandas()
+    value, weight = bins["bin"].to_numpy(float), bins["n"].to_numpy(float)
+    lam, k, many, bound = 1.0, 1.0, 1.0, 0.0
     if len(value) and value.max() > 0 and (value * weight).sum() < 0:
         lam = _lambda(value, weight)
         # Segments start at a rising token: their share of all tokens scales the law.
         k = float(weight[value > 0].sum() / weight.sum())
+        bound = max(0.0, math.log(k / _RATE) / lam)
+        # As many as there are in all texts at least, so that a usual text is no evidence.
+        above = measured.agg(F.sum(F.size(F.filter("segments", lambda s: s["score"] >= bound)))).first()[0]
+        many = max(k, float(above or 0) / weight.sum() * math.exp(lam * bound))
     known = labels.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("label"))
-    found = (measured.where("NOT is_bin").join(known.where("label IN (0, 1)"), "doc_id")
-             .groupBy(F.round(_evidence(F.col("best"), F.col("tokens"), lam, k), 1).alias("x"), "label").count().toPandas())
+    found = (measured.where("bin IS NULL").join(known.where("label IN (0, 1)"), "doc_id")
+             .groupBy(F.round(_evidence(lam, k, many, bound), 1).alias("x"), "label").count().toPandas())
     if not len(found):
-        return ToxicityModel(scores, lam, k, 0.0, -20.0)
+        return ToxicityModel(scores, lam, k, many, bound, 0.0, -20.0)
     every = found.groupby("x")["count"].sum()
     toxic = found[found["label"] == 1].set_index("x")["count"].reindex(every.index).fillna(0)
     slope, shift = _logistic(every.index.to_numpy(float), toxic.to_numpy(float) / every.to_numpy(float), every.to_numpy(float))
-    return ToxicityModel(scores, lam, k, slope, shift)
+    return ToxicityModel(scores, lam, k, many, bound, slope, shift)
 
 
 def score(measured: DataFrame, model: ToxicityModel) -> DataFrame:
     """doc_id, score, predicted of every measured row; a null or empty text is one without any evidence."""
-    x = _evidence(F.col("best"), F.col("tokens"), model.lam, model.k)
+    x = _evidence(model.lam, model.k, model.many, model.bound)
     value = 1 / (1 + F.exp(-(F.lit(model.slope) * x + F.lit(model.shift))))
-    return (measured.where("NOT is_bin").select("doc_id", value.alias("score"))
+    return (measured.where("bin IS NULL").select("doc_id", value.alias("score"))
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
-def passages(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text",
-             significance: float = 0.01) -> DataFrame:
-    """Every significant passage: doc_id, first_token, end_token, score, p_value.
+def significant(measured: DataFrame, model: ToxicityModel, significance: float = 0.01) -> DataFrame:
+    """Every significant passage of measured rows: doc_id, first_token, end_token, score, p_value.
 
-    Tokens are the letter and digit runs of the text. A passage counts when
-    background text of the document's length holds one as high with probability
-    ``significance`` at most.
+    A passage counts when background text of the document's length holds one as
+    high with probability ``significance`` at most.
     """
-    source = clear_of(docs, doc_id, text)
-    shared = source.sparkSession.sparkContext.broadcast(model)
+    chance = -F.expm1(-F.lit(model.k) * F.greatest(F.col("tokens"), F.lit(1)) * F.exp(-F.lit(model.lam) * F.col("s.score")))
+    return (measured.where("bin IS NULL").select("doc_id", "tokens", F.explode("segments").alias("s"))
+            .select("doc_id", "s.first_token", "s.end_token", "s.score", chance.alias("p_value"))
+            .where(F.col("p_value") <= significance))
 
-    def apply(batches):
-        m = shared.value
-        for batch in batches:
-            for part in slices(batch, text):
-                offsets, values = _values(part, text, m.tokens)
-                n = np.maximum(np.diff(offsets), 1)
-                least = np.log(m.k * n / -math.log1p(-significance)) / m.lam
-                hit = np.nonzero(best_segments(values, offsets) >= np.maximum(least, 1e-9))[0]
-                rows = [(i, *s) for i in hit for s in
-                        all_segments(values[offsets[i]:offsets[i + 1]].tolist(), max(least[i], 1e-9))]
-                s = np.array([r[3] for r in rows])
-                of = np.array([r[0] for r in rows], np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part[doc_id].take(pa.array(of)), pa.array([r[1] for r in rows], pa.int64()),
-                     pa.array([r[2] for r in rows], pa.int64()), pa.array(s, pa.float64()),
-                     pa.array(-np.expm1(-m.k * n[of] * np.exp(-m.lam * s)), pa.float64())],
-                    ["doc_id", "first_token", "end_token", "score", "p_value"])
 
-    kind = source.schema[doc_id].dataType.simpleString()
-    return source.mapInArrow(apply, f"doc_id {kind}, first_token long, end_token long, score double, p_value double")
+def passages(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text",
+             significance: float = 0.01) -> DataFrame:
+    """The significant passages of texts; tokens are the letter and digit runs of the text."""
+    return significant(measure(docs, model.tokens, doc_id, text), model, significance)

@@ -467,6 +467,31 @@ def test_token_scores_are_a_words_own(spark):
     assert (values[:-1] == -scores.drift).all() and values[-1] > 0
 
 
+def test_many_moderate_passages_outweigh_one(spark):
+    """A long text of spread-out passages scores higher than one with a single such passage, and than plain text."""
+    rng = np.random.default_rng(4)
+
+    def plain(n):
+        return [f"w{v}" for v in rng.integers(0, 300, n)]
+
+    rows = [(d, " ".join(plain(120) + (["awful"] if d % 4 == 0 or d % 40 == 1 else []) + plain(120)), int(d % 4 == 0))
+            for d in range(400)]
+    spread = " ".join(w for _ in range(40) for w in [*plain(60), "awful"])
+    rows += [(1000, spread, None), (1001, " ".join([*plain(1200), "awful", *plain(1240)]), None), (1002, " ".join(plain(2440)), None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    tokens = toxicity.token_scores(df)
+    measured = toxicity.measure(df, tokens)
+    assert {r.doc_id: len(r.segments) for r in measured.where("doc_id >= 1000").collect()} == {1000: 40, 1001: 1, 1002: 0}
+    model = toxicity.calibrate(measured, df.select("doc_id", "toxic"), tokens)
+    got = {r.doc_id: r for r in toxicity.score(measured, model).where("doc_id >= 1000").collect()}
+    assert got[1000].predicted == 1 and got[1000].score > got[1001].score + 0.1 and got[1001].score >= got[1002].score
+
+
+def test_segments_take_linear_time():
+    falling = np.where(np.arange(600_000) % 3 == 0, 1.0, -1.0)
+    assert len(toxicity.all_segments(falling, 1e-9)) == 200_000
+
+
 def test_toxicity_edges(edges, edge_rows, nothing):
     tokens = toxicity.token_scores(nothing.selectExpr("text", "cast(null AS int) AS toxic"))
     measured = toxicity.measure(edges, tokens)
