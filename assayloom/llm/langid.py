@@ -8,34 +8,41 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from assayloom.llm.text import bounded_batches, clear_of, coded_words, slices, sums, texts_of
+from assayloom.llm.text import bounded_batches, clear_of, binaries, coded_words, slices, texts_of
+from assayloom.session import materialise
 
 #: Distinct words that a task adds up before it passes counts on.
 _HELD = 1 << 16
 #: Text bytes worked on at once: each word takes a number per language.
 _SLICE = 2 << 20
+#: Unknown words that one step scores at once.
+_WORDS = 5000
+
+
+class Stored:
+    """A stored table of scores, an entry a row."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+
+    def __len__(self) -> int:
+        return self.rows.count()
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Log frequencies per language; size fixed by the parameters of ``fit``.
+    """Log frequencies per language, in the order of ``langs``, of words (``known``) and n-grams (``grams``).
 
-    ``known`` maps a word to its row of ``word_scores``; ``grams[n]`` holds one
-    row of scores for each of the hashed n-grams, and ``seen[n]`` tells which of
-    them occurred in training.
+    Both are stored tables (key, scores) of every key counted, each under its own
+    text; only texts' own words are ever looked up.
     """
 
     langs: list[str]
-    known: dict[str, int]
-    word_scores: np.ndarray
-    grams: dict[int, np.ndarray]
-    seen: dict[int, np.ndarray]
-    slots: int
+    known: Stored | tuple
+    grams: Stored | tuple
 
 
 def _bare(texts: pa.Array) -> pa.Array:
@@ -43,10 +50,6 @@ def _bare(texts: pa.Array) -> pa.Array:
     return pc.replace_substring_regex(pc.utf8_lower(texts), r"[^\p{L}\p{M}]+", " ")
 
 
-def _slot(gram: str, slots: int) -> int:
-    return xxhash.xxh3_64_intdigest(gram) % slots
-
-
 def _grams(word: str, n: int) -> list[str]:
     marked = f"<{word}>"
     return [marked[i:i + n] for i in range(len(marked) - n + 1)]
@@ -86,87 +89,121 @@ def _count_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
             .groupBy("word", "lang").agg(F.sum("n").alias("n")))
 
 
-def fit(train: DataFrame, text: str = "text", lang: str = "lang", max_words: int = 50_000, min_count: int = 5,
-        orders: tuple[int, ...] = (4, 3, 2, 1), slots: int = 1 << 15, prior: float = 1.0) -> LanguageModel:
+def _log_rates(counts: Column, size: list[Column], every: Column, prior: float) -> Column:
+    """Log frequency per language, with ``prior`` occurrences spread as over all languages together."""
+    total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, c: a + c)
+    return F.zip_with(counts, F.array(*size), lambda c, s: F.log((c + prior * total / every + 1e-12) / (s + prior)).cast("float"))
+
+
+def fit(train: DataFrame, text: str = "text", lang: str = "lang", max_words: int | None = None, min_count: int = 1,
+        orders: tuple[int, ...] = (4, 3, 2, 1), prior: float = 1.0) -> LanguageModel:
     """Count words and n-grams over every row of ``train`` whose language is not null.
 
-    The model's size is a parameter: the most frequent words, ``max_words`` at
-    most, that occur ``min_count`` times or more are known; ``slots`` hashed
-    n-grams per order carry the rest. N-grams are counted over all words.
+    Every word is known and every n-gram seen, unless ``min_count`` or ``max_words``
+    (the most frequent) ask for fewer words. N-grams are counted over all words.
     """
-    from assayloom.session import materialise
-
     bounded_batches(train.sparkSession)
     counts = materialise(_count_words(train, text, lang), "words")
     totals = {r["lang"]: int(r["n"]) for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals)
     if not langs:
-        return LanguageModel([], {}, np.zeros((0, 0)), {}, {}, slots)
-    place = {v: k for k, v in enumerate(langs)}
-    by_word = (counts.groupBy("word").agg(F.sum("n").alias("n"), F.map_from_entries(
-        F.collect_list(F.struct("lang", "n"))).alias("by_lang")).where(F.col("n") >= min_count))
-    # The least frequency that max_words words or fewer reach, in steps of a 32nd of a doubling.
-    step = F.floor(F.log2("n") * 32)
-    sizes = by_word.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect()
-    reached, least = 0, None
-    for r in sizes:
-        if reached + r["count"] > max_words:
-            break
-        reached, least = reached + r["count"], r["step"]
-    top = by_word.where(step >= least).collect() if least is not None else []
-    table = np.zeros((len(top), len(langs)))
-    for i, row in enumerate(top):
-        for name, n in row["by_lang"].items():
-            table[i, place[name]] = n
-    size = np.array([totals[v] for v in langs], float)
+        return LanguageModel([], (), ())
+    by_lang = F.array(*[F.sum(F.when(F.col("lang") == v, F.col("n")).otherwise(0)) for v in langs])
+    words = (counts.groupBy(F.col("word").alias("key")).agg(F.sum("n").alias("n"), by_lang.alias("counts"))
+             .where(F.col("n") >= min_count))
+    if max_words is not None:
+        words = words.orderBy(F.desc("n"), "key").limit(max_words)
+    known = materialise(words.select("key", _log_rates(
+        F.col("counts"), [F.lit(totals[v]) for v in langs], F.lit(sum(totals.values())), prior).alias("scores")), "known")
 
     def add_grams(batches):
-        sums_ = {n: np.zeros((slots, len(langs)), np.int64) for n in orders}
+        held: Counter = Counter()
+
+        def out():
+            rows = list(held.items())
+            held.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k, _ in rows], pa.string()), pa.array([k[1] for k, _ in rows], pa.string()),
+                 pa.array([n for _, n in rows], pa.int64())], ["key", "lang", "n"])
+
         for batch in batches:
             for word, name, k in zip(batch["word"].to_pylist(), batch["lang"].to_pylist(), batch["n"].to_pylist()):
                 for n in orders:
                     for g in _grams(word, n):
-                        sums_[n][_slot(g, slots), place[name]] += k
-        for n in orders:
-            s, c = np.nonzero(sums_[n])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(s), n, np.int32)), pa.array(s.astype(np.int32)), pa.array(c.astype(np.int32)),
-                 pa.array(sums_[n][s, c])], ["size", "slot", "code", "n"])
-
-    gram_rows = (counts.mapInArrow(add_grams, "size int, slot int, code int, n long")
-                 .groupBy("size", "slot", "code").agg(F.sum("n").alias("n")).toPandas())
-    grams, seen = {}, {}
-    for n in orders:
-        own = gram_rows[gram_rows["size"] == n]
-        found = np.zeros((slots, len(langs)))
-        found[own["slot"].to_numpy(), own["code"].to_numpy()] = own["n"].to_numpy()
-        seen[n] = found.sum(axis=1) > 0
-        grams[n] = _log_rates(found, found.sum(axis=0), prior).astype(np.float32)
-    return LanguageModel(langs, {r["word"]: i for i, r in enumerate(top)}, _log_rates(table, size, prior), grams, seen, slots)
-
-
-def _log_rates(counts: np.ndarray, size: np.ndarray, prior: float) -> np.ndarray:
-    """Log frequency per language, with ``prior`` occurrences spread as over all languages together."""
-    share = counts.sum(axis=1, keepdims=True) / max(1.0, size.sum())
-    return np.log((counts + prior * share + 1e-12) / (size + prior))
+                        held[(g, name)] += k
+                if len(held) > _HELD:
+                    yield out()
+        if held:
+            yield out()
 
+    grams = materialise(counts.mapInArrow(add_grams, "key string, lang string, n long").groupBy("key")
+                        .agg(by_lang.alias("counts")).withColumn("size", F.char_length("key")), "grams")
+    sizes = grams.groupBy("size").agg(*[F.sum(F.get("counts", F.lit(i))).alias(f"n{i}") for i in range(len(langs))]).collect()
 
-def _backed_off(word: str, model: LanguageModel) -> np.ndarray:
-    """Mean score of an unknown word's n-grams, each position by the longest n-gram seen in training."""
-    marked = f"<{word}>"
-    total, used, at = np.zeros(len(model.langs)), 0, 0
-    while at < len(marked):
-        step = 1
-        for n in sorted(model.grams, reverse=True):
-            if at + n <= len(marked):
-                s = _slot(marked[at:at + n], model.slots)
-                if model.seen[n][s]:
-                    total += model.grams[n][s]
-                    used += 1
-                    step = max(1, n - 1)
-                    break
-        at += step
-    return total / max(1, used)
+    def of_size(values: dict[int, int]) -> Column:
+        return F.element_at(F.create_map(*[F.lit(v) for kv in values.items() for v in kv]), F.col("size"))
+
+    own = [of_size({r["size"]: r[f"n{i}"] for r in sizes}) for i in range(len(langs))]
+    every = of_size({r["size"]: sum(r[f"n{i}"] for i in range(len(langs))) for r in sizes})
+    return LanguageModel(langs, Stored(known), Stored(grams.select(
+        "key", "size", _log_rates(F.col("counts"), own, every, prior).alias("scores"))))
+
+
+def _matrix(scores: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
+    flat = scores.combine_chunks() if isinstance(scores, pa.ChunkedArray) else scores
+    return flat.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, width)
+
+
+def _backed_off(unknown: DataFrame, model: LanguageModel) -> DataFrame:
+    """(code, scores): mean score of each unknown word's n-grams, each position by the longest n-gram seen in training.
+
+    ``unknown`` has (code, word). Its n-grams meet the stored ones; words come back
+    in buckets of about ``_WORDS``. A word without any seen n-gram has no row.
+    """
+    width = len(model.langs)
+    orders = [r["size"] for r in model.grams.rows.select("size").distinct().collect()]
+    buckets = max(1, unknown.count() // _WORDS)
+
+    def emit(batches):
+        for batch in batches:
+            for part in slices(batch, "word", _SLICE // 8):
+                rows = [(c, at, g) for c, w in zip(part["code"].to_pylist(), part["word"].to_pylist())
+                        for n in orders for at, g in enumerate(_grams(w, n))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+                     pa.array([r[2] for r in rows], pa.string())], ["code", "at", "key"])
+
+    def walk(table):
+        code, at = table["code"].to_numpy(), table["at"].to_numpy()
+        size, scores = table["size"].to_numpy(), _matrix(table["scores"], width)
+        order = np.lexsort((-size, at, code))
+        first = np.ones(len(order), bool)
+        first[1:] = (np.diff(code[order]) != 0) | (np.diff(at[order]) != 0)
+        used, starts, last, free = [], [], None, 0
+        for row, c, a, n in zip(order[first].tolist(), code[order[first]].tolist(), at[order[first]].tolist(),
+                                size[order[first]].tolist()):
+            if c != last:
+                last, free = c, 0
+                starts.append(len(used))
+            if a >= free:
+                used.append(row)
+                free = a + max(1, n - 1)
+        n = np.diff(np.append(starts, len(used)))
+        mean = np.add.reduceat(scores[used], starts, axis=0) / n[:, None]
+        return pa.table([pa.array(code[np.array(used)[starts]]), pa.array(mean.astype("f4").tolist(), pa.list_(pa.float32()))],
+                        ["code", "scores"])
+
+    return (unknown.mapInArrow(emit, "code long, at long, key string").join(model.grams.rows.hint("merge"), "key")
+            .select("code", "at", "size", "scores", F.pmod("code", F.lit(buckets)).alias("bucket"))
+            .groupBy("bucket").applyInArrow(walk, "code long, scores array<float>"))
+
+
+def _word_scores(words: DataFrame, model: LanguageModel) -> DataFrame:
+    """(word, scores) of distinct words: a known word's own, else those of its n-grams; null without any."""
+    met = materialise(words.join(model.known.rows.hint("merge").withColumnRenamed("key", "word"), "word", "left"), "met")
+    unknown = met.where("scores IS NULL").select(F.xxhash64("word").alias("code"), "word")
+    found = unknown.join(_backed_off(unknown, model).hint("merge"), "code", "left").select("word", "scores")
+    return met.where("scores IS NOT NULL").unionByName(found)
 
 
 def identify(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text: str = "text",
@@ -178,51 +215,61 @@ def identify(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text
     language; the answer is the softmax of the sums, ``score`` its share. A text
     that is null or has no letter, or a model of no language, gives ``und`` with
     score 0. Ties go to the first language by name.
+
+    Texts are stored as coded words; each distinct word is scored once, and the
+    scores go back to the slices that hold it. Answers meet rows by the text's digest.
     """
+    own = list(dict.fromkeys((doc_id, *keep)))
     source = clear_of(docs, *dict.fromkeys((doc_id, text, *keep)))
-    shared = source.sparkSession.sparkContext.broadcast(model)  # size fixed by the parameters of fit
+    if not model.langs:
+        return source.select(*[F.col(f"`{c}`") for c in own], F.lit("und").alias(results[0]), F.lit(0.0).alias(results[1]))
+    names, width = np.array([*model.langs, "und"], dtype=object), len(model.langs)
+    digest = F.unhex(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")))
 
-    def apply(batches):
-        m = shared.value
-        names = np.array([*m.langs, "und"], dtype=object)
-        remembered: dict[str, np.ndarray] = {}
+    def code(batches):
         for batch in batches:
-            for part in slices(batch, text, _SLICE):
-                texts = texts_of(part, text)
+            for part in slices(batch, "text"):
+                texts = texts_of(part, "text")
                 offsets, codes, distinct = coded_words(_bare(texts))
-                lettered = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
-                vocabulary = distinct.to_pylist()
-                scores = np.zeros((len(vocabulary), len(m.langs)))
-                if len(remembered) > _HELD:
-                    remembered.clear()
-                for i, w in enumerate(vocabulary if m.langs else ()):
-                    k = m.known.get(w)
-                    if k is not None:
-                        scores[i] = m.word_scores[k]
-                    else:
-                        v = remembered.get(w)
-                        if v is None:
-                            v = remembered[w] = _backed_off(w, m)
-                        scores[i] = v
-                if m.langs and len(scores):
-                    scores -= scores.max(axis=1, keepdims=True)
-                n = np.diff(offsets)
-                total = sums(scores[codes], offsets)
-                if m.langs:
-                    total -= total.max(axis=1, keepdims=True)
-                    share = np.exp(total)
-                    share /= share.sum(axis=1, keepdims=True)
-                    best = share.argmax(axis=1)
-                    value = share[np.arange(len(best)), best]
-                else:
-                    best, value = np.zeros(len(n), int), np.zeros(len(n))
-                none = ~lettered | (len(m.langs) == 0)
-                best = np.where(none, len(m.langs), best)
+                ends = pa.array([0, part.num_rows], pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [*[part[c] for c in own], pa.array(names[best], pa.string()), pa.array(np.where(none, 0.0, value))],
-                    [*own, *results])
-
-    own = list(dict.fromkeys((doc_id, *keep)))
-    schema = T.StructType([*[source.schema[c] for c in own], T.StructField(results[0], T.StringType()),
-                           T.StructField(results[1], T.DoubleType())])
-    return source.mapInArrow(apply, schema)
+                    [pa.ListArray.from_arrays(ends, part["mark"]),
+                     pa.ListArray.from_arrays(ends, pc.match_substring_regex(texts, r"\p{L}")),
+                     pa.ListArray.from_arrays(ends, pa.array(np.diff(offsets).astype(np.int64))),
+                     binaries([codes.astype("<u4").tobytes()]),
+                     pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), distinct)],
+                    ["marks", "lettered", "sizes", "codes", "words"])
+
+    chunks = materialise(
+        source.select(digest.alias("mark"), F.col(f"`{text}`").alias("text")).mapInArrow(
+            code, "marks array<binary>, lettered array<boolean>, sizes array<long>, codes binary, words array<string>")
+        .withColumn("chunk", F.monotonically_increasing_id()), "language-chunks")
+    pairs = chunks.select(F.col("chunk").alias("of_chunk"), F.posexplode("words").alias("place", "word"))
+    scored = _word_scores(pairs.select("word").distinct(), model)
+    looked = pairs.join(scored.hint("merge"), "word").where("scores IS NOT NULL").select("of_chunk", "place", "scores")
+
+    def rate(left, right):
+        row = left.to_pylist()[0]
+        sizes = np.array(row["sizes"], np.int64)
+        codes = np.frombuffer(row["codes"], "<u4")
+        scores = np.zeros((int(codes.max()) + 1 if len(codes) else 0, width))
+        if right.num_rows:
+            scores[right["place"].to_numpy()] = _matrix(right["scores"], width)
+            scores -= scores.max(axis=1, keepdims=True)
+        of_doc = np.repeat(np.arange(len(sizes)), sizes)
+        total = np.stack([np.bincount(of_doc, scores[codes, k], len(sizes)) for k in range(width)], axis=1)
+        share = np.exp(total - total.max(axis=1, keepdims=True))
+        share /= share.sum(axis=1, keepdims=True)
+        best = share.argmax(axis=1)
+        value = share[np.arange(len(best)), best]
+        none = ~np.array(row["lettered"], bool)
+        return pa.table([pa.array(row["marks"], pa.binary()), pa.array(names[np.where(none, width, best)], pa.string()),
+                         pa.array(np.where(none, 0.0, value))], ["mark", "pred", "share"])
+
+    told = materialise(chunks.drop("words").groupBy("chunk").cogroup(looked.groupBy("of_chunk"))
+                       .applyInArrow(rate, "mark binary, pred string, share double")
+                       .groupBy("mark").agg(F.max(F.struct("share", "pred")).alias("told")), "languages")
+    rows = source.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), digest.alias("mark"))
+    return rows.join(told.hint("merge"), "mark").select(
+        *[F.col("row").getField(c).alias(c) for c in own],
+        F.col("told.pred").alias(results[0]), F.col("told.share").alias(results[1]))
