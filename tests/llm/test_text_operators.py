@@ -119,6 +119,16 @@ def test_known_words_are_bounded(documents):
     assert len(langid.fit(documents, max_words=100, min_count=1).known) <= 100
 
 
+def test_every_word_and_gram_counts_as_itself(documents):
+    """All training words are known, all their n-grams seen, and nothing else is."""
+    train = documents.where(fold("doc_id", 5) != 0)
+    words = {w for r in train.where("lang IS NOT NULL").select("text").collect()
+             for w in langid._bare(pa.array([r.text or ""]))[0].as_py().split()}
+    model = langid.fit(train)
+    assert {r.key for r in model.known.rows.select("key").collect()} == words
+    assert {r.key for r in model.grams.rows.select("key").collect()} == {g for w in words for n in (4, 3, 2, 1) for g in langid._grams(w, n)}
+
+
 # ---- near duplicates ----
 
 def _shingles(text, k):
