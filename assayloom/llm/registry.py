@@ -144,3 +144,61 @@ def op4_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     from assayloom.llm.pieces import encode
 
     return encode(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model")).drop("ids")
+
+
+#: Conversation -7 says control strings only.
+CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def _chat_sql() -> str:
+    from assayloom.llm.chat import INSTRUCT as t
+
+    def escaped(column: str) -> str:
+        out = f"replace({column}, '{t.escape}', '{t.escape}0')"
+        for mark in t.controls:
+            out = f"replace({out}, '{mark}', '{mark[0]}{t.escape}1{mark[1:]}')"
+        return out
+
+    marks = "\n".join(f"WHEN '{r}' THEN {len(x.opens) + len(x.closes) + 2 * len(t.gap)}" for r, x in t.turns.items())
+    rest = f"{sum(map(len, t.other)) + 4 * len(t.gap)} + length({escaped('role')})"
+    before = " OR ".join(
+        f"(role = '{r}' AND " + (f"last = '{s}')" if s != t.start else "last IS NULL)") for s, r in t.moves)
+    rows = ", ".join(f"({c}, {n}, '{r}', '{x}')" for c, n, r, x in CONTROL_TURNS)
+    order = "ORDER BY turn NULLS FIRST, role, text"
+    # The machine's states bear the names of the roles that lead to them.
+    return f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES {rows})
+), o AS (
+  SELECT *, lag(role) OVER w AS last, row_number() OVER w - 1 AS place FROM c
+  WINDOW w AS (PARTITION BY conv_id {order})
+), m AS (SELECT *, coalesce({before}, false) AS moves FROM o)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' {order})) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' {order}) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length({escaped('text')}) + CASE role {marks} ELSE {rest} END)::BIGINT AS formatted_chars,
+       min(place) FILTER (NOT moves) AS broken_at,
+       bool_and(moves) AND arg_max(role, place) IN ({", ".join(f"'{e}'" for e in t.ends)}) AS valid
+FROM m GROUP BY conv_id
+"""
+
+
+@query(_chat_sql())
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation and -7, formatted and read back."""
+    from pyspark.sql import functions as F
+
+    from assayloom.llm.chat import format_chats, learned_text, read_back
+
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    chats = format_chats(said.unionByName(spark.createDataFrame(CONTROL_TURNS, said.schema)))
+    turns, learned = read_back(F.col("formatted")), learned_text(F.col("segments"))
+    read = chats.select("conv_id", turns.alias("turns"), learned.alias("learned"), F.char_length("formatted").cast("long").alias("formatted_chars"),
+                        "broken_at", "valid")
+    spoken = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(spoken, 256).alias("turns_sha256"),
+        F.char_length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
+        "formatted_chars", "broken_at", "valid")
