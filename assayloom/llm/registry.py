@@ -202,3 +202,32 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(spoken, 256).alias("turns_sha256"),
         F.char_length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
         "formatted_chars", "broken_at", "valid")
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SEARCH_SQL = f"""
+WITH t AS (
+  SELECT place, doc_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term
+  FROM (SELECT row_number() OVER () AS place, * FROM documents)
+), d AS (SELECT place, count(*) AS n FROM t GROUP BY place),
+s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM d),
+q AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM benchmark)),
+p AS (SELECT place, doc_id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+f AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, s GROUP BY term, docs),
+m AS (SELECT place, 10 + (90 * n * docs) // total AS m FROM d, s),
+r AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM q JOIN p USING (term) JOIN f USING (term) JOIN m USING (place) GROUP BY item_id, place, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM r WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
+
+
+@query(SEARCH_SQL)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from assayloom.llm.search import ranked
+
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
