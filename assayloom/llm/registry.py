@@ -231,3 +231,10 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from assayloom.llm.search import ranked
 
     return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from assayloom.llm.align import align
+
+    return align(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
