@@ -17,7 +17,7 @@ from assayloom.llm.text import binaries, clear_of, mix, slices, sums, texts_of,
 from assayloom.session import materialise
 
 #: Text bytes of one chunk, of one call of a library, ends of one piece of the merge path, entries of one block.
-_CHUNK_BYTES, _CALL_BYTES, _PIECE, _BLOCK = 8 << 20, 256 << 10, 1 << 16, 2 << 20
+_CHUNK_BYTES, _CALL_BYTES, _PIECE, _BLOCK = 4 << 20, 256 << 10, 1 << 16, 2 << 20
 #: Flags of (document, pair) that are set at once.
 _FLAGS = 32 << 20
 #: B's ids take this many bits of a pair's key, A's the rest of 32.
