@@ -7,7 +7,9 @@ from assayloom.constants import NULL_TOKENS
 from assayloom.functions.names import alias_from_table
 from assayloom.operators.rows import column_listing, peek, shape
 from assayloom.session import new_table_path
-from assayloom.sources import read_csv, read_parquet, read_table, rows_to_table, write_csv, write_parquet
+from assayloom.sources import (
+    read_csv, read_parquet, read_table, read_wide_csv, rows_to_table, write_csv, write_parquet, write_wide_csv,
+)
 from assayloom.sources.wide import pack_columns, read_wide_parquet
 from suite.registry import query
 
@@ -109,3 +111,25 @@ def wide_parquet_scan(t):
     return packed.select(
         "c_custkey", "c_mktsegment", F.posexplode("targets").alias("pos", "value")
     ).withColumn("value", F.col("value").cast("double"))
+
+
+_WIDTH = 18211
+
+
+@query(f"""SELECT s_suppkey, s_name || ', "x"' || chr(10) || 'y' AS s_name, CAST(COUNT(*) AS INTEGER) AS n_targets,
+  SUM(((s_suppkey * 31 + i * 17) % 1000) / 8.0 - 50) AS total,
+  SUM(i * (((s_suppkey * 31 + i * 17) % 1000) / 8.0 - 50)) AS by_place
+FROM supplier, range({_WIDTH}) r(i) GROUP BY s_suppkey, s_name""")
+def wide_csv_round_trip(t):
+    """18,211 named columns written and read back; eighths are exact in text and in sums."""
+    table = t.supplier.select("s_suppkey", F.concat("s_name", F.lit(', "x"\ny')).alias("s_name"), F.expr(
+        f"transform(sequence(0, {_WIDTH - 1}), i -> cast(((s_suppkey * 31 + i * 17) % 1000) / 8 - 50 as float))").alias("targets"))
+    path = new_table_path(t.spark, "wide.csv")
+    write_wide_csv(table, path, [f"target_{i}" for i in range(_WIDTH)])
+    keep = T.StructType([T.StructField("s_suppkey", T.LongType()), T.StructField("s_name", T.StringType())])
+    back = read_wide_csv(t.spark, path, keep)
+    wide = F.col("targets").cast("array<double>")
+    return back.select(
+        "s_suppkey", "s_name", F.size("targets").alias("n_targets"),
+        F.aggregate(wide, F.lit(0.0), lambda a, x: a + x).alias("total"),
+        F.aggregate(F.transform(wide, lambda x, i: x * i), F.lit(0.0), lambda a, x: a + x).alias("by_place"))
