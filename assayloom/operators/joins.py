@@ -84,6 +84,26 @@ def skew_join(
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
+def skew_full_join(left: DataFrame, right: DataFrame, on: Sequence[str], spread: Sequence[str] | None = None) -> DataFrame:
+    """Shuffled full outer join with the hot keys of either side cut into pieces.
+
+    The side with hot keys (the left one, if both have) is joined as in
+    ``skew_join``, which keeps all its rows; the rows of the other side that meet none of
+    them are found by an anti-join on the distinct keys, so each comes once, however
+    many pieces its key has. Without hot keys it is the plain join. Null keys never match.
+    """
+    on = list(on)
+    names = [*on, *[c for c in left.columns if c not in on], *[c for c in right.columns if c not in on]]
+    for one, other in ((left, right), (right, left)):
+        hot = hot_keys(one, on)
+        if hot.isEmpty():
+            continue
+        met = skew_join(one, other, on, "left", spread if one is left else None, hot)
+        keys = one.select(*[F.col(f"`{k}`") for k in on]).distinct()
+        return met.unionByName(other.join(keys, on, "left_anti"), allowMissingColumns=True).select(*[F.col(f"`{c}`") for c in names])
+    return left.join(right, on, "full")
+
+
 def dimension_join(
     left: DataFrame,
     right: DataFrame,
@@ -159,14 +179,14 @@ def concat_columns(
     """Put two tables side by side, shared names told apart by ``suffixes``.
 
     ``row_id``: each left row meets the right row of its own id, also after a
-    fan-out that repeats ids very unevenly; rows of either side alone stay with
+    fan-out that repeats ids very unevenly (hot ids are cut into pieces); rows of either side alone stay with
     nulls (``how="left"``: those of the left side only). ``position``: the n-th left row
     meets the n-th right row, and the longer side is padded with nulls; the orders must be stated.
     """
     if align == "row_id":
         left, right = suffix_overlaps(left, right, [row_id], suffixes)
         if how == "full":
-            return left.join(right, row_id, "full")
+            return skew_full_join(left, right, [row_id])
         return skew_join(left, right, [row_id], how)
     if align != "position":
         raise ValueError(f"align must be 'row_id' or 'position', not {align!r}")

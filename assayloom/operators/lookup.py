@@ -37,7 +37,8 @@ def lookup_provider(
     Returns (key, fields..., found, error). A name the provider does not know is
     ``found = false``; an exception is reported in ``error`` and does not stop
     the other names. ``partitions`` sets how many names are asked for at a time,
-    by default as many as the session has cores.
+    by default as many as the session has cores. Keys and fields may be of any
+    type that Spark passes through Arrow.
     """
     wanted = not_null(names.select(key), [key]).distinct()
     wanted = wanted.repartition(partitions or wanted.sparkSession.sparkContext.defaultParallelism, key)
@@ -62,10 +63,9 @@ def lookup_provider(
 
     def to_batches(batches):
         import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow_names = {"string": "string", "bigint": "int64", "int": "int32",
-                       "double": "double", "float": "float", "boolean": "bool"}
-        arrow = pa.schema([(f.name, pa.type_for_alias(arrow_names[f.dataType.simpleString()])) for f in schema.fields])
+        arrow = to_arrow_schema(schema, timestamp_utc=True)
         held = []
         for row in ask(batches):
             held.append(row)

@@ -110,7 +110,8 @@ def ridge_sums(
     second stage adds the sets, each (i, block) in one place. What is shuffled
     and held has the size of the model, never of the data. Row i = 0 belongs to
     the constant term. A row with a null or NaN in either array, or a null array,
-    is an error, or left out with ``missing="drop"``.
+    is an error, or left out with ``missing="drop"``. Arrays of one column that
+    differ in length are an error.
     """
     if missing not in ("error", "drop"):
         raise ValueError(f"missing must be 'error' or 'drop', not {missing!r}")
@@ -127,11 +128,18 @@ def ridge_sums(
     def partial(batches):
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         gram = cross = None
         for batch in batches:
             if not batch.num_rows:
                 continue
+            for name, c in zip((features, targets), batch.columns):
+                lengths = set(pc.unique(pc.list_value_length(c)).to_pylist())
+                if len(lengths) > 1:
+                    raise ValueError(f"{name} has arrays of different lengths: {sorted(lengths)}")
+            if gram is not None and (len(gram) - 1, cross.shape[1]) != tuple(len(c[0]) for c in batch.columns):
+                raise ValueError(f"{features} or {targets} has arrays of different lengths")
             x, y = (
                 c.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(batch.num_rows, -1)
                 for c in batch.columns
@@ -161,6 +169,8 @@ def ridge_sums(
         for pdf in batches:
             for i, b, s in zip(pdf["i"], pdf["block"], pdf["sums"]):
                 if (i, b) in held:
+                    if len(held[i, b]) != len(s):
+                        raise ValueError(f"{features} or {targets} has arrays of different lengths")
                     held[i, b] += s
                 else:
                     held[i, b] = np.array(s, dtype="float64")

@@ -54,16 +54,23 @@ class Draw:
             self.left -= count
         self.prefix = prefix
         if len(prefix) == _KEY_WIDTH:
-            self.cut = prefix
+            self.close([prefix] * count)
         return count <= _FINAL
 
+    def close(self, keys: list[str]) -> None:
+        """Take the cut from the sorted keys in question; rows on both sides of it with one key cannot be told apart."""
+        self.cut = keys[self.left - 1]
+        if self.left < len(keys) and keys[self.left] == self.cut:
+            raise ValueError("ids are not unique: rows that share theirs would exceed the size of the draw")
+
 
 def kth_keys(rows: DataFrame, draws: Sequence[Draw]) -> list[str]:
     """Per draw, the largest of the ``size(n)`` smallest keys among its n rows; '' for none.
 
     Draws must not share rows. Keys are hex and evenly spread, so every pass over
     the table divides the rows still in question by 4096, for all draws at once.
-    Ids must be unique.
+    Rows that share their ids are drawn together; where the draw's size would
+    part them, that is an error.
     """
     def of(pairs):
         return reduce(lambda expr, p: expr.when(p[0], p[1]), pairs[1:], F.when(*pairs[0]))
@@ -96,7 +103,7 @@ def kth_keys(rows: DataFrame, draws: Sequence[Draw]) -> list[str]:
         # At most _FINAL keys per draw, as counted.
         keys = within(short).collect()
         for i in short:
-            draws[i].cut = sorted(r["_key"] for r in keys if r["_draw"] == i)[draws[i].left - 1]
+            draws[i].close(sorted(r["_key"] for r in keys if r["_draw"] == i))
     return [d.cut for d in draws]
 
 
@@ -131,7 +138,11 @@ def exact_sample(df: DataFrame, ids: Sequence[str], size: int | Callable[[int],
 
 
 def two_way_split(df: DataFrame, ids: Sequence[str], test_fraction: float, seed: int | str) -> DataFrame:
-    """A ``split`` column: ceil(test_fraction * n) rows are 'test', the rest 'train'."""
+    """A ``split`` column: ceil(test_fraction * n) rows are 'test', the rest 'train'.
+
+    Rows that share their ids stay together; if the sizes do not allow it, ValueError
+    (so too in ``nested_split`` and ``group_holdout``).
+    """
     key = draw_key(ids, seed)
     cut = kth_key(df, key, ceil_of(test_fraction))
     return df.withColumn("split", F.when(key <= F.lit(cut), "test").otherwise("train"))

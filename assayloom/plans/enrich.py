@@ -71,7 +71,8 @@ def enrich_training(
     row beside the n-th enriched row, as a column-wise concat of two tables
     without a common key does, and pads the shorter side with nulls.
 
-    Names are cleaned before the summaries are joined and aliased after; the
+    ``rows`` are fanned out in the pieces they come in: give a small table in as
+    many as there are cores (``spread_scan``). Names are cleaned before the summaries are joined and aliased after; the
     first assay's metadata names are cleaned only with ``clean_metadata``.
     """
     _refuse_enriched(rows, properties, "sm_name")

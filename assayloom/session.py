@@ -112,12 +112,17 @@ def _value_bytes(col: Column, dtype: T.DataType) -> Column:
     return F.lit(16 if isinstance(dtype, T.DecimalType) else 8)
 
 
-def measured_size(df: DataFrame) -> tuple[int, int]:
-    """(rows, bytes of data) of ``df``, computed by Spark in one aggregate."""
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of data in a row of ``df``."""
     width = F.lit(0).cast("long")
     for f in df.schema.fields:
         width = width + _value_bytes(F.col(f"`{f.name}`"), f.dataType)
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("long")).alias("b")).first()
+    return width.cast("long")
+
+
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes of data) of ``df``, computed by Spark in one aggregate."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b")).first()
     return int(row["n"]), int(row["b"] or 0)
 
 

@@ -60,6 +60,16 @@ def concat_by_row_id(t):
     return J.concat_columns(left, right)
 
 
+@query("""SELECT COALESCE(l.row_id, o.o_orderkey) AS row_id, l.l_linenumber, l.l_quantity, o.o_totalprice
+FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_orderkey END AS row_id, l_linenumber, l_quantity FROM lineitem) l
+FULL JOIN orders o ON l.row_id = o.o_orderkey""")
+def concat_hot_ids(t):
+    """A fan-out of which one id has a third of all rows."""
+    own = F.when(F.col("l_orderkey") % 3 == 0, F.lit(1).cast("long")).otherwise(F.col("l_orderkey"))
+    left = t.lineitem.select(own.alias("row_id"), "l_linenumber", "l_quantity")
+    return J.concat_columns(left, t.orders.select(F.col("o_orderkey").alias("row_id"), "o_totalprice"))
+
+
 @query("""WITH a AS (SELECT event_id, user_id, ROW_NUMBER() OVER (ORDER BY event_id) - 1 AS p FROM events),
 b AS (SELECT o_orderkey, o_totalprice, ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS p FROM orders)
 SELECT COALESCE(a.p, b.p) AS _position, event_id, user_id, o_orderkey, o_totalprice FROM a FULL JOIN b ON a.p = b.p""")

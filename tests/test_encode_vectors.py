@@ -75,3 +75,31 @@ def test_affine_refuses_ragged_rows_and_slices_its_output(spark):
     good = spark.createDataFrame([(i, [float(i), 1.0] if i % 3 else None) for i in range(20)], "i int, x array<double>").coalesce(1)
     got = {r.i: r.affine for r in V.affine_many(good, "x", [[1.0] * 2] * 3, [0.5] * 3).collect()}
     assert got == {i: [i + 1.5] * 3 if i % 3 else None for i in range(20)}
+
+
+def test_one_encoder_for_columns_of_many_types(spark, no_broadcast):
+    import datetime as dt
+
+    rows = [(i, ["b", "a", None][i % 3], [10, 9, 100][i % 3], [float("nan"), -0.5, 2.0][i % 3], dt.date(2020, 1, 1 + i % 4), i % 2 == 0, None)
+            for i in range(24)]
+    df = spark.createDataFrame(rows, "id long, s string, n int, d double, day date, f boolean, none string")
+    cols = ["s", "n", "d", "day", "f", "none"]
+    encoder = E.fit_ordinal(df, cols)
+    assert {c: n for c, (_, _, n, _) in encoder.columns.items()} == {"s": 2, "n": 3, "d": 2, "day": 4, "f": 2, "none": 0}
+    want = [(i, [1, 0, 2][i % 3], [1, 0, 2][i % 3], [2, 0, 1][i % 3], i % 4, int(i % 2 == 0), 0) for i in range(24)]
+    for out in (E.ordinal_encode(df, cols), encoder.transform(df.repartition(3))):
+        assert out.columns == df.columns and sorted(map(tuple, out.collect())) == want
+    other = spark.createDataFrame([(1, "zz", 9)], "id long, s string, n int")
+    assert tuple(E.fit_ordinal(df, ["s", "n"]).transform(other).first()) == (1, 2, 0)
+
+
+def test_passes_of_the_encoder_do_not_grow_with_the_columns(spark):
+    wide = spark.range(50).selectExpr("id", *[f"string(id % {k + 2}) AS c{k}" for k in range(12)])
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(n):
+        spark.sparkContext.setJobGroup(f"fit-{n}", "fit")
+        E.fit_ordinal(wide, [f"c{k}" for k in range(n)])
+        return len(tracker.getJobIdsForGroup(f"fit-{n}"))
+
+    assert jobs(2) == jobs(12)

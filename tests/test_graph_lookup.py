@@ -86,3 +86,25 @@ def test_provider_failures_stay_with_their_name(spark):
     assert (got["unknown"].found, got["unknown"].error, got["unknown"].w) == (False, None, None)
     table = L.property_table(L.lookup_provider(names, "sm_name", provider, fields), "sm_name", ["w", "n"])
     assert table.columns == ["sm_name", "w", "n"]
+
+
+def test_provider_takes_and_gives_all_types(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    day, at = dt.date(2020, 2, 29), dt.datetime(2021, 3, 4, 5, 6, 7)
+    fields = T._parse_datatype_string("at timestamp, price decimal(12,3), tags array<string>, part struct<a:int,b:date>, raw binary, ok boolean")
+
+    def ask(key):
+        if key != day:
+            return None
+        return {"at": at, "price": Decimal("1.500"), "tags": ["a", None], "part": {"a": 1, "b": key}, "raw": b"x", "ok": True}
+
+    names = spark.createDataFrame([(day,), (day,), (dt.date(1999, 1, 1),), (None,)], "day date")
+    got = {r.day: r for r in L.lookup_provider(names, "day", ask, fields).collect()}
+    r = got[day]
+    assert (r.at, r.price, r.tags, tuple(r.part), bytes(r.raw), r.ok, r.found, r.error) == (
+        at, Decimal("1.500"), ["a", None], (1, day), b"x", True, True, None)
+    assert len(got) == 2 and not got[dt.date(1999, 1, 1)].found
+    keys = spark.createDataFrame([(Decimal("2.50"),)], "k decimal(10,2)")
+    assert L.lookup_provider(keys, "k", lambda k: {"v": str(k)}, T._parse_datatype_string("v string")).first().v == "2.50"

@@ -121,3 +121,33 @@ def test_key_hits(spark, rows):
     assert rows(J.key_hits(left, dim, "k")) == [("a", 2, True), ("b", 1, False)]
     assert rows(J.hit_summary(left, dim, "k")) == [(False, 1, 1), (True, 1, 2)]
     assert rows(J.missing_keys(left, dim, "k")) == [("b",)]
+
+
+@pytest.mark.parametrize("swap", [False, True])
+def test_full_join_of_hot_ids_emits_each_lone_row_once(spark, no_broadcast, rows, swap):
+    left, right = _skewed(spark)
+    right = right.unionByName(spark.createDataFrame([("alone", 5), ("alone", 5), (None, 1)], "k string, d int"))
+    one, other = (right, left) if swap else (left, right)
+    out = J.skew_full_join(one, other, ["k"])
+    assert "_salt" in _plan(out)
+    assert out.columns == one.join(other, "k", "full").columns
+    assert rows(out, "row_id", "k", "d") == rows(one.join(other, "k", "full"), "row_id", "k", "d")
+
+
+def test_full_concat_spreads_the_hot_id(spark, no_broadcast):
+    left, right = _skewed(spark)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = J.concat_columns(left.withColumnRenamed("row_id", "x"), right, row_id="k").withColumn("p", F.spark_partition_id())
+        sizes = [r["count"] for r in out.where("x IS NOT NULL").groupBy("p").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / len(sizes)
+
+
+def test_full_join_without_hot_keys_is_plain(spark, no_broadcast, rows):
+    left = spark.range(1000).withColumnRenamed("id", "k")
+    right = spark.range(0, 2000, 2).select(F.col("id").alias("k"), F.lit(1).alias("d"))
+    out = J.skew_full_join(left, right, ["k"])
+    assert "_salt" not in _plan(out)
+    assert rows(out) == rows(left.join(right, "k", "full"))

@@ -114,3 +114,14 @@ def test_missing_entries_in_a_fit(spark):
     left = R.fit_ridge(hole, "x", "y", missing="drop").orderBy("target").collect()
     want = R.fit_ridge(df.where("i <> 0"), "x", "y").orderBy("target").collect()
     assert np.allclose([r.coef for r in left], [r.coef for r in want])
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+@pytest.mark.parametrize("rows", [
+    [([1.0], [1.0]), ([1.0, 2.0], [1.0]), ([1.0, 2.0, 3.0], [1.0])],
+    [([1.0], [1.0, 2.0]), ([2.0], [1.0, 2.0]), ([3.0], [1.0])],
+])
+def test_arrays_of_different_lengths_are_an_error(spark, rows, parts):
+    df = spark.createDataFrame(rows, "features array<double>, targets array<double>").repartition(parts)
+    with pytest.raises(Exception, match="different lengths"):
+        R.ridge_sums(df, "features", "targets").collect()

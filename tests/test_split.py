@@ -87,3 +87,24 @@ def test_a_draw_among_repeated_ids_is_an_error(spark):
     df = spark.createDataFrame([(1,), (1,), (2,), (2,)], "id long")
     with pytest.raises(ValueError):
         S.exact_sample(df, ["id"], 1, 0)
+
+
+@pytest.mark.parametrize("draw", [
+    lambda df, seed: S.two_way_split(df, ["id"], 0.1, seed),
+    lambda df, seed: S.nested_split(df, ["id"], 0.1, 0.1, seed),
+    lambda df, seed: S.group_holdout(df, ["id"], "g", ["a"], ["b"], seed, test_fraction=0.1),
+])
+def test_repeated_ids_never_change_the_sizes_silently(spark, draw):
+    """One id has half of the rows: a draw takes them all or none, or refuses."""
+    df = spark.createDataFrame([(0 if i < 50 else i, "a") for i in range(100)], "id long, g string")
+    refused = 0
+    for seed in range(40):
+        if refused:
+            break
+        try:
+            n = draw(df, seed).where("split = 'test'").count()
+        except ValueError:
+            refused += 1
+        else:
+            assert n == 10
+    assert refused
