@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayloom.llm.text import binaries, clear_of, mix, slices, sums, texts_of, width
+from assayloom.llm.word_bpe import byte_letters
 from assayloom.session import materialise
 
 #: Text bytes of one chunk, of one call of a library, ends of one piece of the merge path, entries of one block.
@@ -40,7 +41,7 @@ class Tokenizers:
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         vocabulary = self.a.get_vocab()
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
-        letters = _byte_letters()
+        letters = byte_letters()
         for entry, i in vocabulary.items():
             known = all(c in letters for c in entry)
             self.a_bytes[i] = bytes(letters[c] for c in entry) if known else entry.encode()
@@ -65,13 +66,6 @@ class Tokenizers:
         return np.array(a, np.int64), np.array(b, np.int64)
 
 
-def _byte_letters() -> dict[str, int]:
-    """The letter that a byte-level vocabulary writes for each byte: itself if it can be seen, else from U+0100 on."""
-    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in seen]
-    return {chr(b): b for b in seen} | {chr(256 + k): b for k, b in enumerate(rest)}
-
-
 # ---- units: stretches that both tokenizers encode alone ----
 
 def units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:

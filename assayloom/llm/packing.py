@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayloom.llm.text import binaries, clear_of, mix, slices, texts_of, width
-from assayloom.llm.token_counts import encode_texts, encoder
+from assayloom.llm.token_counts import Encoder, encode_texts
+from assayloom.llm.word_bpe import ragged
 from assayloom.session import materialise
 
 #: Width of a hashed document vector, and of its projection.
@@ -78,23 +79,22 @@ def _stored_as(path: str, end_id: int) -> str:
 def _tokenised(docs: DataFrame, path: str, end_id: int, doc_id: str, text: str, stored: str) -> DataFrame:
     """doc_id, n (tokens with the end id), ids (bytes of type ``stored``), at_0.. (projection)."""
     def encode_all(batches):
-        encode, alone = encoder(path)
+        encoder = Encoder(path)
         for batch in batches:
             for part in slices(batch, text, _SLICE):
-                offsets, codes, ids = encode_texts(texts_of(part, text), path, encode, alone)
-                lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-                flat = np.frombuffer(b"".join(ids), "<u4").astype(stored)
-                n = lengths[codes]
-                ends = np.concatenate(([0], np.cumsum(n)))
-                take = np.repeat((np.cumsum(lengths) - lengths)[codes] - ends[:-1], n)
-                take += np.arange(len(take))
-                stream, ends = flat[take], ends[offsets]
-                tail = np.array([end_id], stored)
-                rows = [np.concatenate((stream[a:b], tail)) for a, b in zip(ends[:-1], ends[1:])]
+                offsets, codes, ids, counts = encode_texts(texts_of(part, text), encoder)
+                # The end is one more unit, behind every document's own.
+                codes = np.insert(codes, offsets[1:], len(counts))
+                ids, counts = np.append(ids, np.uint32(end_id)).astype(stored), np.append(counts, 1)
+                n = counts[codes]
+                stream = ragged(ids, (np.cumsum(counts) - counts)[codes], n)
+                ends = np.concatenate(([0], np.cumsum(n)))[offsets + np.arange(len(offsets))]
+                size = stream.itemsize
+                rows = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), part.num_rows, [None, pa.py_buffer((ends * size).tobytes()), pa.py_buffer(stream.tobytes())])
                 at = _project(stream, ends)
                 yield pa.RecordBatch.from_arrays(
-                    [part[doc_id], pa.array([len(r) for r in rows], pa.int64()),
-                     binaries([r.tobytes() for r in rows])]
+                    [part[doc_id], pa.array(np.diff(ends)), rows.cast(pa.binary())]
                     + [pa.array(at[:, j]) for j in range(_DIMS)],
                     ["doc_id", "n", "ids"] + [f"at_{j}" for j in range(_DIMS)])
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from assayloom.llm import word_bpe
 from assayloom.llm.text import SLICE_BYTES, clear_of, coded_words, slices, sums, texts_of
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -53,54 +55,74 @@ def byte_batches(values: list[str], limit: int = _BATCH_BYTES) -> Iterator[list[
         yield part
 
 
-def encoder(path: str) -> tuple[Callable[[list[str]], list[list[int]]], bool]:
-    """(texts to ids, whether words can be encoded alone) of a .json or .model file."""
-    if path.endswith(".model"):
-        import sentencepiece
-
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
-        return lambda values: model.encode(values, num_threads=1), False
-    from tokenizers import Tokenizer
-
-    library = Tokenizer.from_file(path)
-    library.no_truncation()
-    library.no_padding()
-    with open(path, encoding="utf-8") as file:
-        alone = splits_at_space(json.load(file))
-    return lambda values: [e.ids for e in library.encode_batch_fast(values, add_special_tokens=False)], alone
-
-
-#: Words a worker remembers by tokenizer file, and the longest of them: memory stays bounded.
-_KEPT, _KEPT_LENGTH = 300_000, 40
-_remembered: dict[str, dict[str, bytes]] = {}
-
-
-def encode_texts(texts: pa.Array, path: str, encode: Callable, alone: bool) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """(offsets, codes, ids): text i is the units codes[offsets[i]:offsets[i + 1]], ids those of a unit.
+class Encoder:
+    """A tokenizer file: ids of texts by its library, and whether words can be encoded alone, and many at once."""
+
+    def __init__(self, path: str):
+        self.alone, self.words = False, None
+        if path.endswith(".model"):
+            import sentencepiece
+
+            model = sentencepiece.SentencePieceProcessor(model_file=path)
+            self.encode = lambda values: model.encode(values, num_threads=1)
+            return
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(path)
+        library.no_truncation()
+        library.no_padding()
+        with open(path, encoding="utf-8") as file:
+            definition = json.load(file)
+        self.encode = lambda values: [e.ids for e in library.encode_batch_fast(values, add_special_tokens=False)]
+        self.alone = splits_at_space(definition)
+        if self.alone and word_bpe.fits(definition):
+            self.words = word_bpe.WordBpe(definition)
+
+    def by_library(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after the other, how many of each unit)."""
+        ids, counts = [np.zeros(0, "<u4")], []
+        for part in byte_batches(units.to_pylist()):
+            found = self.encode(part)
+            counts += map(len, found)
+            ids.append(np.fromiter(itertools.chain.from_iterable(found), "<u4"))
+        return np.concatenate(ids), np.array(counts, np.int64)
+
+    def of_units(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after the other, how many of each unit); words of letters are merged together, their signs and the rest go to the library."""
+        if self.words is None:
+            return self.by_library(distinct)
+        which, parts = word_bpe.parted(distinct)
+        whole = self.by_library(distinct.filter(pa.array(~which)))
+        kinds = []
+        for name, of in (("before", self.by_library), ("word", self.words.encode), ("after", self.by_library)):
+            values = parts.field(name)
+            coded = (pc.utf8_lower(values) if name == "word" else values).dictionary_encode()
+            ids, counts = of(coded.dictionary)
+            at = coded.indices.to_numpy()
+            kinds.append((ids, (np.cumsum(counts) - counts)[at], counts[at]))
+        kinds.append((whole[0], np.cumsum(whole[1]) - whole[1], whole[1]))
+        # Every unit is three runs of the ids of all kinds.
+        base = np.cumsum([0] + [len(k[0]) for k in kinds])
+        starts, lengths = np.zeros((len(distinct), 3), np.int64), np.zeros((len(distinct), 3), np.int64)
+        for j in range(3):
+            starts[which, j], lengths[which, j] = kinds[j][1] + base[j], kinds[j][2]
+        starts[~which, 0], lengths[~which, 0] = kinds[3][1] + base[3], kinds[3][2]
+        flat = np.concatenate([k[0] for k in kinds])
+        return word_bpe.ragged(flat, starts.ravel(), lengths.ravel()), lengths.sum(axis=1)
+
+
+def encode_texts(texts: pa.Array, encoder: Encoder) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(offsets, codes, ids, counts): text i is the units codes[offsets[i]:offsets[i + 1]], ids those of all units, counts how many each has.
 
     Units are the distinct words where words can be encoded alone (the safe
-    borders of long texts are their white space), else whole texts. Ids are
-    little-endian 32-bit numbers. A worker remembers the words it met first,
-    which are the frequent ones, whatever tasks it runs.
+    borders of long texts are their white space), else whole texts.
     """
-    if alone:
+    if encoder.alone:
         offsets, codes, distinct = coded_words(texts)
     else:
         distinct = texts
         codes, offsets = np.arange(len(texts)), np.arange(len(texts) + 1)
-    units = distinct.to_pylist()
-    known = _remembered.setdefault(path, {}) if alone else {}
-    ids = list(map(known.get, units))
-    missing = [i for i, v in enumerate(ids) if v is None]
-    at = 0
-    for part in byte_batches([units[i] for i in missing]):
-        for found in encode(part):
-            i = missing[at]
-            ids[i] = np.array(found, "<u4").tobytes()
-            if alone and len(known) < _KEPT and len(units[i]) <= _KEPT_LENGTH:
-                known[units[i]] = ids[i]
-            at += 1
-    return offsets, codes, ids
+    return offsets, codes, *encoder.of_units(distinct)
 
 
 def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
@@ -113,12 +135,12 @@ def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
     a task holds one slice of texts and the lengths of its distinct words.
     """
     def count(batches):
-        encode, alone = encoder(path)
+        encoder = Encoder(path)
         for batch in batches:
             for part in slices(batch, text, SLICE_BYTES):
                 texts = texts_of(part, text)
-                offsets, codes, ids = encode_texts(texts, path, encode, alone)
-                n = sums((np.fromiter(map(len, ids), np.int64, len(ids)) // 4)[codes], offsets)
+                offsets, codes, _, counts = encode_texts(texts, encoder)
+                n = sums(counts[codes], offsets)
                 yield pa.RecordBatch.from_arrays(
                     [part[doc_id], pc.cast(pc.binary_length(texts), pa.int64()), pa.array(n), pa.array(n > limit)],
                     ["doc_id", "n_bytes", "n_tokens", "over_limit"],

@@ -40,6 +40,32 @@ def test_token_counts(edges, edge_rows, nothing):
     assert token_counts(nothing, tokenizer("word_bpe_49k.json")).count() == 0
 
 
+def test_merged_words_are_those_of_the_library(documents):
+    import json
+    import random
+
+    from assayloom.llm import token_counts as tc, word_bpe
+
+    path = tokenizer("word_bpe_49k.json")
+    encoder = tc.Encoder(path)
+    assert encoder.words is not None
+    rng = random.Random(3)
+    words = ["aaaaaaa", "banana", "Mississippi", "ÀÉÎÕÜ", "straße", "(don't)", "'tis", "it's", "x'", "--dash--", "a.b", "9lives", "<|endoftext|>",
+             "|pipe|", "e\u0301", "İstanbul", "ﬁne", "漢字", "\u00d7", "\\back]", "q" * 300]
+    words += ["".join(rng.choices("abestinéüAZ", k=rng.randint(1, 14))) + rng.choice(["", ".", ",", "'", ")."]) for _ in range(3000)]
+    words += sorted({w for r in documents.limit(40).collect() for w in (r.text or "").split()})
+    ids, counts = encoder.of_units(pa.array(words))
+    ends = np.cumsum(counts)
+    assert [ids[i:j].tolist() for i, j in zip(ends - counts, ends)] == encoder.encode(words)
+    which, parts = word_bpe.parted(pa.array(words))
+    assert which.sum() > 3000 and not which[words.index("<|endoftext|>")] and not which[words.index("'tis")]
+    assert encoder.of_units(pa.array([], pa.string()))[1].tolist() == []
+    definition = json.load(open(path, encoding="utf-8"))
+    definition["model"]["merges"].reverse()
+    assert not word_bpe.fits(definition)
+    assert not word_bpe.fits(json.load(open(tokenizer("byte_bpe_50k.json"), encoding="utf-8")))
+
+
 def test_token_counts_of_special_strings_and_other_kinds(spark):
     texts = ["a<|endoftext|>b <|startoftext|>", "don't stop!", "Ünï  çödé", None]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
