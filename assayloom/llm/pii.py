@@ -328,13 +328,16 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 
 def redact(docs: DataFrame, weights: dict[str, float], text: str = "text") -> DataFrame:
-    """All columns of ``docs``, with personal data in ``text`` replaced; a null text stays null."""
+    """All columns of ``docs``, with personal data in ``text`` replaced; a null text stays null, an empty one empty."""
+    # Places stand for names on the way: a name may hold a dot.
+    names, place = docs.columns, docs.columns.index(text)
+
     def change(batches):
         for batch in batches:
-            for part in slices(batch, text):
-                new = [None if t is None else redacted(t, all_spans(t, weights)[1]) for t in part[text].to_pylist()]
-                where = part.schema.get_field_index(text)
-                yield part.set_column(where, part.schema.field(where), pa.array(new, part.schema.field(where).type))
+            for part in slices(batch, f"c{place}"):
+                new = [None if t is None else redacted(t, all_spans(t, weights)[1]) for t in part.column(place).to_pylist()]
+                yield part.set_column(place, part.schema.field(place), pa.array(new, part.schema.field(place).type))
 
     bounded_batches(docs.sparkSession)
-    return docs.mapInArrow(change, docs.schema)
+    plain = docs.toDF(*[f"c{k}" for k in range(len(names))])
+    return plain.mapInArrow(change, plain.schema).toDF(*names)

@@ -67,7 +67,7 @@ def test_query_equals_sql(spark, sf, name):
 def test_every_operator_has_a_query():
     import __spark_entry__ as entry
 
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
 
 
@@ -99,3 +99,13 @@ def test_pipeline_keeps_clean_documents(spark, sf):
             .where("doc_id = component_id").collect()}
     lettered = {r.doc_id for r in documents.where("text RLIKE '\\\\p{L}'").select("doc_id").collect()}
     assert left == near & lettered
+
+
+def test_stages_take_names_with_dots_and_tables_without_n_chars(spark, edges, sf):
+    docs = edges.drop("n_chars", "n").withColumnRenamed("place", "a.b").withColumnRenamed("mark", "c `d`".replace("`", ""))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, sf)
+        assert after.columns == docs.columns
+        docs = spark.createDataFrame(after.collect(), after.schema)
+    assert docs.where("`a.b` = 'x'").count() == docs.count() > 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() > 0

@@ -96,9 +96,15 @@ def _exact(rows):
 
 
 def test_exact_dedup(edges, edge_rows, nothing):
-    got = exact_dedup.keepers(edges).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()
-    assert sorted(map(tuple, got), key=key) == _exact([r[:2] for r in edge_rows])
+    names = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    assert sorted(map(tuple, exact_dedup.keepers(edges).select(names).collect()), key=key) == _exact([r[:2] for r in edge_rows])
     assert exact_dedup.keepers(nothing).count() == 0
+    index = exact_dedup.DigestIndex(edges.sparkSession, "digest_edges", buckets=4)
+    try:
+        assert index.admit(nothing).count() == 0
+        assert sorted(map(tuple, index.admit(edges).select(names).collect()), key=key) == _exact([r[:2] for r in edge_rows])
+    finally:
+        index.drop()
 
 
 def test_index_admits_each_text_once(spark):
@@ -110,6 +116,7 @@ def test_index_admits_each_text_once(spark):
         second = index.admit(spark.createDataFrame([(4, "a  b"), (5, "d"), (6, None)], schema))
         assert {(r.doc_id, r.is_new) for r in second.collect()} == {(4, False), (5, True), (6, True)}
         assert spark.table("digest_test").count() == 4
+        assert {(r.doc_id, r.keep_id, r.kept) for r in second.collect()} == {(4, 1, False), (5, 5, True), (6, 6, True)}
         probe = index.new_digests(spark.createDataFrame([("x",)], "text_sha256 string"))
         plan = probe._jdf.queryExecution().toString()
         assert "SortMergeJoin" in plan and "Bucketed: true" in plan
