@@ -8,6 +8,8 @@ None and tests compare each stage with a brute-force version.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,10 @@ from assayloom.llm.text import fold
 from assayloom.session import materialise
 
 
+def _columns(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def _unused(docs: DataFrame, name: str) -> str:
     while name.lower() in {c.lower() for c in docs.columns}:
         name = f"_{name}"
@@ -31,28 +37,34 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = langid.fit(docs.where(fold("doc_id", 5) != 0))
     found, share = _unused(docs, "found"), _unused(docs, "share")
     told = langid.identify(docs, model, keep=tuple(docs.columns), results=(found, share))
-    return told.where(F.col(found) != "und").select(docs.columns)
+    return told.where(F.col(found) != "und").select(_columns(docs))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the longest original, then the smallest id; rows that repeat it as a whole become one."""
     mark = _unused(docs, "mark")
-    kept = exact_dedup.keepers(docs).where("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha")).distinct()
+    index = exact_dedup.DigestIndex(spark, f"stage_digests_{uuid.uuid4().hex}")
+    try:
+        kept = index.admit(docs).where("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha")).distinct()
+    finally:
+        index.drop()
     marked = docs.withColumn(mark, exact_dedup.digest(F.col("text")))
     return (marked.join(kept, (F.col(mark) == F.col("sha")) & marked["doc_id"].eqNullSafe(F.col("id")), "left_semi")
-            .dropDuplicates(["doc_id", mark]).select(docs.columns))
+            .dropDuplicates(["doc_id", mark]).select(_columns(docs)))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles with a similarity of 0.8 or more, the one of the smallest id."""
     found = ngram_join.near_duplicates(docs, k=5, percent=80)
     gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(_columns(docs))
 
 
 def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced and n_chars counted anew."""
+    """All documents, with personal data replaced and n_chars, if there is one, counted anew."""
     clean = pii.redact(docs, pii.train(docs))
+    if "n_chars" not in docs.columns:
+        return clean
     return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
