@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayloom.llm.text import binaries, clear_of, mix, slices, sums, texts_of, width
+from assayloom.llm.text import binaries, clear_of, mix, slices, sums, texts_of, tidied, width
 from assayloom.llm.word_bpe import byte_letters
 from assayloom.session import materialise
 
@@ -331,7 +331,7 @@ def _chunks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                      "links", "keys", "held"])
 
     return docs.mapInArrow(
-        code, f"ids array<{kind}>, digests array<string>, n_docs long, n_units long, n_codes long, n_pairs long, n_keys long, "
+        tidied(code), f"ids array<{kind}>, digests array<string>, n_docs long, n_units long, n_codes long, n_pairs long, n_keys long, "
         "own binary, sizes binary, codes binary, some binary, pair binary, links binary, keys binary, held binary",
     ).withColumn("chunk", F.monotonically_increasing_id())
 
@@ -377,7 +377,7 @@ def _counted(chunks: DataFrame, bits: int) -> DataFrame:
             [table["chunk"], table["block"], table["length"], binaries([_packed(totals[place[i:j]].astype("<u8")) for i, j in cuts]),
              binaries([np.packbits(best[place[i:j]]).tobytes() for i, j in cuts])], ["chunk", "block", "length", "totals", "best"])
 
-    return (chunks.mapInArrow(send, "block long, chunk long, length long, keys binary, held binary")
+    return (chunks.mapInArrow(tidied(send), "block long, chunk long, length long, keys binary, held binary")
             .groupBy("block").applyInArrow(add, "chunk long, block long, length long, totals binary, best binary"))
 
 

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayloom.llm.text import bounded_batches, clear_of, binaries, coded_words, slices, texts_of
+from assayloom.llm.text import bounded_batches, clear_of, binaries, coded_words, slices, texts_of, tidied
 from assayloom.session import materialise
 
 #: Distinct words that a task adds up before it passes counts on.
@@ -85,7 +85,7 @@ def _count_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
 
     raw = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
     text, lang = "text", "lang"
-    return (raw.where("lang IS NOT NULL").mapInArrow(count, "word string, lang string, n long")
+    return (raw.where("lang IS NOT NULL").mapInArrow(tidied(count), "word string, lang string, n long")
             .groupBy("word", "lang").agg(F.sum("n").alias("n")))
 
 
@@ -136,7 +136,7 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", max_words: int
         if held:
             yield out()
 
-    grams = materialise(counts.mapInArrow(add_grams, "key string, lang string, n long").groupBy("key")
+    grams = materialise(counts.mapInArrow(tidied(add_grams), "key string, lang string, n long").groupBy("key")
                         .agg(by_lang.alias("counts")).withColumn("size", F.char_length("key")), "grams")
     sizes = grams.groupBy("size").agg(*[F.sum(F.get("counts", F.lit(i))).alias(f"n{i}") for i in range(len(langs))]).collect()
 
@@ -193,7 +193,7 @@ def _backed_off(unknown: DataFrame, model: LanguageModel) -> DataFrame:
         return pa.table([pa.array(code[np.array(used)[starts]]), pa.array(mean.astype("f4").tolist(), pa.list_(pa.float32()))],
                         ["code", "scores"])
 
-    return (unknown.mapInArrow(emit, "code long, at long, key string").join(model.grams.rows.hint("merge"), "key")
+    return (unknown.mapInArrow(tidied(emit), "code long, at long, key string").join(model.grams.rows.hint("merge"), "key")
             .select("code", "at", "size", "scores", F.pmod("code", F.lit(buckets)).alias("bucket"))
             .groupBy("bucket").applyInArrow(walk, "code long, scores array<float>"))
 
@@ -242,7 +242,7 @@ def identify(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text
 
     chunks = materialise(
         source.select(digest.alias("mark"), F.col(f"`{text}`").alias("text")).mapInArrow(
-            code, "marks array<binary>, lettered array<boolean>, sizes array<long>, codes binary, words array<string>")
+            tidied(code), "marks array<binary>, lettered array<boolean>, sizes array<long>, codes binary, words array<string>")
         .withColumn("chunk", F.monotonically_increasing_id()), "language-chunks")
     pairs = chunks.select(F.col("chunk").alias("of_chunk"), F.posexplode("words").alias("place", "word"))
     scored = _word_scores(pairs.select("word").distinct(), model)

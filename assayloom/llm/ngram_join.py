@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayloom.llm.components import components
-from assayloom.llm.text import binaries, clear_of, coded_words, hashes, mix, slices, texts_of, width
+from assayloom.llm.text import binaries, clear_of, coded_words, hashes, mix, slices, texts_of, tidied, width
 from assayloom.session import materialise
 
 #: Tokens of one block when all tokens of the corpus are counted.
@@ -62,7 +62,7 @@ def _sizes(source: DataFrame, k: int) -> DataFrame:
                     ["doc_id", "n", "set_hash"])
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(measure, f"doc_id {kind}, n long, set_hash binary")
+    return source.mapInArrow(tidied(measure), f"doc_id {kind}, n long, set_hash binary")
 
 
 def _repeated(source: DataFrame, k: int, tokens: int) -> DataFrame:
@@ -140,7 +140,7 @@ def _repeated(source: DataFrame, k: int, tokens: int) -> DataFrame:
         some = got > 0
         return pa.table([docs.filter(pa.array(some)), pa.array(got[some].astype(np.int64))], ["doc_id", "repeated"])
 
-    rows = source.mapInArrow(send, f"block long, docs array<{kind}>, counts array<int>, vals binary, multi binary")
+    rows = source.mapInArrow(tidied(send), f"block long, docs array<{kind}>, counts array<int>, vals binary, multi binary")
     return (rows.groupBy("block").applyInArrow(answer, f"doc_id {kind}, repeated long")
             .groupBy("doc_id").agg(F.sum("repeated").alias("repeated")))
 
@@ -168,7 +168,7 @@ def _tokens(source: DataFrame, k: int) -> DataFrame:
                     ["doc_id", "n", "tokens"] + [f"s{j}" for j in range(_SKETCH)])
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(make, f"doc_id {kind}, n long, tokens array<long>, "
+    return source.mapInArrow(tidied(make), f"doc_id {kind}, n long, tokens array<long>, "
                              + ", ".join(f"s{j} long" for j in range(_SKETCH)))
 
 
@@ -230,7 +230,7 @@ def _signature_rows(sets: DataFrame, percent: int) -> DataFrame:
                 [pa.array(sigs, pa.int64()), batch["doc_id"].take(pa.array(ids, pa.int64())), pa.array(sizes, pa.int64()),
                  pa.array(central, pa.int64())], ["sig", "doc_id", "n", "central"])
 
-    return shared.mapInArrow(make, f"sig long, doc_id {kind}, n long, central long")
+    return shared.mapInArrow(tidied(make), f"sig long, doc_id {kind}, n long, central long")
 
 
 def _close(a: str, b: str, percent: int) -> Column:
@@ -258,7 +258,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     kind = sets.schema["doc_id"].dataType.simpleString()
-    return both.select("a", "b", "ta", "tb").mapInArrow(test, f"a {kind}, b {kind}")
+    return both.select("a", "b", "ta", "tb").mapInArrow(tidied(test), f"a {kind}, b {kind}")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 4,

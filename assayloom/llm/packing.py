@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayloom.llm.text import binaries, clear_of, mix, slices, texts_of, width
+from assayloom.llm.text import binaries, clear_of, mix, slices, texts_of, tidied, width
 from assayloom.llm.token_counts import Encoder, encode_texts
 from assayloom.llm.word_bpe import ragged
 from assayloom.session import materialise
@@ -100,7 +100,7 @@ def _tokenised(docs: DataFrame, path: str, end_id: int, doc_id: str, text: str,
 
     source = clear_of(docs, doc_id, text)
     kind = source.schema[doc_id].dataType.simpleString()
-    return source.mapInArrow(encode_all, f"doc_id {kind}, n long, ids binary, "
+    return source.mapInArrow(tidied(encode_all), f"doc_id {kind}, n long, ids binary, "
                              + ", ".join(f"at_{j} double" for j in range(_DIMS)))
 
 
@@ -184,5 +184,5 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
     kind = keyed.schema["doc_id"].dataType.simpleString()
     ordered = (keyed.withColumn("zone", zone).select("zone", "place", "doc_id", "n", "ids")
                .repartition(width(docs), "zone").sortWithinPartitions("zone", "place", "doc_id", "n", "ids"))
-    return ordered.mapInArrow(cut, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
+    return ordered.mapInArrow(tidied(cut), f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
                               "sequence_id long, offset long" + (", ids binary" if carry_ids else ""))

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayloom.llm.text import bounded_batches, clear_of, slices, texts_of
+from assayloom.llm.text import bounded_batches, clear_of, slices, texts_of, tidied
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -276,7 +276,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: i
     import pickle
 
     rows = (docs.select(place.alias("place"), F.col(f"`{text}`").alias("text")).where(F.col("place") <= last)
-            .mapInArrow(examples, "place long, example binary").orderBy("place", "example").limit(4 * sample).collect())
+            .mapInArrow(tidied(examples), "place long, example binary").orderBy("place", "example").limit(4 * sample).collect())
     return fit_field([pickle.loads(r["example"]) for r in rows])
 
 
@@ -313,7 +313,7 @@ def find_spans(docs: DataFrame, weights: dict[str, float], doc_id: str = "doc_id
 
     source = clear_of(docs, doc_id, text)
     kind = source.schema[doc_id].dataType.simpleString()
-    return source.mapInArrow(find, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, "
+    return source.mapInArrow(tidied(find), f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, "
                              "base_sha256 string, spans string, n_added long")
 
 
@@ -340,4 +340,4 @@ def redact(docs: DataFrame, weights: dict[str, float], text: str = "text") -> Da
 
     bounded_batches(docs.sparkSession)
     plain = docs.toDF(*[f"c{k}" for k in range(len(names))])
-    return plain.mapInArrow(change, plain.schema).toDF(*names)
+    return plain.mapInArrow(tidied(change), plain.schema).toDF(*names)

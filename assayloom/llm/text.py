@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,6 +80,21 @@ def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
+def tidied(step):
+    """``step`` over Arrow batches, which gives its task's memory back at the end: workers go on to other tasks."""
+    def run(batches):
+        try:
+            yield from step(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # a C library without it keeps its free memory
+                pass
+    return run
+
+
 def binaries(parts: list[bytes]) -> pa.Array:
     return pa.array(parts, pa.binary())
 
