@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from assayloom.llm import exact_dedup, langid, ngram_join, packing, pii
 from assayloom.llm.registry import table, tokenizer
 from assayloom.llm.text import fold
-from assayloom.session import materialise
+from assayloom.session import fits_broadcast, materialise
 
 
 def _columns(docs: DataFrame) -> list:
@@ -35,9 +35,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     The model learns from the rows of ``docs`` with a language, but for every fifth id.
     """
     model = langid.fit(docs.where(fold("doc_id", 5) != 0))
-    found, share = _unused(docs, "found"), _unused(docs, "share")
-    told = langid.identify(docs, model, keep=tuple(docs.columns), results=(found, share))
-    return told.where(F.col(found) != "und").select(_columns(docs))
+    mark = _unused(docs, "mark")
+    marked = docs.withColumn(mark, F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+    # The answer hangs on the text alone, so digests meet the rows and no text moves where the rejected are few.
+    told = langid.identify(marked, model, keep=(mark,), results=("found", "share"))
+    gone = materialise(told.where("found = 'und'").select(mark).distinct(), "rejected")
+    kept = marked.join(F.broadcast(gone) if fits_broadcast(gone) else gone, mark, "left_anti")
+    return kept.select(_columns(docs))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
