@@ -252,10 +252,15 @@ def labelled_zones(text: str, most: int = 8) -> list[tuple[Zone, set[Span]]]:
     return out
 
 
-def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = 2000) -> dict[str, float]:
+def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = 2000, per_text: int = 8,
+          per_sample: int = 4) -> dict[str, float]:
     """Fit the field on the exact spans of a sample of ``sample`` documents, those of the smallest id hash.
 
-    The sample bounds the fit alone: spans are searched in every document.
+    A document gives the examples of its first ``per_text`` windows and of its first
+    ``per_text`` exact spans rewritten; at most ``per_sample`` x ``sample`` examples are
+    taken, in the order of id hash. These bounds hold for the fit alone: spans are searched
+    in every whole document. A kind that the sample does not hold has no example, and
+    the field then adds none of it.
     """
     place = F.xxhash64(F.col(f"`{doc_id}`"))
     last = docs.select(place.alias("place")).orderBy("place").limit(sample).agg(F.max("place")).first()[0]
@@ -268,7 +273,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: i
         for batch in batches:
             for part in slices(batch, "text"):
                 found = [(p, e) for p, t in zip(part["place"].to_pylist(), texts_of(part, "text").to_pylist())
-                         for e in labelled_zones(t)]
+                         for e in labelled_zones(t, per_text)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([p for p, _ in found], pa.int64()),
                      pa.array([pickle.dumps(e) for _, e in found], pa.binary())], ["place", "example"])
@@ -276,7 +281,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: i
     import pickle
 
     rows = (docs.select(place.alias("place"), F.col(f"`{text}`").alias("text")).where(F.col("place") <= last)
-            .mapInArrow(tidied(examples), "place long, example binary").orderBy("place", "example").limit(4 * sample).collect())
+            .mapInArrow(tidied(examples), "place long, example binary").orderBy("place", "example").limit(per_sample * sample).collect())
     return fit_field([pickle.loads(r["example"]) for r in rows])
 
 
