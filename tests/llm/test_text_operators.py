@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from assayloom.llm import exact_dedup, langid, lm, ngram_join, packing, pieces, pii, toxicity
 from assayloom.llm.components import components
@@ -162,6 +163,78 @@ def test_every_word_and_gram_counts_as_itself(documents):
     assert {r.key for r in model.grams.rows.select("key").collect()} == {g for w in words for n in (4, 3, 2, 1) for g in langid._grams(w, n)}
 
 
+def _language_by_hand(train, rows, orders=(4, 3, 2, 1), prior=1.0):
+    """{id: (language, score)}, counted and backed off one word at a time."""
+    def words_of(text):
+        return langid._bare(pa.array([text or ""]))[0].as_py().split()
+
+    langs = sorted({lang for _, lang, text in train if lang is not None and words_of(text)})
+    words, grams = collections.Counter(), collections.Counter()
+    for _, lang, text in train:
+        for w in words_of(text) if lang is not None else ():
+            words[w, lang] += 1
+            for n in orders:
+                for g in langid._grams(w, n):
+                    grams[g, lang] += 1
+
+    def rates(counts, key, size):
+        own = [counts[key, v] for v in langs]
+        return [math.log((c + prior * sum(own) / sum(size) + 1e-12) / (s + prior)) for c, s in zip(own, size)]
+
+    known, seen = {w for w, _ in words}, {g for g, _ in grams}
+    total = [sum(n for (_, v), n in words.items() if v == lang) for lang in langs]
+    by_order = {k: [sum(n for (g, v), n in grams.items() if v == lang and len(g) == k) for lang in langs] for k in orders}
+
+    def score(word):
+        if word in known:
+            return rates(words, word, total)
+        marked, at, found = f"<{word}>", 0, []
+        while at < len(marked):
+            n = next((n for n in orders if at + n <= len(marked) and marked[at:at + n] in seen), 0)
+            if n:
+                found.append(rates(grams, marked[at:at + n], by_order[n]))
+            at += max(1, n - 1)
+        return [sum(f) / len(found) for f in zip(*found)] if found else [0.0] * len(langs)
+
+    memory, out = {}, {}
+    for i, _, text in rows:
+        sums = [0.0] * len(langs)
+        for w in words_of(text):
+            if w not in memory:
+                own = score(w)
+                memory[w] = [x - max(own) for x in own]
+            sums = [a + b for a, b in zip(sums, memory[w])]
+        share = [math.exp(x - max(sums)) for x in sums]
+        best = max(range(len(langs)), key=lambda k: (share[k], -k))
+        lettered = any(c.isalpha() for c in text or "")
+        out[i] = (langs[best], share[best] / sum(share)) if lettered else ("und", 0.0)
+    return out
+
+
+@pytest.mark.parametrize("block", [8 << 20, 1 << 12])
+def test_language_equals_brute_force(documents, monkeypatch, block):
+    """Backoff and score, also where texts lie in finer blocks than the model."""
+    train = documents.where((fold("doc_id", 5) != 0) & (F.col("doc_id") % 3 == 0))
+    rows = [(r.doc_id, r.lang, r.text) for r in documents.collect()]
+    want = _language_by_hand([(r.doc_id, r.lang, r.text) for r in train.collect()], rows)
+    model = langid.fit(train)
+    monkeypatch.setattr(langid, "_BLOCK_BYTES", block)
+    got = {r.doc_id: r for r in langid.identify(documents, model).collect()}
+    assert got.keys() == want.keys()
+    for i, (lang, score) in want.items():
+        assert got[i].lang_pred == lang and abs(got[i].score - score) < 1e-4
+
+
+def test_language_of_long_words_and_repeats(spark):
+    rows = [(1, "en", "the cat sat on the mat"), (2, "de", "die katze sass auf der matte"), (3, None, "x" * 50_000),
+            (4, "en", None), (5, None, "\U00020000\U00020001 kat\u0301ze"), (1, "en", "the cat sat on the mat"), (None, "de", "matte 123")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = langid.fit(docs)
+    got = sorted((r.doc_id or 0, r.lang_pred) for r in langid.identify(docs, model).collect())
+    assert len(got) == len(rows) and got[0] == (0, "de") and got[1:3] == [(1, "en"), (1, "en")]
+    assert dict(got)[4] == "und" and dict(got)[2] == "de"
+
+
 # ---- near duplicates ----
 
 def _shingles(text, k):
