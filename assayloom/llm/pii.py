@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -162,15 +163,33 @@ def _scores(zone: Zone, weights: dict[str, float]) -> list[float]:
     return [sum(weights.get(f, 0.0) for f in s[3]) for s in zone.segments]
 
 
-def best_segments(zone: Zone, weights: dict[str, float], banned: list[Span] = ()) -> list[Span]:
-    """The non-overlapping segments of the highest total score, away from ``banned`` spans.
+class Stretches:
+    """What spans cover together, as separate stretches in order; a look-up is one binary search."""
+
+    def __init__(self, spans: list[Span] = ()):
+        self.starts, self.ends = [], []
+        for start, _, end in sorted(spans):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def meet(self, start: int, end: int) -> bool:
+        """Whether a stretch shares a character with start to end."""
+        at = bisect_right(self.ends, start)
+        return at < len(self.starts) and self.starts[at] < end
+
+
+def best_segments(zone: Zone, weights: dict[str, float], banned: Stretches = Stretches()) -> list[Span]:
+    """The non-overlapping segments of the highest total score, away from ``banned`` stretches.
 
     Dynamic programming over atom borders: an atom outside every segment scores 0.
     """
     n = len(zone.borders)
     ending = defaultdict(list)
     for (i, j, kind, _), s in zip(zone.segments, _scores(zone, weights)):
-        if s > 0 and not any(zone.borders[i] < e and b < zone.borders[j] for b, _, e in banned):
+        if s > 0 and not banned.meet(zone.borders[i], zone.borders[j]):
             ending[j].append((i, kind, s))
     best, back = [0.0] * n, [None] * n
     for j in range(1, n):
@@ -288,7 +307,8 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: i
 def all_spans(text: str, weights: dict[str, float]) -> tuple[list[Span], list[Span]]:
     """(exact spans, exact and added spans)."""
     exact = base_spans(text)
-    added = [s for z in zones(text) for s in best_segments(z, weights, exact)] if weights else []
+    taken = Stretches(exact)
+    added = [s for z in zones(text) for s in best_segments(z, weights, taken)] if weights else []
     return exact, sorted({*exact, *added})
 
 
