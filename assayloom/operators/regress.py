@@ -8,12 +8,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayloom.session import broadcast_limit, materialise
 
 _GRAM = -1           # block number of the feature-by-feature sums
+_SQUARES = -2        # block number of the targets' sums of squares
 _BLOCK = 1024        # targets per block of the feature-by-target sums
 
 
@@ -101,6 +102,11 @@ def stage_losses(df: DataFrame, truth: str, predictions: Sequence[str]) -> DataF
 
 # ---- many outputs ---------------------------------------------------------
 
+def all_present(name: str) -> Column:
+    """Whether an array column is neither null nor holds a null or NaN."""
+    return F.coalesce(F.forall(F.col(f"`{name}`"), lambda v: v.isNotNull() & ~F.isnan(v.cast("double"))), F.lit(False))
+
+
 def ridge_sums(
     df: DataFrame, features: str, targets: str, block: int = _BLOCK, missing: str = "error"
 ) -> DataFrame:
@@ -109,17 +115,15 @@ def ridge_sums(
     Each task adds up its own rows batch by batch and emits one set of sums; a
     second stage adds the sets, each (i, block) in one place. What is shuffled
     and held has the size of the model, never of the data. Row i = 0 belongs to
-    the constant term. A row with a null or NaN in either array, or a null array,
+    the constant term. The targets' own sums of squares come along, with the target
+    block in ``i``. A row with a null or NaN in either array, or a null array,
     is an error, or left out with ``missing="drop"``. Arrays of one column that
     differ in length are an error.
     """
     if missing not in ("error", "drop"):
         raise ValueError(f"missing must be 'error' or 'drop', not {missing!r}")
 
-    def whole(name):
-        return F.coalesce(F.forall(F.col(name), lambda v: v.isNotNull() & ~F.isnan(v.cast("double"))), F.lit(False))
-
-    usable = whole(features) & whole(targets)
+    usable = all_present(features) & all_present(targets)
     if missing == "drop":
         df = df.where(usable)
     else:
@@ -130,7 +134,7 @@ def ridge_sums(
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        gram = cross = None
+        gram = cross = squares = None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -148,13 +152,18 @@ def ridge_sums(
             if gram is None:
                 gram = np.zeros((x.shape[1], x.shape[1]))
                 cross = np.zeros((x.shape[1], y.shape[1]))
+                squares = np.zeros(y.shape[1])
             gram += x.T @ x
             cross += x.T @ y
+            squares += (y * y).sum(axis=0)
         if gram is None:
             return
-        for i in range(len(gram)):
-            rows = [(i, _GRAM, gram[i])]
-            rows += [(i, b, cross[i, s:s + block]) for b, s in enumerate(range(0, cross.shape[1], block))]
+        starts = list(enumerate(range(0, cross.shape[1], block)))
+        for i in range(-1, len(gram)):
+            if i < 0:
+                rows = [(b, _SQUARES, squares[s:s + block]) for b, s in starts] or [(0, _SQUARES, squares)]
+            else:
+                rows = [(i, _GRAM, gram[i]), *((i, b, cross[i, s:s + block]) for b, s in starts)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
                  pa.array([r[2].tolist() for r in rows], pa.list_(pa.float64()))],
@@ -177,7 +186,7 @@ def ridge_sums(
         yield pd.DataFrame({
             "i": pd.Series([k[0] for k in held], dtype="int32"),
             "block": pd.Series([k[1] for k in held], dtype="int32"),
-            "sums": list(held.values()),
+            "sums": pd.Series(list(held.values()), dtype=object),
         })
 
     schema = "i int, block int, sums array<double>"
@@ -261,6 +270,100 @@ def _score_piece(df: DataFrame, rows, features: str, out: str) -> DataFrame:
     return affine_many(df, features, [r["coef"] for r in rows], [r["intercept"] for r in rows], out)
 
 
+def _conjugate_steps(matrix, right, centred, cross, squares, inner, n: float, steps: int):
+    """(unknowns, loss of each target before the first step and after each) of matrix @ v = right, column by column.
+
+    The loss is the mean squared error of the coefficients inner @ v, from the
+    centred sums of products ``centred``, ``cross`` and ``squares``.
+    """
+    import numpy as np
+
+    def loss(v):
+        w = inner @ v
+        return (squares - 2 * (w * cross).sum(axis=0) + (w * (centred @ w)).sum(axis=0)) / n
+
+    def ratio(a, b):
+        return np.divide(a, b, out=np.zeros_like(a), where=b > 0)
+
+    diagonal = np.diag(matrix).copy()
+    diagonal[diagonal <= 0] = 1.0
+    v, left = np.zeros_like(right), right.copy()
+    ready = left / diagonal[:, None]
+    way, size = ready.copy(), (left * ready).sum(axis=0)
+    still = size * 1e-28
+    losses = [loss(v)]
+    for _ in range(steps):
+        ahead = matrix @ way
+        far = np.where(size > still, ratio(size, (way * ahead).sum(axis=0)), 0.0)
+        v = v + far * way
+        left = left - far * ahead
+        ready = left / diagonal[:, None]
+        before, size = size, (left * ready).sum(axis=0)
+        way = ready + ratio(size, before) * way
+        losses.append(loss(v))
+    return v, np.array(losses)
+
+
+def fit_ridge_steps(
+    df: DataFrame, features: str, targets: str, reg: float = 1.0, flag: str | None = None, steps: int | None = None,
+    block: int = _BLOCK, missing: str = "error",
+) -> tuple[list[DataFrame], DataFrame]:
+    """The models of ``fit_ridge``, or with a ``flag`` of ``fit_stacked_ridge``, by conjugate gradients, with their losses.
+
+    All steps work on one pass's sums, in a task for each block of targets. The
+    second result is (stage, epoch, loss): the mean squared error over all targets
+    before the first step and after each. As many steps as there are features
+    (the default) reach the closed form up to rounding.
+    """
+    import numpy as np
+
+    from assayloom.functions.vectors import append_value
+
+    if flag is not None:
+        df = df.select(append_value(features, F.col(flag).cast("double")).alias("_u"), F.col(targets).alias("_y"))
+        features, targets = "_u", "_y"
+    sums = materialise(ridge_sums(df, features, targets, block, missing), "ridge-sums")
+    gram = _gram(sums)
+    if not len(gram):
+        raise ValueError("no rows to fit on")
+    n, d = gram[0, 0], len(gram) - 1
+    centred = gram[1:, 1:] - np.outer(gram[1:, 0], gram[0, 1:]) / n
+    blocks = sums.where(F.col("block") > _GRAM).unionByName(
+        sums.where(F.col("block") == _SQUARES).select(F.lit(-1).alias("i"), F.col("i").alias("block"), "sums"))
+    models, histories = [], []
+    stages = [("base", d if flag is None else d - 1)] + ([("prediction", d)] if flag is not None else [])
+    for name, width in stages:
+        inner = np.eye(width)
+        if name == "prediction":
+            inner[:-1, :-1] = _coefficient_products(models[0], d - 1)
+        own = centred[:width, :width]
+        matrix = inner @ own @ inner + reg * inner
+        shared = df.sparkSession.sparkContext.broadcast((inner, own, matrix, gram[0, 1:1 + width]))
+        turns = width if steps is None else steps
+
+        def solve(pdf):
+            import pandas as pd
+
+            inner, own, matrix, totals = shared.value
+            pdf = pdf.sort_values("i")
+            squares, cross = np.array(pdf["sums"].iloc[0], float), np.array(pdf["sums"].tolist()[1:2 + len(own)], float)
+            mean = cross[0] / n
+            centred = cross[1:] - np.outer(totals, mean)
+            v, losses = _conjugate_steps(matrix, inner @ centred, own, centred, squares - n * mean * mean, inner, n, turns)
+            coef = inner @ v
+            start = int(pdf["block"].iloc[0]) * block
+            return pd.DataFrame({
+                "target": np.arange(start, start + coef.shape[1], dtype="int32"), "coef": list(coef.T),
+                "intercept": mean - (totals / n) @ coef, "losses": list(losses.T)})
+
+        found = materialise(blocks.groupBy("block").applyInPandas(
+            solve, "target int, coef array<double>, intercept double, losses array<double>"), "coefficients")
+        models.append(found.drop("losses"))
+        histories.append(found.select(F.posexplode("losses").alias("epoch", "loss")).groupBy("epoch")
+                         .agg(F.avg("loss").alias("loss")).select(F.lit(name).alias("stage"), "epoch", "loss"))
+    return models, histories[0] if len(histories) == 1 else histories[0].unionByName(histories[1])
+
+
 # ---- two stages -----------------------------------------------------------
 
 def fit_stacked(

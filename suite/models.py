@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from assayloom.functions.names import member_flag
+from assayloom.operators import layers as N
 from assayloom.operators import regress as R
 from assayloom.session import spread_scan
 from suite.registry import query
@@ -119,6 +120,15 @@ def multi_output_scoring(t):
     ).withColumn("prediction", F.round("prediction", 2))
 
 
+_TWO_STAGES = """s AS (SELECT l_quantity AS x, CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS f, l_extendedprice AS y FROM lineitem),
+c AS (SELECT COUNT(*) AS n, AVG(x) AS mx, AVG(f) AS mf, AVG(y) AS my FROM s),
+g AS (SELECT SUM((x - mx) * (x - mx)) AS xx, SUM((x - mx) * (f - mf)) AS xf, SUM((f - mf) * (f - mf)) AS ff,
+  SUM((x - mx) * (y - my)) AS xy, SUM((f - mf) * (y - my)) AS fy, SUM((y - my) * (y - my)) AS yy FROM s, c),
+b AS (SELECT xy / (xx + 1) AS w FROM g),
+k AS (SELECT w, w * w * xx + 1 AS a, w * xf AS b, ff + 1 AS d, w * xy AS p, fy AS q FROM g, b),
+v AS (SELECT w, (p * d - b * q) / (a * d - b * b) AS v1, (a * q - b * p) / (a * d - b * b) AS v2 FROM k)"""
+
+
 @query()
 def two_stage_ridge(t):
     table = t.embeddings.select(
@@ -154,20 +164,52 @@ def boosted_regression_summary(t):
         (F.avg((p - y) * (p - y)) < F.var_pop(y)).alias("beats_the_mean"))
 
 
-@query("""WITH s AS (SELECT l_quantity AS x, CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS f, l_extendedprice AS y FROM lineitem),
-c AS (SELECT COUNT(*) AS n, AVG(x) AS mx, AVG(f) AS mf, AVG(y) AS my FROM s),
-g AS (SELECT SUM((x - mx) * (x - mx)) AS xx, SUM((x - mx) * (f - mf)) AS xf, SUM((f - mf) * (f - mf)) AS ff,
-  SUM((x - mx) * (y - my)) AS xy, SUM((f - mf) * (y - my)) AS fy FROM s, c),
-b AS (SELECT xy / (xx + 1) AS w FROM g),
-k AS (SELECT w, w * w * xx + 1 AS a, w * xf AS b, ff + 1 AS d, w * xy AS p, fy AS q FROM g, b),
-v AS (SELECT w, (p * d - b * q) / (a * d - b * b) AS v1, (a * q - b * p) / (a * d - b * b) AS v2 FROM k)
+def _one_feature(t):
+    return _lines(t).select(
+        F.array("l_quantity").alias("features"), member_flag("l_returnflag", ["R"]).alias("flag"),
+        F.array("l_extendedprice").alias("targets"))
+
+
+@query(f"""WITH {_TWO_STAGES}
 SELECT ROUND(w, 2) AS w_stage_one, ROUND(w * v1, 2) AS w_quantity, ROUND(v2, 2) AS w_flag FROM v""")
 def two_stage_ridge_closed_form(t):
     """One feature and one target: stage two is a fit on the stage-one prediction and the flag."""
-    table = _lines(t).select(
-        F.array("l_quantity").alias("features"), member_flag("l_returnflag", ["R"]).alias("flag"),
-        F.array("l_extendedprice").alias("targets"))
+    table = _one_feature(t)
     base, second = R.fit_stacked_ridge(table, "features", "flag", "targets", 1.0)
     return base.select("target", F.col("coef")[0].alias("w")).join(second.select("target", "coef"), "target").select(
         F.round("w", 2).alias("w_stage_one"), F.round(F.col("coef")[0], 2).alias("w_quantity"),
         F.round(F.col("coef")[1], 2).alias("w_flag"))
+
+
+@query(f"""WITH {_TWO_STAGES},
+l AS (SELECT n, yy, yy - 2 * w * xy + w * w * xx AS base,
+  yy - 2 * (w * v1 * xy + v2 * fy) + w * v1 * w * v1 * xx + 2 * w * v1 * v2 * xf + v2 * v2 * ff AS second FROM g, c, v)
+SELECT 'base' AS stage, CAST(2 AS BIGINT) AS n_epochs, ROUND(yy / n / 1000000, 4) AS first_loss, ROUND(base / n / 1000000, 4) AS last_loss,
+  CAST(0 AS BIGINT) AS n_rising FROM l
+UNION ALL SELECT 'prediction', 3, ROUND(yy / n / 1000000, 4), ROUND(second / n / 1000000, 4), 0 FROM l""")
+def ridge_losses_by_step(t):
+    """Loss by step of both stages: it starts at the variance, never rises and ends at the closed form."""
+    _, history = R.fit_ridge_steps(_one_feature(t), "features", "targets", 1.0, "flag")
+    later = history.select("stage", (F.col("epoch") - 1).alias("epoch"), F.col("loss").alias("later"))
+    return history.join(later, ["stage", "epoch"], "left").groupBy("stage").agg(
+        F.count(F.lit(1)).alias("n_epochs"), F.round(F.min_by("loss", "epoch") / 1000000, 4).alias("first_loss"),
+        F.round(F.max_by("loss", "epoch") / 1000000, 4).alias("last_loss"),
+        F.count_if(F.col("later") > F.col("loss") * (1 + 1e-9)).alias("n_rising"))
+
+
+@query("""SELECT COUNT(*) AS n_scored, CAST(0 AS BIGINT) AS n_not_finite, CAST(41 AS BIGINT) AS n_epochs, TRUE AS falls,
+  TRUE AS beats_the_line FROM lineitem""")
+def layered_fit_summary(t):
+    """Two stages with hidden layers on a target that bends at half the largest quantity, where a line does little."""
+    table = _lines(t).select(
+        F.array("l_quantity", "l_discount").alias("features"), member_flag("l_returnflag", ["R"]).cast("double").alias("flag"),
+        F.array((F.abs(F.col("l_quantity") - 25) * (1 - F.col("l_discount"))).cast("double")).alias("targets"))
+    model, history = N.fit_layers(table, "features", "targets", (16,), "flag", (8,), epochs=40, rate=0.06)
+    line = R.score_ridge(table, R.fit_ridge(table, "features", "targets", 0.0), "features", "line")
+    scored = N.score_layers(line, model, "features", "flag")
+    p, q, y = F.col("prediction")[0], F.col("line")[0], F.col("targets")[0]
+    judged = scored.agg(
+        F.count(F.lit(1)).alias("n_scored"), F.count_if(p.isNull() | F.isnan(p) | (F.abs(p) == float("inf"))).alias("n_not_finite"),
+        (F.avg((p - y) * (p - y)) < 0.5 * F.avg((q - y) * (q - y))).alias("beats_the_line"))
+    epochs = history.agg(F.count(F.lit(1)).alias("n"), (F.max_by("loss", "epoch") < 0.5 * F.min_by("loss", "epoch")).alias("falls"))
+    return judged.withColumns({"n_epochs": epochs.select("n").scalar(), "falls": epochs.select("falls").scalar()})

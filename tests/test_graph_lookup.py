@@ -1,4 +1,7 @@
 import hashlib
+import uuid
+
+import pytest
 
 from pyspark.sql import types as T
 
@@ -108,3 +111,56 @@ def test_provider_takes_and_gives_all_types(spark):
     assert len(got) == 2 and not got[dt.date(1999, 1, 1)].found
     keys = spark.createDataFrame([(Decimal("2.50"),)], "k decimal(10,2)")
     assert L.lookup_provider(keys, "k", lambda k: {"v": str(k)}, T._parse_datatype_string("v string")).first().v == "2.50"
+
+
+@pytest.mark.parametrize("pieces", [1, 3])
+def test_stored_answers_are_not_asked_again(spark, pieces):
+    calls = spark.sparkContext.accumulator(0)
+    table = f"answers_{uuid.uuid4().hex}"
+    store = L.AnswerTable(spark, table, "name", T._parse_datatype_string("w int"), 4)
+    with pytest.raises(ValueError, match="nothing was asked"):
+        store.answers()
+
+    def ask(names, down, again=True):
+        def provider(name):
+            calls.add(1)
+            if down and name == "c":
+                raise RuntimeError("down")
+            return {"w": len(name)} if name != "b" else None
+
+        df = spark.createDataFrame([(n,) for n in names], "name string")
+        before = calls.value
+        got = {r.name: (r.w, r.found, r.error, r.run) for r in store.ask(df, provider, again, pieces).collect()}
+        return got, calls.value - before
+
+    try:
+        got, asked = ask(["a", "a", "b", "c", None], down=True)
+        assert (got, asked) == ({"a": (1, True, None, 1), "b": (None, False, None, 1), "c": (None, False, "RuntimeError: down", 1)}, 3)
+        assert ask(["a", "c"], down=True, again=False) == ({"a": got["a"], "c": got["c"]}, 0)
+        assert ask(["c", "dd", "b"], down=False) == ({"b": got["b"], "c": (1, True, None, 3), "dd": (2, True, None, 3)}, 2)
+        assert ask([], down=False) == ({}, 0)
+        assert {r.name for r in store.answers().collect()} == {"a", "b", "c", "dd"}
+        plan = store.answers()._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+        with pytest.raises(ValueError, match="may not be called"):
+            L.AnswerTable(spark, table, "name", T._parse_datatype_string("run int")).ask(spark.createDataFrame([("a",)], "name string"), len)
+    finally:
+        store.drop()
+
+
+def test_a_failing_name_is_tried_again(spark):
+    calls = spark.sparkContext.accumulator(0)
+    seen = {}
+
+    def provider(name):
+        calls.add(1)
+        seen[name] = seen.get(name, 0) + 1
+        if seen[name] < 3:
+            raise RuntimeError("busy")
+        return {"n": seen[name]}
+
+    names = spark.createDataFrame([("a",), ("b",)], "name string")
+    fields = T._parse_datatype_string("n int")
+    got = L.lookup_provider(names, "name", provider, fields, 1, tries=3, wait=0.01).collect()
+    assert [(r.n, r.error) for r in got] == [(3, None)] * 2 and calls.value == 6
+    assert L.lookup_provider(names, "name", provider, fields, 1, tries=2, wait=0.01).first().error == "RuntimeError: busy"

@@ -125,3 +125,32 @@ def test_arrays_of_different_lengths_are_an_error(spark, rows, parts):
     df = spark.createDataFrame(rows, "features array<double>, targets array<double>").repartition(parts)
     with pytest.raises(Exception, match="different lengths"):
         R.ridge_sums(df, "features", "targets").collect()
+
+
+@pytest.mark.parametrize("block", [2, 1024])
+@pytest.mark.parametrize("flag", [None, "flag"])
+def test_steps_end_at_the_closed_form(spark, block, flag):
+    df, x, y, _ = _data(spark)
+    models, history = R.fit_ridge_steps(df, "x", "y", 2.0, flag, block=block)
+    want = [R.fit_ridge(df, "x", "y", 2.0)] if flag is None else list(R.fit_stacked_ridge(df, "x", "flag", "y", 2.0))
+    assert len(models) == len(want)
+    for got, closed in zip(models, want):
+        got, closed = got.orderBy("target").collect(), closed.orderBy("target").collect()
+        np.testing.assert_allclose([r.coef for r in got], [r.coef for r in closed], rtol=1e-6, atol=1e-9)
+        np.testing.assert_allclose([r.intercept for r in got], [r.intercept for r in closed], rtol=1e-6, atol=1e-9)
+    losses = {(r.stage, r.epoch): r.loss for r in history.collect()}
+    assert len(losses) == 4 if flag is None else len(losses) == 4 + 5
+    np.testing.assert_allclose(losses["base", 0], ((y - y.mean(0)) ** 2).mean())
+    beta = _ridge(x, y, 2.0)
+    np.testing.assert_allclose(losses["base", 3], ((y - beta[0] - x @ beta[1:]) ** 2).mean())
+    assert all(losses[s, e] >= losses[s, e + 1] - 1e-12 for s, e in losses if (s, e + 1) in losses)
+
+
+def test_steps_without_spread_or_rows(spark):
+    flat = spark.createDataFrame([(1.0, 2.0)] * 5, "a double, b double").select(F.array("a").alias("x"), F.array("b").alias("y"))
+    models, history = R.fit_ridge_steps(flat, "x", "y", 1.0, steps=3)
+    row = models[0].first()
+    assert (row.coef, row.intercept) == ([0.0], 2.0)
+    assert [r.loss for r in history.orderBy("epoch").collect()] == [0.0] * 4
+    with pytest.raises(ValueError, match="no rows"):
+        R.fit_ridge_steps(flat.limit(0), "x", "y")
