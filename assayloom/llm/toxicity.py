@@ -12,20 +12,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayloom.llm.text import bounded_batches, clear_of, coded_words, hashes, slices, texts_of
-from assayloom.session import materialise
+from assayloom.session import broadcast_limit, materialise
 
 
+#: Bytes of a key and its score.
+_SCORE_BYTES = 12
 #: Lengths of the word beginnings that stand in for a word of too few occurrences, longest first.
 _STEMS = (8, 7, 6, 5, 4)
 
 
 @dataclass(frozen=True)
 class TokenScores:
-    """Log-odds of the telling words and word beginnings by their 64-bit hash, ascending; every token loses ``drift``."""
+    """Log-odds of the telling words and word beginnings by their 64-bit hash, ascending; every token loses ``drift``.
+
+    ``stored`` has them as a table (key, score) in place of the arrays where they exceed the broadcast limit.
+    """
 
     keys: np.ndarray
     values: np.ndarray
     drift: float
+    stored: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -152,7 +158,8 @@ def token_scores(labelled: DataFrame, text: str = "text", label: str = "toxic",
     document decides; words and beginnings go by their 64-bit hash, so that a score
     is one word's own and a word never seen has none. A score is the log-odds of the
     classes under a Dirichlet prior of ``prior`` words spread as all text is, kept
-    where the likelihood ratio exceeds the noise of so many comparisons.
+    where the likelihood ratio exceeds the noise of so many comparisons. Scores that
+    exceed the session's broadcast limit stay a table, which ``measure`` joins.
     """
     bounded_batches(labelled.sparkSession)
     rows = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{label}`").cast("int").alias("label"))
@@ -181,7 +188,7 @@ def token_scores(labelled: DataFrame, text: str = "text", label: str = "toxic",
     total = counts.agg(
         F.sum(F.when(F.col("key").isNull(), F.col("clean"))).alias("clean"), F.sum(F.when(F.col("key").isNull(), F.col("toxic"))).alias("toxic"),
         F.count("key").alias("seen")).first()
-    shown = []
+    shown = stored = None
     if total["clean"] and total["toxic"]:
         both = total["clean"] + total["toxic"]
         seen = F.col("clean") + F.col("toxic")
@@ -195,11 +202,19 @@ def token_scores(labelled: DataFrame, text: str = "text", label: str = "toxic",
 
         # Likelihood ratio against equal rates, beyond what the best of so many keys reaches by chance.
         noise = 4 * math.log(max(2, total["seen"]))
-        shown = (counts.where("key IS NOT NULL").where(2 * (gain("clean") + gain("toxic")) > noise)
-                 .select("key", (odds("toxic") - odds("clean")).alias("score")).collect())
-    keys = np.array([r["key"] for r in shown], np.int64).view(np.uint64)
+        shown = materialise(
+            counts.where("key IS NOT NULL").where(2 * (gain("clean") + gain("toxic")) > noise)
+            .select("key", (odds("toxic") - odds("clean")).cast("float").alias("score")), "token-scores")
+        if shown.count() * _SCORE_BYTES > broadcast_limit(labelled.sparkSession):
+            shown, stored = None, shown
+    found = shown.collect() if shown is not None else []
+    return TokenScores(*_ascending([r["key"] for r in found], [r["score"] for r in found]), drift, stored)
+
+
+def _ascending(keys: list[int], values: list[float]) -> tuple[np.ndarray, np.ndarray]:
+    keys = np.array(keys, np.int64).view(np.uint64)
     order = np.argsort(keys)
-    return TokenScores(keys[order], np.array([r["score"] for r in shown], np.float32)[order], drift)
+    return keys[order], np.array(values, np.float32)[order]
 
 
 _SEGMENT = "struct<first_token:long,end_token:long,score:double>"
@@ -213,17 +228,11 @@ def measure(docs: DataFrame, scores: TokenScores, doc_id: str = "doc_id", text:
     rows have the token score (to ``bins``) in ``bin``, null elsewhere, and the count in ``tokens``.
     """
     source = clear_of(docs, doc_id, text)
-    shared = source.sparkSession.sparkContext.broadcast(scores)  # the telling keys
     kind = source.schema[doc_id].dataType.simpleString()
-    names = ["doc_id", "segments", "tokens", "bin"]
-
-    def lists(found):
-        """A list of segments for each text; none at all for the rows of the histogram."""
-        flat = [s for own in found for s in own]
-        ends = np.concatenate(([0], np.cumsum([len(own) for own in found]))).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
-            [pa.array([s[0] for s in flat], pa.int64()), pa.array([s[1] for s in flat], pa.int64()),
-             pa.array([s[2] for s in flat], pa.float64())], ["first_token", "end_token", "score"]))
+    schema = f"doc_id {kind}, segments array<{_SEGMENT}>, tokens long, bin double"
+    if scores.stored is not None:
+        return _measured_by_join(source.toDF("doc_id", "text"), scores, bins, schema)
+    shared = source.sparkSession.sparkContext.broadcast(scores)  # the telling keys, within the broadcast limit
 
     def apply(batches):
         held: dict[int, int] = {}
@@ -231,19 +240,76 @@ def measure(docs: DataFrame, scores: TokenScores, doc_id: str = "doc_id", text:
         for batch in batches:
             of_id = batch.schema.field(doc_id).type
             for part in slices(batch, text):
-                offsets, values = _values(part, text, shared.value)
-                place, n = np.unique(np.round(values / bins).astype(np.int64), return_counts=True)
-                for p, k in zip(place.tolist(), n.tolist()):
-                    held[p] = held.get(p, 0) + k
-                found = [all_segments(values[a:b], 1e-9) for a, b in zip(offsets[:-1], offsets[1:])]
+                yield _measured(part[doc_id], *_values(part, text, shared.value), bins, held)
+        if held:
+            yield _histogram(held, of_id, bins)
+
+    return source.mapInArrow(apply, schema)
+
+
+_MEASURED = ["doc_id", "segments", "tokens", "bin"]
+
+
+def _lists(found) -> pa.ListArray:
+    """A list of segments for each text; none at all for the rows of the histogram."""
+    flat = [s for own in found for s in own]
+    ends = np.concatenate(([0], np.cumsum([len(own) for own in found]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
+        [pa.array([s[0] for s in flat], pa.int64()), pa.array([s[1] for s in flat], pa.int64()),
+         pa.array([s[2] for s in flat], pa.float64())], ["first_token", "end_token", "score"]))
+
+
+def _measured(ids: pa.Array, offsets, values, bins: float, held: dict[int, int]) -> pa.RecordBatch:
+    """The rows of a slice's texts; their token scores are counted in ``held``."""
+    place, n = np.unique(np.round(values / bins).astype(np.int64), return_counts=True)
+    for p, k in zip(place.tolist(), n.tolist()):
+        held[p] = held.get(p, 0) + k
+    found = [all_segments(values[a:b], 1e-9) for a, b in zip(offsets[:-1], offsets[1:])]
+    return pa.RecordBatch.from_arrays([ids, _lists(found), pa.array(np.diff(offsets)), pa.nulls(len(ids), pa.float64())], _MEASURED)
+
+
+def _histogram(held: dict[int, int], of_id: pa.DataType, bins: float) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.nulls(len(held), of_id), _lists([()] * len(held)), pa.array(list(held.values()), pa.int64()),
+         pa.array([p * bins for p in held])], _MEASURED)
+
+
+def _measured_by_join(source: DataFrame, scores: TokenScores, bins: float, schema: str) -> DataFrame:
+    """As ``measure`` for any number of telling keys: each slice of texts asks for its own distinct keys.
+
+    A key is asked for once a slice, so the most frequent one has a row a slice, and a
+    slice gets back no more scores than it has distinct words and beginnings.
+    """
+    drift = scores.drift
+
+    def ask(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                distinct = _tokens(part, "text")[2]
+                keys = np.unique(np.concatenate([key[applies] for key, applies in _features(distinct)]))
+                ends = pa.array([0, part.num_rows], pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [part[doc_id], lists(found), pa.array(np.diff(offsets)), pa.nulls(part.num_rows, pa.float64())], names)
+                    [pa.ListArray.from_arrays(ends, part["doc_id"]), pa.ListArray.from_arrays(ends, part["text"]),
+                     pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), pa.array(keys.view(np.int64)))],
+                    ["ids", "texts", "keys"])
+
+    kind = source.schema["doc_id"].dataType.simpleString()
+    asked = materialise(source.mapInArrow(ask, f"ids array<{kind}>, texts array<string>, keys array<long>")
+                        .withColumn("slice", F.monotonically_increasing_id()), "slices")
+    told = (asked.select("slice", F.explode("keys").alias("key")).join(scores.stored.hint("merge"), "key")
+            .select(F.col("slice").alias("of"), "key", "score"))
+
+    def apply(left, right):
+        held, out = {}, []
+        ids, texts = (pc.list_flatten(left[c].combine_chunks()) for c in ("ids", "texts"))
+        own = TokenScores(*_ascending(right["key"].to_pylist(), right["score"].to_pylist()), drift)
+        part = pa.RecordBatch.from_arrays([ids, texts], ["doc_id", "text"])
+        out.append(_measured(ids, *_values(part, "text", own), bins, held))
         if held:
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(held), of_id), lists([()] * len(held)), pa.array(list(held.values()), pa.int64()),
-                 pa.array([p * bins for p in held])], names)
+            out.append(_histogram(held, ids.type, bins))
+        return pa.Table.from_batches(out)
 
-    return source.mapInArrow(apply, f"doc_id {kind}, segments array<{_SEGMENT}>, tokens long, bin double")
+    return asked.drop("keys").groupBy("slice").cogroup(told.groupBy("of")).applyInArrow(apply, schema)
 
 
 #: Segments that background text may hold per token above the bound from which they are counted.

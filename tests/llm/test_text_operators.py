@@ -530,6 +530,50 @@ def test_lm_edges(edges, edge_rows, nothing):
     assert all(r.train_tokens == 0 and r.n_known == 0 and r.base_score == 0 for r in alone)
 
 
+def _mixed_scores(rows, held):
+    """Bigrams mixed with words by the count of the context, weights by expectation-maximisation on leave-one-out counts."""
+    streams = [WORD.findall((t or "").translate(LOWER)) + [" end"] for _, t in rows]
+    learned = [s for s, h in zip(streams, held) if not h]
+    word = collections.Counter(w for s in learned for w in s)
+    pair = collections.Counter(p for s in learned for p in zip([" start", *s], s))
+    context = collections.Counter(c for s in learned for c in [" start", *s[:-1]])
+    n, v = sum(word.values()), len(word)
+
+    def bucket(c):
+        return 0 if c <= 0 else min(int(math.log2(c)) + 1, 40)
+
+    deleted = collections.defaultdict(list)
+    for s in learned:
+        for c, w in zip([" start", *s], s):
+            rate = (word[w] - 1 + 0.1) / (n - 1 + 0.1 * (v + 1))
+            seen = pair[c, w] - 1
+            deleted[bucket(context[c] - 1)].append(seen / (context[c] - 1) / rate if seen else 0.0)
+    weight = collections.defaultdict(float)
+    for b, ratios in deleted.items():
+        x = 0.5 if b else 0.0
+        for _ in range(200):
+            x = sum(x * r / (x * r + 1 - x) if x < 1 or r else 0.0 for r in ratios) / len(ratios)
+        weight[b] = min(x, 1 - 1e-6)
+    out = []
+    for s in streams:
+        total = 0.0
+        for c, w in zip([" start", *s], s):
+            x, base = weight[bucket(context[c])], (word[w] + 0.1) / (n + 0.1 * (v + 1))
+            total += math.log10((x * pair[c, w] / context[c] if context[c] else 0.0) + (1 - x) * base)
+        out.append(total)
+    return out
+
+
+def test_lm_mixture_equals_brute_force(documents):
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    held = [zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows]
+    got = {r.doc_id: r.score for r in lm.score(documents.withColumn("h", fold("doc_id", 10) == 0), "h").collect()}
+    want = dict(zip([i for i, _ in rows], _mixed_scores(rows, held)))
+    # The ratios of the deleted estimates are added up in bins of a twentieth, so weights are near, not equal.
+    assert got.keys() == want.keys()
+    assert max(abs(got[i] - want[i]) / abs(want[i]) for i in want) < 2e-3
+
+
 # ---- toxicity ----
 
 def _all_maximal(values):
@@ -570,6 +614,85 @@ def test_toxicity_of_held_out_documents(spark):
     assert {r.doc_id for r in toxicity.passages(df, model).collect()} == {d for d in range(400) if d % 5 == 0}
 
 
+def _toxicity_by_hand(rows, labels):
+    """Scores of texts by the operator's definition, one text at a time."""
+    def tokens(t):
+        return re.sub(r"[\W_]+", " ", (t or "").lower()).split()
+
+    def forms(w):
+        return [(0, w)] + [(k, w[:k]) for k in (8, 7, 6, 5, 4) if len(w) > k]
+
+    count = {c: collections.Counter(f for d, t in rows if labels.get(d) == c for w in set(tokens(t)) for f in forms(w)) for c in (0, 1)}
+    words = {c: sum(len(set(tokens(t))) for d, t in rows if labels.get(d) == c) for c in (0, 1)}
+    both, score = sum(words.values()), {}
+    for f in {*count[0], *count[1]}:
+        seen = count[0][f] + count[1][f]
+        gain = sum(count[c][f] * math.log(count[c][f] * both / (seen * words[c])) for c in (0, 1) if count[c][f])
+        if 2 * gain > 4 * math.log(max(2, len({*count[0], *count[1]}))):
+            a = {c: count[c][f] + seen * 2000.0 / both + 0.5 for c in (0, 1)}
+            odds = {c: math.log(a[c]) - math.log(max(words[c] + 2000.0 - a[c], 1.0)) for c in (0, 1)}
+            score[f] = odds[1] - odds[0]
+    values = {d: [next((score[f] for f in forms(w) if f in score), 0.0) - 0.5 for w in tokens(t)] for d, t in rows}
+    flat = np.round(np.array([v for vs in values.values() for v in vs]) / 0.05) * 0.05
+    low, high = 0.0, 64.0
+    while np.exp(np.minimum(high / 2 * flat, 600)).mean() >= 1:
+        high /= 2
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if np.exp(np.minimum(middle * flat, 600)).mean() < 1 else (low, middle)
+    lam, k = high, float((flat > 0).mean())
+    bound = max(0.0, math.log(k / 0.01) / lam)
+    found = {d: sorted((s for _, _, s in toxicity.all_segments(vs, 1e-9)), reverse=True) for d, vs in values.items()}
+    many = max(k, sum(s >= bound for own in found.values() for s in own) / len(flat) * math.exp(lam * bound))
+
+    def evidence(d):
+        own, n = found[d], max(1, len(values[d]))
+        if not own:
+            return 0.0
+        out = -math.log(max(1e-26, -math.expm1(-k * n * math.exp(-lam * own[0]))))
+        for r, s in enumerate((s for s in own if s >= bound), 1):
+            e = many * n * math.exp(-lam * s)
+            if r > 1 and r > e:
+                out = max(out, r * math.log(r / e) - r + e - math.log(r * (r + 1) / 2))
+        return min(60.0, max(0.0, out))
+
+    return {d: evidence(d) for d in found}
+
+
+@pytest.mark.parametrize("limit", ["10485760", "-1"])
+def test_toxicity_equals_brute_force(spark, limit):
+    """The score is a logistic curve of the evidence, whether telling keys are broadcast or joined."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for d in range(300):
+        words = [f"w{v}" for v in rng.integers(0, 150, int(rng.integers(5, 120)))]
+        if d % 4 == 0:
+            for _ in range(int(rng.integers(1, 5))):
+                at = int(rng.integers(0, len(words)))
+                words[at:at] = ["Awful", f"disgusting{d % 3}", "vile"][:int(rng.integers(1, 4))]
+        rows.append((d, " ".join(words)))
+    rows += [(300, None), (301, ""), (302, " . "), (303, "vile " * 3000)]
+    labels = {d: int(d % 4 == 0) for d in range(300) if d % 5}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    marked = spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        tokens = toxicity.token_scores(df.join(marked, "doc_id"))
+        assert (tokens.stored is None) == (limit != "-1")
+        measured = toxicity.measure(df, tokens).cache()
+        model = toxicity.calibrate(measured, marked, tokens)
+        got = {r.doc_id: r.score for r in toxicity.score(measured, model).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = _toxicity_by_hand(rows, labels)
+    assert got.keys() == want.keys() and len({round(x, 3) for x in want.values()}) > 20
+    for d, x in want.items():
+        assert math.isclose(got[d], 1 / (1 + math.exp(-(model.slope * x + model.shift))), abs_tol=2e-3), d
+    # The curve is that of the labelled texts: its residuals add up to nothing, but for the light shrinking and rounding.
+    assert abs(sum(got[d] - y for d, y in labels.items())) < 0.5
+
+
 def test_token_scores_are_a_words_own(spark):
     """A word's counts are its own among many, and a word never seen has no score."""
     rng = np.random.default_rng(8)
