@@ -18,7 +18,7 @@ from assayloom.operators.regress import all_present
 from assayloom.session import materialise
 
 _PIECE = 1 << 16     # numbers in one row of gradient sums
-_ROWS = 1024         # rows whose layers a task holds at a time
+_CELLS = 1 << 22     # numbers of the widest layer that a task holds at a time
 #: Decay of the two moments, and what keeps a step finite.
 _FIRST, _SECOND, _TINY = 0.9, 0.999, 1e-8
 
@@ -104,6 +104,10 @@ def _moments(df: DataFrame, name: str) -> tuple[np.ndarray, np.ndarray, int]:
     return np.array([r["mean"] for r in spread], float), deviation, spread[0]["n"] if spread else 0
 
 
+def _rows_at_once(model: LayeredModel) -> int:
+    return max(1, _CELLS // max(max(w.shape) for w in model.weights))
+
+
 def _matrix(column, width: int) -> np.ndarray:
     """Rows of an Arrow list column."""
     return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), width)
@@ -112,7 +116,7 @@ def _matrix(column, width: int) -> np.ndarray:
 def _gradient_sums(model: LayeredModel, rows: DataFrame) -> tuple[float, np.ndarray]:
     """(sum of squared errors, gradient) over all rows, added up in the order of the tasks."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    width, outputs = len(model.shift), len(model.out_shift)
+    width, outputs, at_once = len(model.shift), len(model.out_shift), _rows_at_once(model)
 
     def partial(batches):
         import pyarrow as pa
@@ -120,8 +124,8 @@ def _gradient_sums(model: LayeredModel, rows: DataFrame) -> tuple[float, np.ndar
 
         held, loss, total = shared.value, 0.0, None
         for batch in batches:
-            for start in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(start, _ROWS)
+            for start in range(0, batch.num_rows, at_once):
+                part = batch.slice(start, at_once)
                 x = (_matrix(part["x"], width) - held.shift) / held.scale
                 y = (_matrix(part["y"], outputs) - held.out_shift) / held.out_scale
                 flag = part["flag"].to_numpy(zero_copy_only=False)
@@ -246,7 +250,7 @@ def score_layers(df: DataFrame, model: LayeredModel, features: str, flag: str |
 
     if (flag is None) != (model.joint is None):
         raise ValueError("a model of two stages needs the flag, one of a single stage has none")
-    shared, width = df.sparkSession.sparkContext.broadcast(model), len(model.shift)
+    shared, width, at_once = df.sparkSession.sparkContext.broadcast(model), len(model.shift), _rows_at_once(model)
 
     def outputs(x, flag):
         held = shared.value
@@ -261,7 +265,7 @@ def score_layers(df: DataFrame, model: LayeredModel, features: str, flag: str |
 
         found = pd.Series([None] * len(x), index=x.index, dtype=object)
         some = x.notna() & flag.notna()
-        for at in np.array_split(np.nonzero(some.to_numpy())[0], max(1, -(-int(some.sum()) // _ROWS))):
+        for at in np.array_split(np.nonzero(some.to_numpy())[0], max(1, -(-int(some.sum()) // at_once))):
             if len(at):
                 found.iloc[at] = pd.Series(outputs(x.iloc[at], flag.iloc[at]), dtype=object).to_numpy()
         return found

@@ -39,6 +39,7 @@ def _loop(model, x, y, flag, epochs, rate):
 @pytest.mark.parametrize("second, piece", [(None, 5), ((3,), 1 << 16)])
 def test_steps_equal_numeric_gradients(spark, monkeypatch, second, piece):
     monkeypatch.setattr(N, "_PIECE", piece)
+    monkeypatch.setattr(N, "_CELLS", 40)
     df, x, y, flag = _bent(spark, 80)
     stage = {} if second is None else {"flag": "flag", "second": second}
     start, _ = N.fit_layers(df, "x", "y", (4, 3), epochs=0, seed=2, **stage)
