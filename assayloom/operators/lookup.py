@@ -91,7 +91,7 @@ class AnswerTable:
     """Answers of a provider in a catalog table, so that no name is asked twice.
 
     The table has (key, fields..., found, error, run): hits, unknown names and
-    errors alike, with the number of the run that asked. It is bucketed by the
+    errors alike, with the number of the run that asked; runs that had to ask nobody have none. It is bucketed by the
     key, so names meet it without moving what is stored.
     """
 
