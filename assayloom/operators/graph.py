@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from hashlib import md5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayloom.operators.joins import hot_keys, skew_join
 from assayloom.session import materialise
 
+_BUCKET = 1 << 19    # nodes and edges that a bucket of graphs has on average, and the most of a graph in one
+_PACKED = 1 << 21    # nodes and edges that a task deals to the buckets at once
+
 
 def nodes_of(mols: DataFrame, atoms: str = "atoms", graph: str = "graph_id") -> DataFrame:
     """(graph_id, node_id, symbol) from atom arrays."""
@@ -61,7 +67,138 @@ def neighbourhood_labels(
     """(graph_id, node_id, round, label) for rounds 0..radius.
 
     Round 0 hashes a node's symbol. Each further round hashes the node's label
-    with the sum of its neighbours' labels. A sum does not depend on order and
+    with the sum of its neighbours' labels. Graphs are dealt whole to buckets of
+    about ``_BUCKET`` nodes and edges, which move once, compressed, and go through
+    all rounds in their bucket. A graph that is larger by itself, or has no id, is
+    never gathered: its rounds are joins and groupings (``_joined_labels``).
+    """
+    ends = edges.select(graph, F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
+    both = nodes.select(graph, F.col("node_id").alias("a"), F.lit(None).alias("b"),
+                        F.coalesce(F.col("symbol").cast("string"), F.lit("")).alias("symbol")).unionByName(
+        ends.where("a is not null").withColumn("symbol", F.lit(None).cast("string")))
+    sizes = materialise(both.groupBy(graph).agg(F.count(F.lit(1)).alias("n")), "graph-sizes")
+    wide = sizes.where((F.col("n") > _BUCKET) | F.col(graph).isNull()).select(F.col(graph).alias("_wide"))
+    apart = not wide.isEmpty()
+    if apart:
+        # At most one graph for every _BUCKET rows.
+        met = F.col(graph).eqNullSafe(F.col("_wide"))
+        both = both.join(F.broadcast(wide), met, "left_anti")
+    total = sizes.where(F.col("n") <= _BUCKET).agg(F.sum("n").alias("n")).first()["n"] or 0
+    out = _bucketed_labels(both, radius, graph, -(-total // _BUCKET) or 1)
+    if not apart:
+        return out
+    large = [df.join(F.broadcast(wide), met, "left_semi") for df in (nodes, edges)]
+    return out.unionByName(_joined_labels(*large, radius, graph))
+
+
+def _bucketed_labels(both: DataFrame, radius: int, graph: str, buckets: int) -> DataFrame:
+    """Labels of graphs that fit a bucket, from nodes (with a symbol) and edges (without) in one table."""
+    kinds = both.schema
+    schema = T.StructType([
+        T.StructField(graph, kinds[graph].dataType), T.StructField("node_id", kinds["a"].dataType),
+        T.StructField("round", T.IntegerType()), T.StructField("label", T.LongType())])
+    bucket = F.pmod(F.xxhash64(graph), F.lit(buckets)).cast("int").alias("bucket")
+
+    def label(table):
+        return _label_bucket(table["rows"], radius, graph)
+
+    return (both.select(bucket, graph, "a", "b", "symbol").mapInArrow(_packed, "bucket int, rows binary")
+            .repartition(buckets, "bucket").groupBy("bucket").applyInArrow(label, schema))
+
+
+def _packed(batches):
+    """Rows by bucket, each bucket's as one compressed Arrow stream for every ``_PACKED`` rows read."""
+    import numpy as np
+    import pyarrow as pa
+
+    def streams(held):
+        table = pa.Table.from_batches(held)
+        bucket = table["bucket"].to_numpy()
+        order = np.argsort(bucket, kind="stable")
+        table, bucket = table.drop_columns("bucket").take(order).combine_chunks(), bucket[order]
+        cuts = np.concatenate(([0], np.nonzero(np.diff(bucket))[0] + 1, [len(bucket)]))
+        for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                stream.write_table(table.slice(start, stop - start))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([bucket[start]], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["bucket", "rows"])
+
+    held, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+        if n >= _PACKED:
+            yield from streams(held)
+            held, n = [], 0
+    if held:
+        yield from streams(held)
+
+
+def _hashes(texts):
+    """``_hash60`` of encoded texts, as an array."""
+    import numpy as np
+
+    return (np.frombuffer(b"".join([md5(t).digest() for t in texts]), ">u8")[::2] >> 4).astype(np.int64)
+
+
+def _label_bucket(streams, radius: int, graph: str):
+    """All rounds' labels of the whole graphs in a bucket; what ``_joined_labels`` gives for them."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    rows = pa.concat_tables([pa.ipc.open_stream(s.as_buffer()).read_all() for s in streams]).combine_chunks()
+    rows = rows.set_column(0, graph, rows[graph].dictionary_encode(null_encoding="encode").combine_chunks())
+    nodes, edges = rows.filter(pc.is_valid(rows["symbol"])), rows.filter(pc.is_null(rows["symbol"]))
+
+    def whole(column):
+        return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+
+    def numbers(column):
+        return whole(column).indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+    n, m = nodes.num_rows, edges.num_rows
+    ids = pa.concat_arrays([whole(nodes["a"]), whole(edges["a"]), whole(edges["b"])]).dictionary_encode(null_encoding="encode")
+    places, ids = numbers(ids), len(ids.dictionary)
+    # A node is known by its graph's and its own number; nodes may be listed more than once.
+    listed, first, own = np.unique(numbers(nodes[graph]) * ids + places[:n], return_index=True, return_inverse=True)
+    symbols = whole(nodes["symbol"]).dictionary_encode()
+    given = _hashes([s.encode() for s in symbols.dictionary.to_pylist()])[symbols.indices.to_numpy()] if n else np.zeros(0, np.int64)
+    label, high, low = (np.zeros(len(listed), np.int64) for _ in range(3))
+    np.maximum.at(label, own, given)
+    np.add.at(high, own, given >> _HALF)
+    np.add.at(low, own, given & ((1 << _HALF) - 1))
+
+    of = numbers(edges[graph]) * ids
+    a, b = of + places[n:n + m], of + places[n + m:]
+    known = np.isin(a, listed) & np.isin(b, listed)
+    pairs = np.unique(np.searchsorted(listed, a[known]) * max(1, len(listed)) + np.searchsorted(listed, b[known]))
+    a, b = np.divmod(pairs, max(1, len(listed)))
+    bent = a != b
+    node, near = np.concatenate([a, b[bent]]), np.concatenate([b, a[bent]])
+
+    found, at = [given], [np.arange(n)]
+    for r in range(1, radius + 1):
+        sums = np.zeros((2, len(listed)), np.int64)
+        np.add.at(sums[0], node, high[near])
+        np.add.at(sums[1], node, low[near])
+        label = _hashes([b"%d:%d:%d:%d" % (r, *t) for t in zip(label.tolist(), sums[0].tolist(), sums[1].tolist())])
+        high, low = label >> _HALF, label & ((1 << _HALF) - 1)
+        found.append(label)
+        at.append(first)
+    named = nodes.select([graph, "a"]).take(np.concatenate(at))
+    named = named.set_column(0, graph, whole(named[graph]).dictionary_decode())
+    rounds = np.repeat(np.arange(radius + 1, dtype=np.int32), [len(f) for f in found])
+    return pa.Table.from_arrays([named[graph], named["a"], pa.array(rounds), pa.array(np.concatenate(found))],
+                                [graph, "node_id", "round", "label"])
+
+
+def _joined_labels(nodes: DataFrame, edges: DataFrame, radius: int, graph: str) -> DataFrame:
+    """Labels of graphs of any size.
+
+    A sum does not depend on order and
     combines on the map side, so a hub with a third of all edges is never
     gathered in one place; the join that brings labels to edges salts such hubs.
     A round is one such join and one grouping, in which a node's own label and
@@ -102,19 +239,27 @@ def neighbourhood_labels(
     return out.select(graph, "node_id", "round", "label")
 
 
+def _words(labels: DataFrame, n_bits: int, graph: str) -> DataFrame:
+    """(graph_id, word, mask): set positions, 64 to a number, combined on the map side."""
+    return labels.select(graph, F.pmod(F.col("label"), F.lit(n_bits)).cast("int").alias("bit")).select(
+        graph, F.shiftright("bit", 6).alias("word"), F.expr("shiftleft(1L, bit & 63)").alias("mask")
+    ).groupBy(graph, "word").agg(F.bit_or("mask").alias("mask"))
+
+
 def fingerprint_bits(labels: DataFrame, n_bits: int = 2048, graph: str = "graph_id") -> DataFrame:
     """(graph_id, bit): the set positions of each graph's fingerprint."""
-    return labels.select(graph, F.pmod(F.col("label"), F.lit(n_bits)).cast("int").alias("bit")).distinct()
+    places = _words(labels, n_bits, graph).withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(63))))
+    return places.where(F.getbit("mask", "place") == 1).select(graph, (F.col("word") * 64 + F.col("place")).alias("bit"))
 
 
 def fingerprints(labels: DataFrame, n_bits: int = 2048, graph: str = "graph_id") -> DataFrame:
     """(graph_id, bits) with bits an int array of length ``n_bits``.
 
-    Positions are made distinct before they are gathered, so a graph of any size
-    brings at most ``n_bits`` of them together.
+    Positions are combined, 64 to a number, before they are gathered, so a graph of
+    any size brings at most ``n_bits / 64`` numbers together.
     """
-    on = fingerprint_bits(labels, n_bits, graph).groupBy(graph).agg(F.collect_list("bit").alias("on"))
-    bits = F.transform(
-        F.sequence(F.lit(0), F.lit(n_bits - 1)), lambda i: F.array_contains("on", i).cast("int")
-    )
+    words = F.map_from_entries(F.collect_list(F.struct("word", "mask")))
+    on = _words(labels, n_bits, graph).groupBy(graph).agg(words.alias("words"))
+    bits = F.transform(F.sequence(F.lit(0), F.lit(n_bits - 1)), lambda i: F.coalesce(
+        F.getbit(F.col("words")[F.shiftright(i, 6)], i.bitwiseAND(F.lit(63))).cast("int"), F.lit(0)))
     return on.select(graph, bits.alias("bits"))

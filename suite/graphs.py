@@ -74,7 +74,8 @@ def array_graph_sizes(t):
 
 @query(f"WITH {_LABELS} SELECT DISTINCT graph_id, CAST(label % 2048 AS INTEGER) AS bit FROM labels3")
 def fingerprint_positions(t):
-    return G.fingerprint_bits(G.neighbourhood_labels(G.nodes_of(t.mols), G.edges_of(t.mols), 2))
+    mols = t.stored_mols
+    return G.fingerprint_bits(G.neighbourhood_labels(G.nodes_of(mols), G.edges_of(mols), 2))
 
 
 @query(f"""WITH {_LABELS}, b AS (SELECT DISTINCT graph_id, label % 256 AS bit FROM labels3),
@@ -82,7 +83,8 @@ s AS (SELECT graph_id, list(bit) AS bits FROM b GROUP BY graph_id)
 SELECT graph_id, list_aggregate(list_transform(range(256), lambda i: CASE WHEN list_contains(bits, i) THEN '1' ELSE '0' END),
   'string_agg', '') AS bits FROM s""")
 def fingerprint_bit_strings(t):
-    labels = G.neighbourhood_labels(G.nodes_of(t.mols), G.edges_of(t.mols), 2)
+    mols = t.stored_mols
+    labels = G.neighbourhood_labels(G.nodes_of(mols), G.edges_of(mols), 2)
     return G.fingerprints(labels, 256).select(
         "graph_id", F.array_join(F.col("bits").cast("array<string>"), "").alias("bits")
     )

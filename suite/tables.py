@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from assayloom.operators.joins import dimension_join
 from assayloom.plans.enrich import Assay, NameRules
-from assayloom.session import spread_scan
+from assayloom.session import materialise, spread_scan
 
 RULES = NameRules(aliases={"4-NOT SPECIFIED": "4-NONE"})
 EXACT = (18, 4)
@@ -128,13 +128,26 @@ class Tables:
     @property
     def mols(self) -> DataFrame:
         """Every document as a labelled chain: words are atoms, neighbours are bonded."""
+        return self._chains(spread_scan(self._texts, ["doc_id"]))
+
+    @property
+    def stored_mols(self) -> DataFrame:
+        """``mols`` for more than one reading: texts that had to be dealt out are stored, so that they move once."""
+        texts = self._texts
+        dealt = spread_scan(texts, ["doc_id"])
+        return self._chains(texts if dealt is texts else materialise(dealt, "texts"))
+
+    @property
+    def _texts(self) -> DataFrame:
+        return self.documents.select("doc_id", "text")
+
+    def _chains(self, texts: DataFrame) -> DataFrame:
         atoms = F.split("text", " ")
         chain = F.transform(
             F.sequence(F.lit(0), F.size("atoms") - 2),
             lambda i: F.struct(i.alias("src"), (i + 1).alias("dst")),
         )
         none = F.array().cast("array<struct<src:int,dst:int>>")
-        texts = spread_scan(self.documents.select("doc_id", "text"), ["doc_id"])
         return texts.select(F.col("doc_id").alias("graph_id"), atoms.alias("atoms")).withColumn(
             "bonds", F.when(F.size("atoms") > 1, chain).otherwise(none)
         )

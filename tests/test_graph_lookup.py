@@ -1,4 +1,5 @@
 import hashlib
+import os
 import uuid
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import types as T
 
 from assayloom.operators import graph as G
 from assayloom.operators import lookup as L
+from assayloom.session import shared_dir
 
 
 def _mol(spark):
@@ -54,6 +56,44 @@ def test_labels_equal_brute_force_with_a_hub_and_a_loop(spark, no_broadcast, mon
     assert got == _labels(symbols, edges, 2)
 
 
+@pytest.mark.parametrize("bucket", [1, 12, 1 << 19])
+def test_labels_in_buckets_and_by_joins_are_the_same(spark, monkeypatch, bucket):
+    """Graphs of all sizes, listed twice, without id or symbol, with loops, repeated, loose and half edges."""
+    nodes = [(g, n, None if n == 2 else "CNO"[(g + n) % 3]) for g in range(6) for n in range(2 + 3 * g)]
+    nodes += [(3, 1, "C"), (3, 1, "N"), (4, 0, "C"), (None, 0, "C"), (None, 0, "N"), (None, 1, "C"), (5, None, "O")]
+    edges = [(g, n, n + 1) for g in range(6) for n in range(2 + 3 * g)] + [(3, 2, 1), (3, 1, 2), (4, 3, 3), (None, 0, 1), (5, 4, None), (9, 0, 1), (5, None, None)]
+    nodes = spark.createDataFrame(nodes, "graph_id long, node_id int, symbol string")
+    edges = spark.createDataFrame(edges, "graph_id long, src int, dst int")
+    monkeypatch.setattr(G, "_BUCKET", bucket)
+    monkeypatch.setattr(G, "_PACKED", 7)
+
+    def table(df):
+        return sorted(map(repr, df.select("graph_id", "node_id", "round", "label").collect()))
+
+    got = G.neighbourhood_labels(nodes, edges, 2)
+    assert got.schema.simpleString() == "struct<graph_id:bigint,node_id:int,round:int,label:bigint>"
+    assert table(got) == table(G._joined_labels(nodes, edges, 2, "graph_id"))
+    bits = {(r.graph_id, r.label % 100) for r in got.collect()}
+    assert sorted(map(repr, map(tuple, G.fingerprint_bits(got, 100).collect()))) == sorted(map(repr, bits))
+    arrays = {(r.graph_id, i) for r in G.fingerprints(got, 100).collect() for i, b in enumerate(r.bits) if b}
+    assert arrays == bits
+
+
+def test_fingerprints_neither_store_nor_join_a_row_for_every_label(spark):
+    nodes = spark.range(100_000).selectExpr("id div 400 AS graph_id", "cast(id % 400 AS int) AS node_id", "cast(id AS string) AS symbol")
+    edges = nodes.selectExpr("graph_id", "node_id AS src", "node_id + 1 AS dst")
+    folder = shared_dir(spark).removeprefix("file:")
+
+    def stored():
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(folder) for f in files)
+
+    before = stored()
+    bits = G.fingerprint_bits(G.neighbourhood_labels(nodes, edges, 2), 256)
+    assert bits.groupBy("graph_id").count().where("count > 200").count() == 250
+    assert stored() - before < 100_000
+    assert "Join" not in bits._jdf.queryExecution().executedPlan().toString()
+
+
 def test_equal_molecules_have_equal_fingerprints(spark):
     mols = spark.createDataFrame([
         (1, ["C", "C", "O"], [(0, 1), (1, 2)]), (2, ["O", "C", "C"], [(1, 0), (2, 1)]),
