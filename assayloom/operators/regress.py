@@ -16,6 +16,7 @@ from assayloom.session import broadcast_limit, materialise
 _GRAM = -1           # block number of the feature-by-feature sums
 _SQUARES = -2        # block number of the targets' sums of squares
 _BLOCK = 1024        # targets per block of the feature-by-target sums
+_TREE_ROWS = 1 << 19 # rows of a piece that trees are grown on; the trainer holds some 300 bytes of each
 
 
 # ---- one output -----------------------------------------------------------
@@ -51,6 +52,13 @@ def linear_coefficients(model: PipelineModel) -> tuple[float, list[float]]:
     return float(fitted.intercept - sum(b * m for b, m in zip(slopes, scaler.mean))), slopes
 
 
+def _bounded_pieces(df: DataFrame, most: int) -> DataFrame:
+    """``df`` itself, or dealt out evenly if one of its pieces has more than ``most`` rows."""
+    sizes = df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"))
+    found = sizes.agg(F.max("n").alias("largest"), F.sum("n").alias("n")).first()
+    return df.repartition(-(-found["n"] // most)) if (found["largest"] or 0) > most else df
+
+
 def fit_boosted(
     df: DataFrame,
     features: Sequence[str],
@@ -60,8 +68,13 @@ def fit_boosted(
     depth: int = 5,
     seed: int = 0,
 ) -> PipelineModel:
-    """Gradient-boosted trees on scalar columns; missing features stay missing (NaN)."""
+    """Gradient-boosted trees on scalar columns; missing features stay missing (NaN).
+
+    The trainer keeps its rows in the pieces they come in and reads a whole piece per
+    task and step, so rows in pieces of more than ``_TREE_ROWS`` are dealt out anew.
+    """
     vector = f"_{prediction}_in"
+    df = _bounded_pieces(df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*features, label])]), _TREE_ROWS)
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol=vector, handleInvalid="keep"),
         GBTRegressor(featuresCol=vector, labelCol=label, predictionCol=prediction,

@@ -154,3 +154,15 @@ def test_steps_without_spread_or_rows(spark):
     assert [r.loss for r in history.orderBy("epoch").collect()] == [0.0] * 4
     with pytest.raises(ValueError, match="no rows"):
         R.fit_ridge_steps(flat.limit(0), "x", "y")
+
+
+def test_trees_grow_on_pieces_of_bounded_size(spark, monkeypatch):
+    df = spark.createDataFrame([(float(i % 7), float(i % 3), float(i)) for i in range(400)], "a double, b double, y double")
+    given = []
+    monkeypatch.setattr(R, "_TREE_ROWS", 60, raising=False)
+    monkeypatch.setattr(R.Pipeline, "fit", lambda self, rows: given.append(rows))
+    R.fit_boosted(df.coalesce(1), ["a", "b"], "y", rounds=1, depth=2)
+    R.fit_boosted(df.repartition(40), ["a", "b"], "y", rounds=1, depth=2)
+    pieces = [given[0].rdd.glom().map(len).collect(), given[1].rdd.glom().map(len).collect()]
+    assert [sum(p) for p in pieces] == [400, 400] and max(pieces[0]) <= 66 and len(pieces[1]) == 40
+    assert sorted(map(tuple, given[0].collect())) == sorted(map(tuple, df.collect()))
