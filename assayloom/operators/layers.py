@@ -13,12 +13,14 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayloom.operators.regress import all_present
 from assayloom.session import materialise
 
 _PIECE = 1 << 16     # numbers in one row of gradient sums
-_CELLS = 1 << 22     # numbers of the widest layer that a task holds at a time
+_CELLS = 1 << 16     # numbers of the widest layer that a task holds at a time: within a core's cache
+_CHUNK = 1 << 20     # numbers in one stored chunk of rows
 #: Decay of the two moments, and what keeps a step finite.
 _FIRST, _SECOND, _TINY = 0.9, 0.999, 1e-8
 
@@ -113,10 +115,38 @@ def _matrix(column, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), width)
 
 
-def _gradient_sums(model: LayeredModel, rows: DataFrame) -> tuple[float, np.ndarray]:
+def _chunks(rows: DataFrame, shift: np.ndarray, scale: np.ndarray, out_shift: np.ndarray, out_scale: np.ndarray) -> DataFrame:
+    """(n, rows): centred and scaled rows (features, flag, targets) as chunks of doubles, stored, so that a step only reads numbers."""
+    width, outputs = len(shift), len(out_shift)
+    at_once = max(1, _CHUNK // (width + outputs + 1))
+
+    def pack(batches):
+        import pyarrow as pa
+
+        held, n = [], 0
+
+        def chunk():
+            block = np.concatenate(held)
+            return pa.RecordBatch.from_arrays([pa.array([len(block)], pa.int32()), pa.array([block.tobytes()], pa.binary())], ["n", "rows"])
+
+        for batch in batches:
+            x = (_matrix(batch["x"], width) - shift) / scale
+            y = (_matrix(batch["y"], outputs) - out_shift) / out_scale
+            held.append(np.column_stack([x, batch["flag"].to_numpy(zero_copy_only=False), y]))
+            n += len(x)
+            if n >= at_once:
+                yield chunk()
+                held, n = [], 0
+        if n:
+            yield chunk()
+
+    return materialise(rows.mapInArrow(pack, "n int, rows binary"), "layer-chunks")
+
+
+def _gradient_sums(model: LayeredModel, chunks: DataFrame) -> tuple[float, np.ndarray]:
     """(sum of squared errors, gradient) over all rows, added up in the order of the tasks."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-    width, outputs, at_once = len(model.shift), len(model.out_shift), _rows_at_once(model)
+    shared = chunks.sparkSession.sparkContext.broadcast(model)
+    width, at_once = len(model.shift), _rows_at_once(model)
 
     def partial(batches):
         import pyarrow as pa
@@ -124,14 +154,13 @@ def _gradient_sums(model: LayeredModel, rows: DataFrame) -> tuple[float, np.ndar
 
         held, loss, total = shared.value, 0.0, None
         for batch in batches:
-            for start in range(0, batch.num_rows, at_once):
-                part = batch.slice(start, at_once)
-                x = (_matrix(part["x"], width) - held.shift) / held.scale
-                y = (_matrix(part["y"], outputs) - held.out_shift) / held.out_scale
-                flag = part["flag"].to_numpy(zero_copy_only=False)
-                own, gradient = held.gradient(x, flag, y)
-                loss += own
-                total = gradient if total is None else total + gradient
+            for n, block in zip(batch["n"].to_pylist(), batch["rows"]):
+                block = np.frombuffer(block.as_buffer(), float).reshape(n, -1)
+                for start in range(0, n, at_once):
+                    part = block[start:start + at_once]
+                    own, gradient = held.gradient(part[:, :width], part[:, width], part[:, width + 1:])
+                    loss += own
+                    total = gradient if total is None else total + gradient
         if total is not None:
             total, task = np.append(total, loss), TaskContext.get().partitionId()
             for piece, at in enumerate(range(0, len(total), _PIECE)):
@@ -155,7 +184,7 @@ def _gradient_sums(model: LayeredModel, rows: DataFrame) -> tuple[float, np.ndar
         if now is not None:
             yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["piece", "sums"])
 
-    pieces = (rows.mapInArrow(partial, "task int, piece int, sums binary").repartition("piece")
+    pieces = (chunks.mapInArrow(partial, "task int, piece int, sums binary").repartition("piece")
               .sortWithinPartitions("piece", "task").select("piece", "sums").mapInArrow(added, "piece int, sums binary"))
     # One set of sums, of the model's size.
     found = np.concatenate([np.frombuffer(r["sums"], float) for r in sorted(pieces.collect(), key=lambda r: r["piece"])])
@@ -226,12 +255,12 @@ def fit_layers(
 def _descend(spark: SparkSession, model: LayeredModel, rows: DataFrame, n: int, epochs: int,
              rate: float) -> tuple[LayeredModel, DataFrame]:
     # A task per core sends one set of sums, however many files there are.
-    rows = rows.coalesce(spark.sparkContext.defaultParallelism)
+    chunks = _chunks(rows, model.shift, model.scale, model.out_shift, model.out_scale).coalesce(spark.sparkContext.defaultParallelism)
     cells = n * len(model.out_shift)
     flat = model.flat()
     first, second, losses = np.zeros(len(flat)), np.zeros(len(flat)), []
     for epoch in range(epochs + 1):
-        loss, gradient = _gradient_sums(model, rows)
+        loss, gradient = _gradient_sums(model, chunks)
         losses.append(("joint" if model.joint is not None else "base", epoch, loss / cells))
         if epoch == epochs:
             break
@@ -246,30 +275,37 @@ def _descend(spark: SparkSession, model: LayeredModel, rows: DataFrame, n: int,
 
 def score_layers(df: DataFrame, model: LayeredModel, features: str, flag: str | None = None, out: str = "prediction") -> DataFrame:
     """Add the array of outputs; null where the features or flag are null or hold a null or NaN."""
-    from pyspark.sql.functions import pandas_udf
-
     if (flag is None) != (model.joint is None):
         raise ValueError("a model of two stages needs the flag, one of a single stage has none")
     shared, width, at_once = df.sparkSession.sparkContext.broadcast(model), len(model.shift), _rows_at_once(model)
+    flagged = F.lit(0.0) if flag is None else F.col(f"`{flag}`").cast("double")
+    names = [f"c{k}" for k in range(len(df.columns))]
+    given: Column = F.when(all_present(features) & flagged.isNotNull() & ~F.isnan(flagged), F.col(f"`{features}`").cast("array<double>"))
 
-    def outputs(x, flag):
-        held = shared.value
-        rows = np.stack(x.to_numpy())
-        if rows.shape[1] != width:
-            raise ValueError(f"{rows.shape[1]} features, {width} were fitted")
-        return list(held.run((rows - held.shift) / held.scale, flag.to_numpy(float))[1] * held.out_scale + held.out_shift)
-
-    @pandas_udf("array<double>")
-    def run(x, flag):
-        import pandas as pd
-
-        found = pd.Series([None] * len(x), index=x.index, dtype=object)
-        some = x.notna() & flag.notna()
-        for at in np.array_split(np.nonzero(some.to_numpy())[0], max(1, -(-int(some.sum()) // at_once))):
-            if len(at):
-                found.iloc[at] = pd.Series(outputs(x.iloc[at], flag.iloc[at]), dtype=object).to_numpy()
-        return found
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-    flagged = F.lit(0.0) if flag is None else F.col(f"`{flag}`").cast("double")
-    given: Column = F.when(all_present(features), F.col(f"`{features}`").cast("array<double>"))
-    return df.withColumn(out, run(given, F.when(~F.isnan(flagged), flagged)))
+        held = shared.value
+        outputs = len(held.out_shift)
+        for batch in batches:
+            some = pc.is_valid(batch["_x"])
+            lengths = pc.unique(pc.list_value_length(batch["_x"]).drop_null()).to_pylist()
+            if any(n != width for n in lengths):
+                raise ValueError(f"{lengths} features, {width} were fitted")
+            x, f = batch["_x"].filter(some), batch["_flag"].filter(some).to_numpy(zero_copy_only=False)
+            x = (_matrix(x, width) - held.shift) / held.scale
+            found = np.empty((len(x), outputs))
+            for at in range(0, len(x), at_once):
+                found[at:at + at_once] = held.run(x[at:at + at_once], f[at:at + at_once])[1]
+            ends = np.concatenate(([0], np.cumsum(some.to_numpy(zero_copy_only=False)))) * outputs
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array((found * held.out_scale + held.out_shift).ravel()),
+                                             mask=pc.invert(some))
+            yield pa.RecordBatch.from_arrays([*[batch[n] for n in names], lists], [*names, "_out"])
+
+    raw = df.toDF(*names)
+    schema = T.StructType([*raw.schema.fields, T.StructField("_out", T.ArrayType(T.DoubleType()))])
+    ready = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, names)], given.alias("_x"), flagged.alias("_flag"))
+    scored = ready.mapInArrow(run, schema)
+    kept = [F.col(n).alias(c) for c, n in zip(df.columns, names) if c != out]
+    return scored.select(*kept, F.col("_out").alias(out))
