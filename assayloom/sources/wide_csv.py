@@ -311,11 +311,11 @@ def write_wide_csv(df: DataFrame, path: str, names: DataFrame | Sequence[str], c
         raise ValueError("columns of one name")
     header = ",".join(map(_quoted, taken))
     values = F.col(f"`{column}`")
+    joined = F.array_join(values.cast("array<string>"), ",", "")
     if isinstance(df.schema[column].dataType.elementType, (T.FloatType, T.DoubleType)):
-        values = F.transform(values, lambda v: F.nanvl(v, F.lit(None)))
-    texts = F.coalesce(values.cast("array<string>"), F.array_repeat(F.lit(None).cast("string"), len(names)))
-    wrong = F.raise_error(F.concat(F.lit(f"{column} has a length other than {len(names)}: "), F.size(texts).cast("string")))
-    joined = F.when(F.size(texts) == len(names), F.array_join(texts, ",", "")).otherwise(wrong.cast("string"))
+        joined = F.replace(joined, F.lit("NaN"), F.lit(""))  # in the text of numbers it stands for nothing else
+    wrong = F.raise_error(F.concat(F.lit(f"{column} has a length other than {len(names)}: "), F.size(values).cast("string")))
+    joined = F.when(values.isNull(), F.lit("," * (len(names) - 1))).when(F.size(values) == len(names), joined).otherwise(wrong.cast("string"))
     cells = [*[_cell(f) for f in others], *([joined] if names else [])]
     line = F.concat_ws(",", *cells).alias("value")
 

@@ -141,3 +141,22 @@ def test_plans_do_not_grow_with_the_width(spark, tmp_path):
         sizes.append(len(back._jdf.queryExecution().analyzed().toString().replace(f"w{width}", "w")))
         assert sorted(r.targets[-1] - r.n for r in back.collect()) == [width] * 5
     assert abs(sizes[0] - sizes[1]) < 200
+
+
+def test_wide_round_trip_is_written_by_all_cores(spark, tmp_path, monkeypatch):
+    """A supplier table of one piece still becomes wide in many."""
+    from suite import sources
+    from suite.tables import Tables
+
+    table = spark.range(40).selectExpr("id AS s_suppkey", "concat('s', id) AS s_name").coalesce(1)
+    table.write.parquet(f"{tmp_path}/supplier.parquet")
+    rows = []
+
+    def write(df, path, names):
+        rows.append(df.select("s_suppkey").rdd.glom().map(len).collect())
+        write_wide_csv(df, path, names)
+
+    monkeypatch.setattr(sources, "write_wide_csv", write)
+    back = sources.wide_csv_round_trip(Tables(spark, str(tmp_path)))
+    assert back.select("s_suppkey", "n_targets").distinct().count() == 40
+    assert sum(rows[0]) == 40 and max(rows[0]) < 20
