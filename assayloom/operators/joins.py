@@ -175,13 +175,15 @@ def concat_columns(
     right_order: Sequence[Column | str] | None = None,
     how: str = "full",
     suffixes: tuple[str, str] = ("_x", "_y"),
+    ranged: bool = False,
 ) -> DataFrame:
     """Put two tables side by side, shared names told apart by ``suffixes``.
 
     ``row_id``: each left row meets the right row of its own id, also after a
     fan-out that repeats ids very unevenly (hot ids are cut into pieces); rows of either side alone stay with
     nulls (``how="left"``: those of the left side only). ``position``: the n-th left row
-    meets the n-th right row, and the longer side is padded with nulls; the orders must be stated.
+    meets the n-th right row, and the longer side is padded with nulls; the orders must be stated. Only positions that both sides
+    have are joined. ``ranged``: the left side already lies in ranges of its first order column (``with_row_index``).
     """
     if align == "row_id":
         left, right = suffix_overlaps(left, right, [row_id], suffixes)
@@ -192,13 +194,26 @@ def concat_columns(
         raise ValueError(f"align must be 'row_id' or 'position', not {align!r}")
     from assayloom.operators.rows import with_row_index
 
-    a = with_row_index(left, left_order or [row_id], "_position")
+    a = with_row_index(left, left_order or [row_id], "_position", ranged)
     b = with_row_index(right, right_order or [row_id], "_position")
     a, b = suffix_overlaps(a, b, ["_position", row_id], suffixes)
     if row_id in a.columns and row_id in b.columns:
-        both = a.join(b.withColumnRenamed(row_id, "_other_id"), "_position", "full")
+        both = _meet_positions(a, b.withColumnRenamed(row_id, "_other_id"))
         return both.withColumn(row_id, F.coalesce(row_id, "_other_id")).drop("_other_id")
-    return a.join(b, "_position", "full")
+    return _meet_positions(a, b)
+
+
+def _meet_positions(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Full join of two tables numbered 0..n-1 in ``_position``: rows beyond the shorter one meet nothing and stay where they are."""
+    place = F.col("_position")
+    n, m = a.count(), b.count()
+    shared = min(n, m)
+    both = a.where(place < shared).join(b.where(place < shared), "_position")
+    names = both.columns
+    for side, rows in ((a, n), (b, m)):
+        if rows > shared:
+            both = both.unionByName(side.where(place >= shared), allowMissingColumns=True)
+    return both.select(*[F.col(f"`{c}`") for c in names])
 
 
 def key_hits(left: DataFrame, dimension: DataFrame, key: str) -> DataFrame:

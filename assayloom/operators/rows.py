@@ -16,7 +16,7 @@ from assayloom.session import materialise
 _ROW_BITS = 33
 
 
-def with_row_index(df: DataFrame, order_by: Sequence, name: str = "row_index") -> DataFrame:
+def with_row_index(df: DataFrame, order_by: Sequence, name: str = "row_index", ranged: bool = False) -> DataFrame:
     """Number rows 0..n-1 in the order of ``order_by``.
 
     A range-partitioned sort (many tasks) is written to the shared folder with
@@ -24,10 +24,14 @@ def with_row_index(df: DataFrame, order_by: Sequence, name: str = "row_index") -
     partition its first number. Nothing passes through a single task, and the
     numbers cannot change when a task is run again. Ties are broken by a hash
     of the row, so that equal keys still spread over partitions.
+
+    ``ranged``: the partitions of ``df`` already are ranges of the first order
+    column, with no value of it in two of them, and are sorted where they lie.
     """
     tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     spot = F.monotonically_increasing_id()
-    placed = materialise(df.orderBy(*order_by, tie).withColumn("_spot", spot), "ordered")
+    ordered = df.sortWithinPartitions(*order_by, tie) if ranged else df.orderBy(*order_by, tie)
+    placed = materialise(ordered.withColumn("_spot", spot), "ordered")
     part = F.shiftright("_spot", _ROW_BITS).cast("int")
     place = F.col("_spot").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     # One line per partition of the sort, whatever the number of rows.

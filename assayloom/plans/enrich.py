@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from assayloom.constants import EXEMPT_NAMES, FEATURE_COLUMNS, GROUP_STATS, NAME_ALIASES
 from assayloom.functions.names import alias_name, clean_name
-from assayloom.operators.joins import assert_unique, concat_columns, dimension_join, suffix_join
+from assayloom.operators.joins import assert_unique, concat_columns, dimension_join, hot_keys, suffix_join
 from assayloom.operators.select import select_lenient, select_strict
 from assayloom.operators.stats import group_summary
+from assayloom.session import fits_broadcast, materialise
+
+_FANNED = 1 << 19    # fanned-out rows that a task sorts when rows are numbered
 
 
 @dataclass(frozen=True)
@@ -92,7 +95,15 @@ def enrich_training(
     # The donors come last: everything before them is done once per row, not once per donor.
     shared = [k for k in second.group_keys if k in features.columns]
     donors = [k for k in second.group_keys if k not in shared]
-    out = suffix_join(out, second.summary(), shared, freeze=True, spread=[row_id],
+    summary = materialise(second.summary(), "dimension")
+    # Rows are numbered in the order of their ids and donors: they are dealt out in ranges of ids while they are few, and
+    # the broadcast donors leave them there. A hot id would not spread, so such a table is sorted as a whole.
+    ranged = align == "position" and fits_broadcast(summary) and hot_keys(features, [row_id]).isEmpty()
+    if ranged:
+        most = summary.groupBy(*shared).count().agg(F.max("count").alias("n")).first()["n"] or 1
+        pieces = max(rows.sparkSession.sparkContext.defaultParallelism, -(-features.count() * most // _FANNED))
+        out = out.repartitionByRange(pieces, row_id)
+    out = suffix_join(out, summary, shared, spread=[row_id],
                       count_on=features.select(*shared))
 
     known = [c for c in properties.columns if c != "sm_name"]
@@ -103,7 +114,8 @@ def enrich_training(
     wide = rows.select(row_id, *targets)
     donors = [F.col(f"`{d}`") for d in donors]
     side = wide.withColumnRenamed(row_id, "_target_row")
-    return concat_columns(out, side, "position", row_id, [F.col(row_id), *donors], [F.col("_target_row")]).drop("_target_row")
+    return concat_columns(out, side, "position", row_id, [F.col(row_id), *donors], [F.col("_target_row")],
+                          ranged=ranged).drop("_target_row")
 
 
 def enrich_prediction(

@@ -112,3 +112,27 @@ def test_profile(spark):
     assert {r.label for r in parts["shares_cell_type"].collect()} == {"33.3%"}
     assert [r.cell_type for r in parts["values_cell_type"].collect()] == ["T cells CD4+", "B cells", "NK cells"]
     assert {r["column"]: r.n_missing for r in parts["completeness"].collect()}["SMILES"] == 0
+
+
+def test_position_alignment_numbers_rows_where_they_are_fanned_out(spark, monkeypatch):
+    """The fanned-out rows are neither sorted as a whole nor joined beyond the targets' number; a repeated id takes the general way."""
+    from assayloom.operators import rows as row_operators
+
+    asked = []
+    number = row_operators.with_row_index
+    monkeypatch.setattr(row_operators, "with_row_index", lambda *a: asked.append(a[3:]) or number(*a))
+    _, first, second, properties = _inputs(spark)
+    many = spark.range(300).select(
+        F.col("id").alias("row_id"), F.lit("T").alias("cell_type"), F.lit("Drug").alias("sm_name"), F.lit("l").alias("sm_lincs_id"),
+        F.lit("C").alias("SMILES"), F.lit(False).alias("control"), F.array(F.col("id").cast("float")).alias("targets"))
+    for rows, ranged in ((many, True), (many.unionByName(many.where("row_id = 7").withColumn("sm_name", F.lit("x"))), False)):
+        asked.clear()
+        out = enrich_training(rows, first, second, properties, align="position")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert (True,) in asked if ranged else (True,) not in asked
+        assert "FullOuter" not in plan
+        got = sorted((r._position, r.row_id, r.donor_id, r.targets[0] if r.targets else None) for r in out.collect())
+        fanned = sorted(((r.row_id, r.donor_id) for r in enrich_training(rows, first, second, properties).collect()),
+                        key=lambda r: (r[0], r[1] or ""))
+        ids = sorted(r.row_id for r in rows.collect())
+        assert got == [(i, *f, float(ids[i]) if i < len(ids) else None) for i, f in enumerate(fanned)]
