@@ -112,6 +112,7 @@ def dimension_join(
     freeze: bool = False,
     spread: Sequence[str] | None = None,
     count_on: DataFrame | None = None,
+    many: bool = False,
 ) -> DataFrame:
     """Join a table to a dimension.
 
@@ -122,17 +123,31 @@ def dimension_join(
     do not compute it twice.
 
     ``count_on`` is an earlier table with the same rows' keys, to count hot keys
-    on when ``left`` is costly to compute.
+    on when ``left`` is costly to compute. ``many``: keys have several rows in the
+    dimension, which is then broadcast with one list of rows per key.
     """
     on = list(on)
     if freeze:
         right = materialise(right, "dimension")
     if fits_broadcast(right):
-        return left.join(F.broadcast(right), on, how)
+        return _list_join(left, right, on, how) if many else left.join(F.broadcast(right), on, how)
     hot = hot_keys(left if count_on is None else count_on, on)
     return skew_join(left, right, on, how, spread, hot)
 
 
+def _list_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Broadcast join to a small table with many rows per key: one lookup per left row, whose list of rows is then spread.
+
+    Lists together are no larger than the table, which was measured to be within the broadcast limit.
+    """
+    cells = [F.col(f"`{c}`") for c in right.columns if c not in on]
+    if how not in ("left", "inner") or not cells:
+        return left.join(F.broadcast(right), on, how)
+    lists = right.groupBy(*[F.col(f"`{k}`") for k in on]).agg(F.collect_list(F.struct(*cells)).alias("_rows"))
+    met = left.join(F.broadcast(lists), on, how)
+    return met.select(*[F.col(f"`{c}`") for c in met.columns if c != "_rows"], F.inline_outer("_rows"))
+
+
 def suffix_overlaps(
     left: DataFrame, right: DataFrame, on: Sequence[str], suffixes: tuple[str, str] = ("_x", "_y")
 ) -> tuple[DataFrame, DataFrame]:

@@ -13,7 +13,7 @@ from assayloom.functions.names import alias_name, clean_name
 from assayloom.operators.joins import assert_unique, concat_columns, dimension_join, hot_keys, suffix_join
 from assayloom.operators.select import select_lenient, select_strict
 from assayloom.operators.stats import group_summary
-from assayloom.session import fits_broadcast, materialise
+from assayloom.session import fits_broadcast, materialise, spread_scan
 
 _FANNED = 1 << 19    # fanned-out rows that a task sorts when rows are numbered
 
@@ -65,6 +65,7 @@ def enrich_training(
     align: str = "row_id",
     clean_metadata: bool = False,
     check_properties: bool = False,
+    stored: bool = False,
 ) -> DataFrame:
     """Training features, both assay summaries, compound properties and targets.
 
@@ -77,6 +78,9 @@ def enrich_training(
     ``rows`` are fanned out in the pieces they come in: give a small table in as
     many as there are cores (``spread_scan``). Names are cleaned before the summaries are joined and aliased after; the
     first assay's metadata names are cleaned only with ``clean_metadata``.
+    ``stored`` is for a result that is read more than once. Rows whose donors are
+    broadcast are stored before these are joined: to read a row and fan it out
+    again costs less than to store every donor's copy. Other results are stored whole.
     """
     _refuse_enriched(rows, properties, "sm_name")
     if check_properties:
@@ -98,24 +102,28 @@ def enrich_training(
     summary = materialise(second.summary(), "dimension")
     # Rows are numbered in the order of their ids and donors: they are dealt out in ranges of ids while they are few, and
     # the broadcast donors leave them there. A hot id would not spread, so such a table is sorted as a whole.
+    donors_last = stored and align == "row_id" and fits_broadcast(summary)
+    if donors_last:
+        out = spread_scan(materialise(out, "enriched"), [row_id])
     ranged = align == "position" and fits_broadcast(summary) and hot_keys(features, [row_id]).isEmpty()
     if ranged:
         most = summary.groupBy(*shared).count().agg(F.max("count").alias("n")).first()["n"] or 1
         pieces = max(rows.sparkSession.sparkContext.defaultParallelism, -(-features.count() * most // _FANNED))
         out = out.repartitionByRange(pieces, row_id)
     out = suffix_join(out, summary, shared, spread=[row_id],
-                      count_on=features.select(*shared))
+                      count_on=features.select(*shared), many=True)
 
     known = [c for c in properties.columns if c != "sm_name"]
     stats = [c for c in out.columns if c not in {row_id, *FEATURE_COLUMNS, *known, *carried}]
     out = select_strict(out, [row_id, *FEATURE_COLUMNS, *stats, *known, *carried])
     if align == "row_id":
-        return out
+        return materialise(out, "enriched") if stored and not donors_last else out
     wide = rows.select(row_id, *targets)
     donors = [F.col(f"`{d}`") for d in donors]
     side = wide.withColumnRenamed(row_id, "_target_row")
-    return concat_columns(out, side, "position", row_id, [F.col(row_id), *donors], [F.col("_target_row")],
-                          ranged=ranged).drop("_target_row")
+    placed = concat_columns(out, side, "position", row_id, [F.col(row_id), *donors], [F.col("_target_row")],
+                            ranged=ranged).drop("_target_row")
+    return materialise(placed, "enriched") if stored else placed
 
 
 def enrich_prediction(

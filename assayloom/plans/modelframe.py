@@ -29,8 +29,9 @@ def build_model_frame(
     """Group-aware split, then dropped, mapped and ordinally encoded columns.
 
     Encodings are fitted on all rows, before rows outside both groups are left
-    out. Give a stored table: it is read once per draw and once for the codes of
-    all encoded columns, each time only the columns needed.
+    out. Give a stored table, or one cheap to make from stored tables (``stored`` of
+    ``enrich_training``): it is read twice for the first draws, once for the validation
+    draw and once for the codes of all encoded columns, each time only the columns needed.
     """
     split = group_holdout(
         enriched, ids, "cell_type", majority, minority, seed, minority_train, test_fraction, val_fraction

@@ -71,8 +71,7 @@ src AS (SELECT * FROM codes),
 SELECT row_id, cell_type, sm_name, sm_lincs_id, control, {_STATS_X}, donor_id, {_STATS_Y}, {_PROPERTIES},
   target_0, target_1, split FROM placed""")
 def model_frame(t):
-    stored = materialise(_enriched(t), "enriched")
-    return build_model_frame(stored, ["row_id", "donor_id"], 42, MAJORITY, MINORITY, SEGMENT_CODES,
+    return build_model_frame(_enriched(t, stored=True), ["row_id", "donor_id"], 42, MAJORITY, MINORITY, SEGMENT_CODES,
                              test_fraction=0.2, val_fraction=0.1)
 
 

@@ -151,3 +151,14 @@ def test_full_join_without_hot_keys_is_plain(spark, no_broadcast, rows):
     out = J.skew_full_join(left, right, ["k"])
     assert "_salt" not in _plan(out)
     assert rows(out) == rows(left.join(right, "k", "full"))
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_a_broadcast_list_per_key_gives_the_rows_of_the_join(spark, rows, how):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e")], "k int, v string")
+    right = spark.createDataFrame([(1, 10, None), (1, 11, 1.5), (1, 11, 1.5), (2, None, None), (None, 12, 2.0), (4, 13, 3.0)], "k int, d int, `x-y` double")
+    out = J.dimension_join(left, right, ["k"], how, many=True)
+    assert out.columns == ["k", "v", "d", "x-y"] and rows(out) == rows(left.join(right, "k", how))
+    assert rows(J.dimension_join(left, right.select("k"), ["k"], how, many=True)) == rows(left.join(right.select("k"), "k", how))
+    plan = J.dimension_join(left.sort("v"), right, ["k"], how, many=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" in plan

@@ -136,3 +136,57 @@ def test_position_alignment_numbers_rows_where_they_are_fanned_out(spark, monkey
                         key=lambda r: (r[0], r[1] or ""))
         ids = sorted(r.row_id for r in rows.collect())
         assert got == [(i, *f, float(ids[i]) if i < len(ids) else None) for i, f in enumerate(fanned)]
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_a_stored_enrichment_is_stored_before_its_broadcast_donors(spark, rows, monkeypatch, broadcast):
+    from assayloom.plans import enrich
+
+    stored = []
+
+    def store(df, label="table"):
+        stored.append((label, df.count()))
+        return keep(df, label)
+
+    keep = enrich.materialise
+    plain = rows(enrich_training(*_inputs(spark)))
+    monkeypatch.setattr(enrich, "materialise", store)
+    if not broadcast:
+        monkeypatch.setattr(enrich, "fits_broadcast", lambda df: False)
+    assert rows(enrich_training(*_inputs(spark), stored=True)) == plain
+    assert [n for label, n in stored if label == "enriched"] == [_inputs(spark)[0].count() if broadcast else len(plain)]
+
+
+def test_the_model_frame_stores_no_fanned_out_rows(spark, tmp_path, monkeypatch):
+    """Orders of one segment meet five donors each; what is stored has a row per order at most."""
+    from assayloom import session
+    from assayloom.plans import enrich
+    from suite import QUERIES, flows
+
+    sf, n = str(tmp_path), F.col("id")
+    tables = {
+        "customer": spark.range(10).select(
+            n.alias("c_custkey"), (n % 5).cast("int").alias("c_nationkey"), F.element_at(
+                F.array(F.lit("BUILDING"), F.lit("FURNITURE")), (n / 5).cast("int") + 1).alias("c_mktsegment")),
+        "orders": spark.range(60).select(
+            n.alias("o_orderkey"), (n % 10).alias("o_custkey"), F.lit("F").alias("o_orderstatus"),
+            F.lit("1-URGENT").alias("o_orderpriority"), n.cast("double").alias("o_totalprice")),
+        "lineitem": spark.range(60).select(
+            n.alias("l_orderkey"), n.cast("double").alias("l_quantity"), n.cast("double").alias("l_extendedprice")),
+        "events": spark.range(10).select(n.alias("user_id"), n.cast("double").alias("value")),
+    }
+    for name, table in tables.items():
+        table.write.parquet(f"{sf}/{name}.parquet")
+    stored = []
+
+    def store(df, label="table"):
+        out = session.materialise(df, label)
+        stored.append(out.count())
+        return out
+
+    monkeypatch.setattr(enrich, "materialise", store)
+    monkeypatch.setattr(flows, "materialise", store)
+    frame = QUERIES["model_frame"](spark, sf)
+    assert frame.count() == 300 and max(stored) == 60
+    assert {(r["cell_type"], r["split"]): r["count"] for r in frame.groupBy("cell_type", "split").count().collect()} == {
+        (1, "test"): 30, (1, "val"): 12, (1, "train"): 108, (2, "train"): 15, (2, "test"): 135}

@@ -108,3 +108,26 @@ def test_repeated_ids_never_change_the_sizes_silently(spark, draw):
         else:
             assert n == 10
     assert refused
+
+
+@pytest.mark.parametrize("known", [False, True])
+def test_a_draw_makes_every_key_once(spark, known):
+    n, made = 20_000, spark.sparkContext.accumulator(0)
+
+    def key(i):
+        made.add(1)
+        return hashlib.md5(f"s:{i}".encode()).hexdigest()
+
+    cut = S.kth_key(spark.range(n), F.udf(key)("id"), S.floor_of(0.3), n if known else None)
+    assert cut == sorted(hashlib.md5(f"s:{i}".encode()).hexdigest() for i in range(n))[5999]
+    assert made.value == n
+
+
+def test_a_cut_far_from_its_expected_place(spark):
+    """Half of the rows share the id with the smallest key."""
+    by_key = sorted(range(1501), key=lambda i: hashlib.md5(f"s:{i}".encode()).hexdigest())
+    df = spark.createDataFrame([(i,) for i in by_key + [by_key[0]] * 1499], "id long")
+    cut = S.kth_key(df, S.draw_key(["id"], "s"), lambda n: 1510)
+    assert cut == hashlib.md5(f"s:{by_key[10]}".encode()).hexdigest()
+    with pytest.raises(ValueError):
+        S.kth_key(df, S.draw_key(["id"], "s"), lambda n: 700)
