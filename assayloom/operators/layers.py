@@ -20,7 +20,7 @@ from assayloom.session import materialise
 
 _PIECE = 1 << 16     # numbers in one row of gradient sums
 _CELLS = 1 << 16     # numbers of the widest layer that a task holds at a time: within a core's cache
-_CHUNK = 1 << 20     # numbers in one stored chunk of rows
+_CHUNK = 1 << 9      # numbers in one stored chunk of rows, at least a row: readers, writers and batches hold thousands of chunks
 #: Decay of the two moments, and what keeps a step finite.
 _FIRST, _SECOND, _TINY = 0.9, 0.999, 1e-8
 
@@ -53,9 +53,10 @@ class LayeredModel:
             if i == self.joint:
                 a = np.column_stack([a, flag])
             inputs.append(a)
-            a = a @ w + b
+            a = a @ w
+            a += b
             if not self.plain(i):
-                a = np.maximum(a, 0.0)
+                np.maximum(a, 0.0, out=a)
         return inputs, a
 
     def gradient(self, x: np.ndarray, flag: np.ndarray | None, y: np.ndarray) -> tuple[float, np.ndarray]:
@@ -64,13 +65,13 @@ class LayeredModel:
         error = out - y
         back, parts = 2.0 * error, []
         for i in reversed(range(len(self.weights))):
-            parts = [(inputs[i].T @ back).ravel(), back.sum(axis=0), *parts]
+            parts = [(inputs[i].T @ back).ravel(), np.ones(len(back)) @ back, *parts]
             if i:
                 back = back @ self.weights[i].T
                 if i == self.joint:
                     back = back[:, :-1]
                 if not self.plain(i - 1):
-                    back = back * (inputs[i][:, :back.shape[1]] > 0)
+                    back *= inputs[i][:, :back.shape[1]] > 0
         return float((error * error).sum()), np.concatenate(parts)
 
     def flat(self) -> np.ndarray:
@@ -95,17 +96,6 @@ def _sized(width: int, outputs: int, hidden: Sequence[int], second: Sequence[int
     return sizes + list(zip([outputs + 1, *second], [*second, outputs])), len(sizes)
 
 
-def _moments(df: DataFrame, name: str) -> tuple[np.ndarray, np.ndarray, int]:
-    """(means, deviations, rows) by place of an array column; a place without spread has deviation 1."""
-    spread = (df.select(F.posexplode(name).alias("place", "v")).groupBy("place")
-              .agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("deviation"), F.count("v").alias("n"))
-              .orderBy("place").collect())
-    if len({r["n"] for r in spread}) > 1:
-        raise ValueError(f"{name} has arrays of different lengths")
-    deviation = np.array([r["deviation"] or 1.0 for r in spread])
-    return np.array([r["mean"] for r in spread], float), deviation, spread[0]["n"] if spread else 0
-
-
 def _rows_at_once(model: LayeredModel) -> int:
     return max(1, _CELLS // max(max(w.shape) for w in model.weights))
 
@@ -115,54 +105,51 @@ def _matrix(column, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), width)
 
 
-def _chunks(rows: DataFrame, shift: np.ndarray, scale: np.ndarray, out_shift: np.ndarray, out_scale: np.ndarray) -> DataFrame:
-    """(n, rows): centred and scaled rows (features, flag, targets) as chunks of doubles, stored, so that a step only reads numbers."""
-    width, outputs = len(shift), len(out_shift)
-    at_once = max(1, _CHUNK // (width + outputs + 1))
-
+def _chunks(rows: DataFrame, features: str, targets: str) -> DataFrame:
+    """(features, targets, n, rows): rows (x, flag, y) as chunks of doubles, stored, so that a step only reads numbers."""
     def pack(batches):
         import pyarrow as pa
-
-        held, n = [], 0
-
-        def chunk():
-            block = np.concatenate(held)
-            return pa.RecordBatch.from_arrays([pa.array([len(block)], pa.int32()), pa.array([block.tobytes()], pa.binary())], ["n", "rows"])
+        import pyarrow.compute as pc
 
         for batch in batches:
-            x = (_matrix(batch["x"], width) - shift) / scale
-            y = (_matrix(batch["y"], outputs) - out_shift) / out_scale
-            held.append(np.column_stack([x, batch["flag"].to_numpy(zero_copy_only=False), y]))
-            n += len(x)
-            if n >= at_once:
-                yield chunk()
-                held, n = [], 0
-        if n:
-            yield chunk()
-
-    return materialise(rows.mapInArrow(pack, "n int, rows binary"), "layer-chunks")
-
-
-def _gradient_sums(model: LayeredModel, chunks: DataFrame) -> tuple[float, np.ndarray]:
-    """(sum of squared errors, gradient) over all rows, added up in the order of the tasks."""
-    shared = chunks.sparkSession.sparkContext.broadcast(model)
-    width, at_once = len(model.shift), _rows_at_once(model)
-
+            if not batch.num_rows:
+                continue
+            parts, widths = [], []
+            for name, column in ((features, batch["x"]), (targets, batch["y"])):
+                lengths = pc.unique(pc.list_value_length(column)).to_pylist()
+                if len(lengths) > 1:
+                    raise ValueError(f"{name} has arrays of different lengths")
+                parts.append(_matrix(column, lengths[0]))
+                widths.append(lengths[0])
+            block = np.column_stack([parts[0], batch["flag"].to_numpy(zero_copy_only=False), parts[1]])
+            at_once = max(1, _CHUNK // block.shape[1])
+            chunks = [block[at:at + at_once] for at in range(0, len(block), at_once)]
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array([w] * len(chunks), pa.int32()) for w in widths], pa.array([len(c) for c in chunks], pa.int32()),
+                 pa.array([c.tobytes() for c in chunks], pa.binary())], ["features", "targets", "n", "rows"])
+
+    return materialise(rows.mapInArrow(pack, "features int, targets int, n int, rows binary"), "layer-chunks")
+
+
+def _added(chunks: DataFrame, width: int, at_once: int, of) -> np.ndarray:
+    """The numbers that ``of`` gives for at most ``at_once`` rows of ``width`` numbers, added over all rows in the order of the tasks."""
     def partial(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        held, loss, total = shared.value, 0.0, None
+        total = None
         for batch in batches:
-            for n, block in zip(batch["n"].to_pylist(), batch["rows"]):
-                block = np.frombuffer(block.as_buffer(), float).reshape(n, -1)
-                for start in range(0, n, at_once):
-                    part = block[start:start + at_once]
-                    own, gradient = held.gradient(part[:, :width], part[:, width], part[:, width + 1:])
-                    loss += own
-                    total = gradient if total is None else total + gradient
+            if not batch.num_rows:
+                continue
+            # A batch's chunks lie behind one another.
+            _, offsets, numbers = batch["rows"].cast(pa.large_binary()).buffers()
+            first, last = np.frombuffer(offsets, np.int64)[[0, batch.num_rows]]
+            block = np.frombuffer(numbers[first:last], float).reshape(-1, width)
+            for start in range(0, len(block), at_once):
+                sums = of(block[start:start + at_once])
+                total = sums if total is None else total + sums
         if total is not None:
-            total, task = np.append(total, loss), TaskContext.get().partitionId()
+            task = TaskContext.get().partitionId()
             for piece, at in enumerate(range(0, len(total), _PIECE)):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([task], pa.int32()), pa.array([piece], pa.int32()),
@@ -184,10 +171,34 @@ def _gradient_sums(model: LayeredModel, chunks: DataFrame) -> tuple[float, np.nd
         if now is not None:
             yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["piece", "sums"])
 
-    pieces = (chunks.mapInArrow(partial, "task int, piece int, sums binary").repartition("piece")
+    pieces = (chunks.select("rows").mapInArrow(partial, "task int, piece int, sums binary").repartition("piece")
               .sortWithinPartitions("piece", "task").select("piece", "sums").mapInArrow(added, "piece int, sums binary"))
     # One set of sums, of the model's size.
-    found = np.concatenate([np.frombuffer(r["sums"], float) for r in sorted(pieces.collect(), key=lambda r: r["piece"])])
+    return np.concatenate([np.frombuffer(r["sums"], float) for r in sorted(pieces.collect(), key=lambda r: r["piece"])])
+
+
+def _moments(chunks: DataFrame, width: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(means, deviations) of the numbers of a row; one without spread has deviation 1."""
+    at_once = max(1, _CELLS // width)
+    # Counted from some row, so that a number without spread has no deviation by rounding.
+    base = np.frombuffer(chunks.select("rows").first()["rows"], float)[:width]
+    mean = base + _added(chunks, width, at_once, lambda block: (block - base).sum(axis=0)) / n
+    deviation = np.sqrt(_added(chunks, width, at_once, lambda block: np.square(block - mean).sum(axis=0)) / n)
+    return mean, np.where(deviation == 0, 1.0, deviation)
+
+
+def _gradient_sums(model: LayeredModel, chunks: DataFrame) -> tuple[float, np.ndarray]:
+    """(sum of squared errors, gradient) over all rows."""
+    shared = chunks.sparkSession.sparkContext.broadcast(model)
+    width = len(model.shift)
+
+    def of(block):
+        held = shared.value
+        loss, gradient = held.gradient(
+            (block[:, :width] - held.shift) / held.scale, block[:, width], (block[:, width + 1:] - held.out_shift) / held.out_scale)
+        return np.append(gradient, loss)
+
+    found = _added(chunks, width + 1 + len(model.out_shift), _rows_at_once(model), of)
     shared.destroy()
     return float(found[-1]), found[:-1]
 
@@ -230,16 +241,16 @@ def fit_layers(
     usable = all_present(features) & all_present(targets) & flagged.isNotNull() & ~F.isnan(flagged)
     if missing == "error":
         usable = F.when(usable, True).otherwise(F.raise_error(F.lit("a feature, target or flag is missing")).cast("boolean"))
-    rows = materialise(df.where(usable).select(
+    chunks = _chunks(df.where(usable).select(
         F.col(f"`{features}`").cast("array<double>").alias("x"), F.col(f"`{targets}`").cast("array<double>").alias("y"),
-        flagged.alias("flag")), "layer-rows")
-    shift, scale, n = _moments(rows, "x")
-    out_shift, out_scale, n_out = _moments(rows, "y")
-    if not n or not n_out:
-        raise ValueError("no rows, or no features or targets, to fit on")
-    if rows.where("size(x) = 0 OR size(y) = 0").limit(1).count():
+        flagged.alias("flag")), features, targets)
+    shapes = chunks.groupBy("features", "targets").agg(F.sum("n").alias("n")).limit(2).collect()
+    if len(shapes) > 1:
         raise ValueError(f"{features} or {targets} has arrays of different lengths")
-    sizes, joint = _sized(len(shift), len(out_shift), hidden, second)
+    if not shapes or not shapes[0]["features"] or not shapes[0]["targets"]:
+        raise ValueError("no rows, or no features or targets, to fit on")
+    width, outputs, n = shapes[0]
+    sizes, joint = _sized(width, outputs, hidden, second)
     if 8 * sum(a * b + b for a, b in sizes) > max_bytes:
         raise ValueError(f"the weights take more than {max_bytes} bytes")
     start = np.random.default_rng(seed)
@@ -248,14 +259,15 @@ def fit_layers(
         bound = 1.0 / np.sqrt(a)
         weights.append(start.uniform(-bound, bound, (a, b)))
         offsets.append(start.uniform(-bound, bound, b))
-    model = LayeredModel(weights, offsets, joint, shift, scale, out_shift, out_scale)
-    return _descend(spark, model, rows, n, epochs, rate)
+    # A task per core sends one set of sums, however many files there are.
+    chunks = chunks.coalesce(spark.sparkContext.defaultParallelism)
+    mean, deviation = _moments(chunks, width + 1 + outputs, n)
+    model = LayeredModel(weights, offsets, joint, mean[:width], deviation[:width], mean[width + 1:], deviation[width + 1:])
+    return _descend(spark, model, chunks, n, epochs, rate)
 
 
-def _descend(spark: SparkSession, model: LayeredModel, rows: DataFrame, n: int, epochs: int,
+def _descend(spark: SparkSession, model: LayeredModel, chunks: DataFrame, n: int, epochs: int,
              rate: float) -> tuple[LayeredModel, DataFrame]:
-    # A task per core sends one set of sums, however many files there are.
-    chunks = _chunks(rows, model.shift, model.scale, model.out_shift, model.out_scale).coalesce(spark.sparkContext.defaultParallelism)
     cells = n * len(model.out_shift)
     flat = model.flat()
     first, second, losses = np.zeros(len(flat)), np.zeros(len(flat)), []

@@ -117,7 +117,8 @@ def stage_losses(df: DataFrame, truth: str, predictions: Sequence[str]) -> DataF
 
 def all_present(name: str) -> Column:
     """Whether an array column is neither null nor holds a null or NaN."""
-    return F.coalesce(F.forall(F.col(f"`{name}`"), lambda v: v.isNotNull() & ~F.isnan(v.cast("double"))), F.lit(False))
+    # Whether an array holds a value is null if it holds a null and not the value.
+    return F.coalesce(~F.array_contains(F.col(f"`{name}`").cast("array<double>"), F.lit(float("nan"))), F.lit(False))
 
 
 def ridge_sums(

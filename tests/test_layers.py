@@ -1,3 +1,5 @@
+import glob
+
 import numpy as np
 import pytest
 
@@ -5,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assayloom.operators import layers as N
 from assayloom.operators import regress as R
+from assayloom.session import shared_dir
 
 
 def _bent(spark, n=600):
@@ -91,3 +94,19 @@ def test_missing_values_and_wrong_shapes(spark):
         N.fit_layers(df, "x", "y", (2,), epochs=1, max_bytes=8)
     with pytest.raises(ValueError, match="second stage"):
         N.fit_layers(df, "x", "y", (2,), flag="flag")
+
+
+def test_stored_chunks_stay_small_and_a_constant_has_no_spread(spark):
+    """Readers, writers and batches hold thousands of chunks, so a chunk may not grow with its task's rows."""
+    df = spark.range(0, 20_000, 1, 1).selectExpr("array(0.1D, cast(id % 7 AS double)) AS x", "array(cast(id % 5 AS double)) AS y")
+    folder = shared_dir(spark).removeprefix("file:")
+    before = set(glob.glob(f"{folder}/layer-*"))
+    model, history = N.fit_layers(df, "x", "y", (2,), epochs=0)
+    stored = [spark.read.parquet(d) for d in set(glob.glob(f"{folder}/layer-*")) - before]
+    chunks = [d for d in stored if "rows" in d.columns]
+    assert len(chunks) == 1 and chunks[0].agg(F.max(F.octet_length("rows"))).first()[0] <= 4096
+    np.testing.assert_allclose(model.shift, [0.1, np.mean(np.arange(20_000) % 7)])
+    np.testing.assert_allclose(model.scale, [1.0, np.std(np.arange(20_000) % 7)])
+    x, y = np.column_stack([np.full(20_000, 0.1), np.arange(20_000) % 7]), np.arange(20_000)[:, None] % 5
+    error = model.run((x - model.shift) / model.scale, None)[1] - (y - y.mean()) / y.std()
+    np.testing.assert_allclose(history.first().loss, (error ** 2).mean(), rtol=1e-9)
