@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from hashlib import md5
+from math import sin
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,12 +18,14 @@ _PACKED = 1 << 21    # nodes and edges that a task deals to the buckets at once
 
 def nodes_of(mols: DataFrame, atoms: str = "atoms", graph: str = "graph_id") -> DataFrame:
     """(graph_id, node_id, symbol) from atom arrays."""
-    return mols.select(graph, F.posexplode(atoms).alias("node_id", "symbol"))
+    # Before a plain explode Catalyst filters by the array's size, for which it makes the array once more or twice.
+    return mols.select(graph, F.posexplode_outer(atoms).alias("node_id", "symbol")).where("node_id is not null")
 
 
 def edges_of(mols: DataFrame, bonds: str = "bonds", graph: str = "graph_id") -> DataFrame:
     """(graph_id, src, dst) from bond arrays."""
-    return mols.select(graph, F.inline(bonds))
+    ends = mols.select(graph, F.posexplode_outer(bonds).alias("_place", "_bond")).where("_place is not null")
+    return ends.select(graph, "_bond.*")
 
 
 def simple_edges(edges: DataFrame, graph: str = "graph_id") -> DataFrame:
@@ -73,36 +76,43 @@ def neighbourhood_labels(
     never gathered: its rounds are joins and groupings (``_joined_labels``).
     """
     ends = edges.select(graph, F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
-    both = nodes.select(graph, F.col("node_id").alias("a"), F.lit(None).alias("b"),
-                        F.coalesce(F.col("symbol").cast("string"), F.lit("")).alias("symbol")).unionByName(
-        ends.where("a is not null").withColumn("symbol", F.lit(None).cast("string")))
+    marks = nodes.select(graph, F.col("node_id").alias("a"), F.coalesce(F.col("symbol").cast("string"), F.lit("")).alias("symbol"))
+    ends = ends.where("a is not null")
+    both = marks.select(graph, "a").unionByName(ends.select(graph, "a"))
     sizes = materialise(both.groupBy(graph).agg(F.count(F.lit(1)).alias("n")), "graph-sizes")
     wide = sizes.where((F.col("n") > _BUCKET) | F.col(graph).isNull()).select(F.col(graph).alias("_wide"))
     apart = not wide.isEmpty()
     if apart:
         # At most one graph for every _BUCKET rows.
         met = F.col(graph).eqNullSafe(F.col("_wide"))
-        both = both.join(F.broadcast(wide), met, "left_anti")
+        marks, ends = [df.join(F.broadcast(wide), met, "left_anti") for df in (marks, ends)]
     total = sizes.where(F.col("n") <= _BUCKET).agg(F.sum("n").alias("n")).first()["n"] or 0
-    out = _bucketed_labels(both, radius, graph, -(-total // _BUCKET) or 1)
+    out = _bucketed_labels(marks, ends, both.schema, radius, graph, -(-total // _BUCKET) or 1)
     if not apart:
         return out
     large = [df.join(F.broadcast(wide), met, "left_semi") for df in (nodes, edges)]
     return out.unionByName(_joined_labels(*large, radius, graph))
 
 
-def _bucketed_labels(both: DataFrame, radius: int, graph: str, buckets: int) -> DataFrame:
-    """Labels of graphs that fit a bucket, from nodes (with a symbol) and edges (without) in one table."""
-    kinds = both.schema
+def _bucketed_labels(nodes: DataFrame, ends: DataFrame, kinds: T.StructType, radius: int, graph: str, buckets: int) -> DataFrame:
+    """Labels of graphs that fit a bucket, from nodes (a, symbol) and edges (a, b).
+
+    Nodes and edges go to the buckets as tables of their own: Spark weighs every column of every row on its way to Python.
+    """
     schema = T.StructType([
         T.StructField(graph, kinds[graph].dataType), T.StructField("node_id", kinds["a"].dataType),
         T.StructField("round", T.IntegerType()), T.StructField("label", T.LongType())])
-    bucket = F.pmod(F.xxhash64(graph), F.lit(buckets)).cast("int").alias("bucket")
 
     def label(table):
         return _label_bucket(table["rows"], radius, graph)
 
-    return (both.select(bucket, graph, "a", "b", "symbol").mapInArrow(_packed, "bucket int, rows binary")
+    def packed(df, *columns):
+        own = F.col(graph).cast(kinds[graph].dataType)
+        bucket = F.pmod(F.xxhash64(own), F.lit(buckets)).cast("int").alias("bucket")
+        return df.select(bucket, own.alias(graph), *columns).mapInArrow(_packed, "bucket int, rows binary")
+
+    a, b = (F.col(c).cast(kinds["a"].dataType).alias(c) for c in "ab")
+    return (packed(nodes, a, "symbol").unionByName(packed(ends, a, b))
             .repartition(buckets, "bucket").groupBy("bucket").applyInArrow(label, schema))
 
 
@@ -114,7 +124,8 @@ def _packed(batches):
     def streams(held):
         table = pa.Table.from_batches(held)
         bucket = table["bucket"].to_numpy()
-        order = np.argsort(bucket, kind="stable")
+        # Small numbers are sorted by digits.
+        order = np.argsort(bucket.astype(np.int16) if bucket.max() < 1 << 15 else bucket, kind="stable")
         table, bucket = table.drop_columns("bucket").take(order).combine_chunks(), bucket[order]
         cuts = np.concatenate(([0], np.nonzero(np.diff(bucket))[0] + 1, [len(bucket)]))
         for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
@@ -136,22 +147,136 @@ def _packed(batches):
         yield from streams(held)
 
 
-def _hashes(texts):
-    """``_hash60`` of encoded texts, as an array."""
+_SINES = [int(abs(sin(i + 1)) * 2**32) for i in range(64)]
+_TURNS = [(7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21)]
+_BLOCK = 64         # bytes of a block of md5; a text of up to 55 bytes is one block
+_SLICE = 1 << 14    # texts hashed at a time: their numbers stay within a core's cache
+
+
+def _block_hashes(blocks, sizes):
+    """``_hash60`` of texts of up to 55 bytes, each in a row of ``_BLOCK`` bytes with zeros behind it; md5 for many texts at once."""
     import numpy as np
 
-    return (np.frombuffer(b"".join([md5(t).digest() for t in texts]), ">u8")[::2] >> 4).astype(np.int64)
+    most = sizes.max(initial=0)
+    blocks[np.arange(len(blocks)), sizes] = 0x80
+    words = blocks.view("<u4")
+    words[:, 14] = sizes << 3
+    used = [4 * k <= most or k == 14 for k in range(16)]
+    out = np.empty(len(blocks), np.int64)
+    sines, turns = np.array(_SINES, np.uint32), np.arange(33, dtype=np.uint32)
+    begin = np.array([0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476], np.uint32)
+    for start in range(0, len(blocks), _SLICE):
+        part = np.ascontiguousarray(words[start:start + _SLICE].T)
+        a, b, c, d = (np.full(part.shape[1], x) for x in begin)
+        f, g = np.empty_like(a), np.empty_like(a)
+        for i in range(64):
+            if i < 16:
+                k = i
+                np.bitwise_xor(c, d, out=f)
+                f &= b
+                f ^= d
+            elif i < 32:
+                k = (5 * i + 1) % 16
+                np.bitwise_xor(b, c, out=f)
+                f &= d
+                f ^= c
+            elif i < 48:
+                k = (3 * i + 5) % 16
+                np.bitwise_xor(b, c, out=f)
+                f ^= d
+            else:
+                k = 7 * i % 16
+                np.invert(d, out=f)
+                f |= b
+                f ^= c
+            f += a
+            f += sines[i]
+            if used[k]:
+                f += part[k]
+            turn = _TURNS[i // 16][i % 4]
+            np.right_shift(f, turns[32 - turn], out=g)
+            f <<= turns[turn]
+            f |= g
+            f += b
+            a, b, c, d, f = d, f, b, c, a
+        a += begin[0]
+        b += begin[1]
+        out[start:start + _SLICE] = a.byteswap().astype(np.int64) << 28 | b.byteswap() >> np.uint32(4)
+    return out
+
+
+def _text_hashes(texts):
+    """``_hash60`` of an Arrow array of texts."""
+    import numpy as np
+    import pyarrow as pa
+
+    texts = texts.cast(pa.large_binary())
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    out, starts, sizes = np.empty(len(texts), np.int64), offsets[:-1], np.diff(offsets)
+    for i in np.nonzero(sizes > 55)[0].tolist():
+        out[i] = int.from_bytes(md5(data[starts[i]:offsets[i + 1]]).digest()[:8], "big") >> 4
+    for size in np.unique(sizes[sizes <= 55]).tolist():
+        rows = np.nonzero(sizes == size)[0]
+        blocks = np.zeros((len(rows), _BLOCK), np.uint8)
+        blocks[:, :size] = data[starts[rows, None] + np.arange(size)]
+        out[rows] = _block_hashes(blocks, np.full(len(rows), size))
+    return out
+
+
+def _number_hashes(r: int, label, high, low):
+    """``_hash60`` of the texts "r:label:high:low"."""
+    import numpy as np
+
+    fours = np.array([b"%04d" % i for i in range(10_000)]).view(np.uint32)
+    tens = 10 ** np.arange(1, 19)
+    columns, prefix = (label, high, low), np.frombuffer(b"%d:" % r, np.uint8)
+    widths = [np.searchsorted(tens, x, "right") + 1 for x in columns]
+    # Texts of like widths lie together, so that each of their parts is one copy.
+    kinds = (widths[0] * 20 + widths[1]) * 20 + widths[2]
+    order = np.argsort(kinds.astype(np.int16), kind="stable")
+    kinds = kinds[order]
+    digits = []
+    for x in columns:
+        rest, places = x[order], np.empty((len(x), 5), np.uint32)
+        for k in range(4, -1, -1):
+            left = rest // 10_000
+            places[:, k] = fours[rest - left * 10_000]
+            rest = left
+        digits.append(places.view(np.uint8))
+    found = np.empty(len(label), np.int64)
+    blocks, sizes, fits = np.zeros((len(label), _BLOCK), np.uint8), np.zeros(len(label), np.int64), np.ones(len(label), bool)
+    cuts = np.concatenate(([0], np.nonzero(np.diff(kinds))[0] + 1, [len(kinds)])) if len(kinds) else np.zeros(1, np.int64)
+    for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        kind = int(kinds[start])
+        parts = kind // 400, kind // 20 % 20, kind % 20
+        size = len(prefix) + sum(parts) + 2
+        if size > 55:
+            texts = [b"%d:%d:%d:%d" % (r, *t) for t in zip(*(x[order[start:stop]].tolist() for x in columns))]
+            found[order[start:stop]] = [int.from_bytes(md5(t).digest()[:8], "big") >> 4 for t in texts]
+            fits[start:stop] = False
+            continue
+        block, at = blocks[start:stop], len(prefix)
+        block[:, :at] = prefix
+        for k, (width, places) in enumerate(zip(parts, digits)):
+            if k:
+                block[:, at] = ord(":")
+                at += 1
+            block[:, at:at + width] = places[start:stop, 20 - width:]
+            at += width
+        sizes[start:stop] = size
+    if fits.all():
+        found[order] = _block_hashes(blocks, sizes)
+    else:
+        found[order[fits]] = _block_hashes(blocks[fits], sizes[fits])
+    return found
 
 
 def _label_bucket(streams, radius: int, graph: str):
     """All rounds' labels of the whole graphs in a bucket; what ``_joined_labels`` gives for them."""
     import numpy as np
     import pyarrow as pa
-    import pyarrow.compute as pc
-
-    rows = pa.concat_tables([pa.ipc.open_stream(s.as_buffer()).read_all() for s in streams]).combine_chunks()
-    rows = rows.set_column(0, graph, rows[graph].dictionary_encode(null_encoding="encode").combine_chunks())
-    nodes, edges = rows.filter(pc.is_valid(rows["symbol"])), rows.filter(pc.is_null(rows["symbol"]))
 
     def whole(column):
         return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -159,23 +284,30 @@ def _label_bucket(streams, radius: int, graph: str):
     def numbers(column):
         return whole(column).indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
+    tables = [pa.ipc.open_stream(s.as_buffer()).read_all() for s in streams]
+    none = tables[0].select([graph, "a"]).slice(0, 0)
+    nodes, edges = (pa.concat_tables([t for t in tables if name in t.column_names] or [none.append_column(name, empty)])
+                    for name, empty in (("symbol", pa.array([], pa.string())), ("b", none["a"])))
+    graphs = pa.concat_arrays([whole(nodes[graph]), whole(edges[graph])]).dictionary_encode(null_encoding="encode")
+    owner = numbers(graphs)
     n, m = nodes.num_rows, edges.num_rows
     ids = pa.concat_arrays([whole(nodes["a"]), whole(edges["a"]), whole(edges["b"])]).dictionary_encode(null_encoding="encode")
     places, ids = numbers(ids), len(ids.dictionary)
     # A node is known by its graph's and its own number; nodes may be listed more than once.
-    listed, first, own = np.unique(numbers(nodes[graph]) * ids + places[:n], return_index=True, return_inverse=True)
+    listed, first, own = np.unique(owner[:n] * ids + places[:n], return_index=True, return_inverse=True)
     symbols = whole(nodes["symbol"]).dictionary_encode()
-    given = _hashes([s.encode() for s in symbols.dictionary.to_pylist()])[symbols.indices.to_numpy()] if n else np.zeros(0, np.int64)
+    given = _text_hashes(symbols.dictionary)[symbols.indices.to_numpy()] if n else np.zeros(0, np.int64)
     label, high, low = (np.zeros(len(listed), np.int64) for _ in range(3))
     np.maximum.at(label, own, given)
     np.add.at(high, own, given >> _HALF)
     np.add.at(low, own, given & ((1 << _HALF) - 1))
 
-    of = numbers(edges[graph]) * ids
+    of = owner[n:] * ids
     a, b = of + places[n:n + m], of + places[n + m:]
-    known = np.isin(a, listed) & np.isin(b, listed)
-    pairs = np.unique(np.searchsorted(listed, a[known]) * max(1, len(listed)) + np.searchsorted(listed, b[known]))
-    a, b = np.divmod(pairs, max(1, len(listed)))
+    at_a, at_b, last = np.searchsorted(listed, a), np.searchsorted(listed, b), max(0, len(listed) - 1)
+    known = (listed[np.minimum(at_a, last)] == a) & (listed[np.minimum(at_b, last)] == b) if len(listed) else np.zeros(m, bool)
+    pairs = np.sort(at_a[known] * (last + 1) + at_b[known])
+    a, b = np.divmod(pairs[np.diff(pairs, prepend=-1) > 0], last + 1)
     bent = a != b
     node, near = np.concatenate([a, b[bent]]), np.concatenate([b, a[bent]])
 
@@ -184,12 +316,11 @@ def _label_bucket(streams, radius: int, graph: str):
         sums = np.zeros((2, len(listed)), np.int64)
         np.add.at(sums[0], node, high[near])
         np.add.at(sums[1], node, low[near])
-        label = _hashes([b"%d:%d:%d:%d" % (r, *t) for t in zip(label.tolist(), sums[0].tolist(), sums[1].tolist())])
+        label = _number_hashes(r, label, *sums)
         high, low = label >> _HALF, label & ((1 << _HALF) - 1)
         found.append(label)
         at.append(first)
     named = nodes.select([graph, "a"]).take(np.concatenate(at))
-    named = named.set_column(0, graph, whole(named[graph]).dictionary_decode())
     rounds = np.repeat(np.arange(radius + 1, dtype=np.int32), [len(f) for f in found])
     return pa.Table.from_arrays([named[graph], named["a"], pa.array(rounds), pa.array(np.concatenate(found))],
                                 [graph, "node_id", "round", "label"])

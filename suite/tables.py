@@ -142,11 +142,8 @@ class Tables:
         return self.documents.select("doc_id", "text")
 
     def _chains(self, texts: DataFrame) -> DataFrame:
-        atoms = F.split("text", " ")
-        chain = F.transform(
-            F.sequence(F.lit(0), F.size("atoms") - 2),
-            lambda i: F.struct(i.alias("src"), (i + 1).alias("dst")),
-        )
+        atoms, n = F.split("text", " "), F.size("atoms")
+        chain = F.arrays_zip(F.sequence(F.lit(0), n - 2).alias("src"), F.sequence(F.lit(1), n - 1).alias("dst"))
         none = F.array().cast("array<struct<src:int,dst:int>>")
         return texts.select(F.col("doc_id").alias("graph_id"), atoms.alias("atoms")).withColumn(
             "bonds", F.when(F.size("atoms") > 1, chain).otherwise(none)

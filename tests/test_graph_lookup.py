@@ -2,8 +2,11 @@ import hashlib
 import os
 import uuid
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayloom.operators import graph as G
@@ -94,6 +97,35 @@ def test_fingerprints_neither_store_nor_join_a_row_for_every_label(spark):
     assert "Join" not in bits._jdf.queryExecution().executedPlan().toString()
 
 
+def test_arrays_are_made_once_before_they_are_exploded(spark, rows):
+    """A plain explode has Catalyst filter by the array's size, for which the array is made again."""
+    texts = spark.createDataFrame([(1, "a b c"), (2, "d"), (3, None)], "graph_id long, text string")
+    mols = texts.select("graph_id", F.split("text", " ").alias("atoms"), F.expr(
+        "transform(filter(sequence(0, size(split(text, ' ')) - 1), i -> i > 0), i -> struct(i - 1 AS src, i AS dst))").alias("bonds"))
+    for df in (G.nodes_of(mols), G.edges_of(mols)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Filter" in line and ("split" in line or "size" in line)]
+    assert rows(G.nodes_of(mols)) == [(1, 0, "a"), (1, 1, "b"), (1, 2, "c"), (2, 0, "d")]
+    assert rows(G.edges_of(mols)) == [(1, 0, 1), (1, 1, 2)]
+    odd = spark.createDataFrame([(1, [None, "x"], [None, (0, None)]), (2, [], []), (3, None, None)],
+                                "graph_id long, atoms array<string>, bonds array<struct<src:int,dst:int>>")
+    assert rows(G.nodes_of(odd)) == [(1, 0, None), (1, 1, "x")]
+    assert rows(G.edges_of(odd)) == [(1, None, None), (1, 0, None)]
+
+
+def test_many_texts_are_hashed_as_one_by_one(monkeypatch):
+    monkeypatch.setattr(G, "_SLICE", 100)
+    texts = ["", "C", "\u00e9" * 27, "x" * 55, "x" * 56, "x" * 200] + [f"w{n}" for n in range(500)]
+    assert G._text_hashes(pa.array(texts)).tolist() == [_h(t) for t in texts]
+    assert G._text_hashes(pa.array(texts).slice(3, 5)).tolist() == [_h(t) for t in texts[3:8]]
+    draw = np.random.default_rng(1)
+    columns = [(draw.integers(0, 1 << bits, 500) >> draw.integers(0, bits, 500)).astype(np.int64) for bits in (60, 62, 49)]
+    columns[0][:3], columns[1][:3], columns[2][:3] = [0, 10**18, 2**60 - 1], [0, 9, 10], [0, 10**14, 99]
+    for r in (1, 10, 1000):
+        assert G._number_hashes(r, *columns).tolist() == [_h(f"{r}:{a}:{b}:{c}") for a, b, c in zip(*columns)]
+        assert G._number_hashes(r, *[c[:0] for c in columns]).tolist() == []
+
+
 def test_equal_molecules_have_equal_fingerprints(spark):
     mols = spark.createDataFrame([
         (1, ["C", "C", "O"], [(0, 1), (1, 2)]), (2, ["O", "C", "C"], [(1, 0), (2, 1)]),
